@@ -43,7 +43,7 @@ def seed_report(seed: DataFrame, min_rows: int = 30, min_off_store: int = 5) ->
     per_id = seed.groupBy("game_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.coalesce(F.size("storefronts"), F.lit(0)) <= 0).alias("no_storefront"),
-        F.count_if("steam_appid is null").alias("off_store"),
+        F.count_if(F.col("steam_appid").isNull()).alias("off_store"),
     )
     per_appid = seed.where("steam_appid is not null").groupBy("steam_appid").agg(F.count(F.lit(1)).alias("n"))
     ids = per_id.agg(
@@ -54,7 +54,7 @@ def seed_report(seed: DataFrame, min_rows: int = 30, min_off_store: int = 5) ->
         F.count_if(F.col("game_id") != slugify(F.col("game_id"))).alias("not_slug_shaped"),
     )
     appids = per_appid.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("repeated_appids"))
-    # Both sides are one row: unpivot-free union of the measures, then one row again.
+    # One row each, brought into one row.
     names = ["seed_rows", "repeated_game_ids", "without_storefront", "off_store_rows", "not_slug_shaped", "repeated_appids"]
     stacked = ids.unionByName(appids, allowMissingColumns=True)
     report = stacked.agg(*[F.max(name).alias(name) for name in names])

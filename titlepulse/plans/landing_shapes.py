@@ -110,8 +110,9 @@ def expand_weeks(weekly: DataFrame, end: Column) -> DataFrame:
 def date_review_pages(pages: DataFrame, history_start: str = HISTORY_START) -> DataFrame:
     """Date each page by its oldest review, and stop a title's walk where a page-by-page reader would.
 
-    ``pages`` is ``appid, page, payload``.  The walk ends before an empty page; it ends after a page without a
-    next cursor, or one whose oldest review is before the history.  Only the stopping page per title is
+    ``pages`` is ``appid, page, requested, payload``, with the cursor the page was requested by.  The walk ends
+    before an empty page; it ends after a page whose next cursor is absent or the one it was requested by, or
+    whose oldest review is before the history.  Only the stopping page per title is
     needed to tell which pages are kept, so no title's pages are ever gathered in one place.
     """
     fields = json_fields(F.col("payload"), "reviews array<string>, cursor string")
@@ -119,13 +120,14 @@ def date_review_pages(pages: DataFrame, history_start: str = HISTORY_START) -> D
         F.col("_fields.reviews"), lambda text: json_fields(text, "timestamp_created bigint")["timestamp_created"]
     )
     oldest = F.array_min(F.transform(created, lambda t: F.coalesce(t, F.lit(2**31).cast("bigint"))))
-    dated = pages.select("appid", "page", "payload", fields.alias("_fields")).select(
+    cursor = F.coalesce(F.col("_fields.cursor"), F.lit(""))
+    dated = pages.select("appid", "page", "requested", "payload", fields.alias("_fields")).select(
         "appid",
         "page",
         "payload",
         (F.coalesce(F.size("_fields.reviews"), F.lit(0)) <= 0).alias("_empty"),
         day_of_epoch(oldest).alias("extract_date"),
-        (F.coalesce(F.col("_fields.cursor"), F.lit("")) == "").alias("_last"),
+        ((cursor == "") | cursor.eqNullSafe(F.col("requested"))).alias("_last"),
     )
     ends = F.col("_empty") | F.col("_last") | (F.col("extract_date") < F.lit(history_start).cast("date"))
     stops = dated.where(ends).groupBy("appid").agg(F.min("page").alias("_stop"))

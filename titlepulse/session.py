@@ -22,6 +22,7 @@ LOCAL_SETTINGS = {
     "spark.sql.shuffle.partitions": "8",
     "spark.sql.files.maxPartitionBytes": "32m",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "8g",
 }
 

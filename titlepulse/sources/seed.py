@@ -23,7 +23,7 @@ def clean_seed(raw: DataFrame) -> DataFrame:
     """Trim every cell, blank cells to NULL, typed store id, storefronts as a list; rows without id or name go."""
     cells = {name: blank_to_null(F.col(name)).alias(name) for name in _TEXT_COLUMNS}
     cells["steam_appid"] = F.trim("steam_appid").try_cast("bigint").alias("steam_appid")
-    parts = F.transform(F.split(F.coalesce(F.col("storefronts"), F.lit("")), r"\|"), F.trim)
+    parts = F.transform(F.split(F.coalesce(F.col("storefronts"), F.lit("")), r"\|"), lambda part: F.trim(part))
     cells["storefronts"] = F.filter(parts, lambda part: part != "").alias("storefronts")
     if "seed_order" in raw.columns:
         cells["seed_order"] = F.col("seed_order")
