@@ -24,12 +24,9 @@ def round_even(value: Column, digits: int) -> Column:
     high = wide - (wide - value)
     error = (high * F.lit(factor) - product) + (value - high) * F.lit(factor)
     nearest = F.rint(product)
-    at_half = F.abs(product - nearest) == 0.5
-    whole = (
-        F.when(at_half & (error > 0), product + 0.5)
-        .when(at_half & (error < 0), product - 0.5)
-        .otherwise(nearest)
-    )
+    # At a half, ``rint`` went to the even side; the exact value may lie on the other one.
+    rest = product - nearest
+    whole = nearest + F.when((F.abs(rest) == 0.5) & (rest * error > 0), rest * 2).otherwise(F.lit(0.0))
     return whole / F.lit(factor) + F.lit(0.0)
 
 

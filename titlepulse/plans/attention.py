@@ -83,9 +83,10 @@ def attention_trends(engagement: DataFrame, baseline_weeks: int = BASELINE_WEEKS
 
 def top_titles(attention: DataFrame, k: int = TOP_TITLES) -> DataFrame:
     """The ``k`` titles with the highest index of every week; equal ones in order of id."""
-    indexed = attention.where("attention_index is not null").select("week", "game_id", "attention_index")
-    order = [F.col("attention_index").desc(), F.col("game_id").asc()]
-    return top_within(indexed, ["week"], order, k)
+    order = [F.col("attention_index").desc_nulls_last(), F.col("game_id").asc()]
+    ranked = top_within(attention.select("week", "game_id", "attention_index"), ["week"], order, k)
+    # Titles without an index rank last, so dropping them here takes no place from another title.
+    return ranked.where("attention_index is not null")
 
 
 def cohort_of(titles: DataFrame) -> DataFrame:
