@@ -217,10 +217,9 @@ def p6_unwrap_envelope(inputs):
 
 @query
 def p7_parse_object(inputs):
-    fields = fn.json_fields(F.col("payload"), "viewers bigint, views bigint, trends_index double")
-    return (
-        inputs.snapshots.select("source", fields.alias("f")).groupBy("source")
-        .agg(F.count("f.viewers").alias("viewers"), F.count("f.views").alias("views"), F.count("f.trends_index").alias("trends"))
+    fields = fn.with_json_fields(inputs.snapshots, F.col("payload"), "viewers bigint, views bigint, trends_index double", ["source"])
+    return fields.groupBy("source").agg(
+        F.count("viewers").alias("viewers"), F.count("views").alias("views"), F.count("trends_index").alias("trends")
     )
 
 
@@ -441,13 +440,13 @@ def j14_reviews_daily(inputs):
 @query
 def j15_owner_tiers(inputs):
     rows = inputs.estimate_snapshots.where("source = 'steamspy_snapshot'")
-    return estimates.owner_tiers(rows).select("entity_key", "extract_date", "est_owners_low", "est_owners_high", "est_source")
+    return estimates.parse_estimates(rows).select("entity_key", "extract_date", "est_owners_low", "est_owners_high", "est_source")
 
 
 @query
 def j16_modelled_sales(inputs):
     rows = inputs.estimate_snapshots.where("source = 'gamalytic'")
-    return estimates.modelled_sales(rows).select("entity_key", "ingested_at", "est_units_lifetime", "est_revenue_lifetime_usd", "est_source")
+    return estimates.parse_estimates(rows).select("entity_key", "ingested_at", "est_units_lifetime", "est_revenue_lifetime_usd", "est_source")
 
 
 @query

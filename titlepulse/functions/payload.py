@@ -2,30 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# JSON text of the values that count as empty.
+_EMPTY = r'^(null|false|""|\[\]|\{\}|-?0+(\.0*)?([eE].*)?)$'
 
-def json_fields(payload: Column, fields: str) -> Column:
-    """Struct of the given fields of a JSON object.
+
+def with_json_fields(df: DataFrame, text: Column, fields: str, keep: list[str] | None = None) -> DataFrame:
+    """Columns ``keep`` (all by default) and one column per field of a JSON object.
 
     Number fields are strict: a numeric string, a boolean or (for ``bigint``) a fraction gives NULL for that
-    field alone.  Broken text or a non-object gives NULL in every field.
+    field alone.  Broken text or a non-object gives NULL in every field.  The fields come out of a generator
+    over a one-element array: a filter on them stays above it, so each text is parsed once.
     """
-    return F.from_json(payload, fields, {"allowSingleQuotes": "false"})
+    parsed = F.from_json(text, fields, {"allowSingleQuotes": "false"})
+    return df.select(*(df.columns if keep is None else keep), F.inline(F.array(parsed)))
 
 
 def truthy(value: Column) -> Column:
     """Whether a VARIANT holds something non-empty: not null, false, zero, "", [] or {}; absent is false."""
-    kind = F.schema_of_variant(value)
-    number = F.try_variant_get(value, "$", "double")
-    filled = (
-        F.when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
-        .when(kind == "STRING", F.try_variant_get(value, "$", "string") != "")
-        .when(kind == "VOID", F.lit(False))
-        .when(kind == "OBJECT<>", F.lit(False))
-        .when(kind.startswith("OBJECT"), F.lit(True))
-        .when(kind.startswith("ARRAY"), F.size(F.try_variant_get(value, "$", "array<variant>")) > 0)
-        .otherwise(number != 0)
-    )
-    return F.coalesce(filled, F.lit(False))
+    return F.coalesce(~F.to_json(value).rlike(_EMPTY), F.lit(False))
+
+
+def variant_text(value: Column) -> Column:
+    """Text of a VARIANT that holds a string; NULL for any other kind."""
+    return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))

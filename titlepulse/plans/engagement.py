@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from titlepulse.functions import appid_key, exact_mean, json_fields, round_even, round_half_even_int, safe_ratio
+from titlepulse.functions import appid_key, exact_mean, round_even, round_half_even_int, safe_ratio, with_json_fields
 from titlepulse.operators.lookup import lookup_join
 from titlepulse.operators.upsert import BATCH, COALESCE
 from titlepulse.schemas import ENGAGEMENT, SNAPSHOT_SOURCES, SOURCE_KEYS, conform
@@ -52,22 +52,19 @@ def _count_of(source: str, value: Column) -> Column:
 
 def snapshot_values(resolved: DataFrame) -> DataFrame:
     """One typed column per signal; each row fills only those of its source, and only with valid values."""
-    fields = F.col("_fields")
-    index = fields["trends_index"]
-    return (
-        resolved.where("extract_date is not null")
-        .select("game_id", F.col("extract_date").alias("date"), "source", json_fields(F.col("payload"), _SNAPSHOT_PAYLOAD).alias("_fields"))
-        .select(
-            "game_id",
-            "date",
-            _of("twitch_helix", fields["viewers"]).alias("viewers"),
-            _of("twitch_helix", F.when(fields["viewers"].isNotNull(), F.coalesce(fields["channels"], F.lit(0.0)))).alias("channels"),
-            _count_of("steam_ccu", fields["response"]["player_count"]).alias("players"),
-            _count_of("wikipedia_pageviews", fields["views"]).alias("views"),
-            _of("google_trends", F.when(~F.isnan(index) & (F.abs(index) < 1e12), index)).alias("index"),
-            _count_of("reddit", fields["subscribers"]).alias("subscribers"),
-            _count_of("reddit", fields["posts_today"]).alias("posts"),
-        )
+    dated = resolved.where("extract_date is not null").withColumnRenamed("extract_date", "date")
+    fields = with_json_fields(dated, F.col("payload"), _SNAPSHOT_PAYLOAD, ["game_id", "date", "source"])
+    viewers, index = F.col("viewers"), F.col("trends_index")
+    return fields.select(
+        "game_id",
+        "date",
+        _of("twitch_helix", viewers).alias("viewers"),
+        _of("twitch_helix", F.when(viewers.isNotNull(), F.coalesce("channels", F.lit(0.0)))).alias("channels"),
+        _count_of("steam_ccu", F.col("response.player_count")).alias("players"),
+        _count_of("wikipedia_pageviews", F.col("views")).alias("views"),
+        _of("google_trends", F.when(~F.isnan(index) & (F.abs(index) < 1e12), index)).alias("index"),
+        _count_of("reddit", F.col("subscribers")).alias("subscribers"),
+        _count_of("reddit", F.col("posts_today")).alias("posts"),
     )
 
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from titlepulse.functions import json_fields, owner_range
+from titlepulse.functions import owner_range, with_json_fields
 from titlepulse.operators.latest import latest_by
 from titlepulse.operators.upsert import BATCH
 from titlepulse.plans.engagement import resolve_titles
@@ -14,37 +14,43 @@ from titlepulse.schemas import ESTIMATE_SOURCES, ESTIMATES, columns
 ESTIMATE_KEYS = ["game_id", "snapshot_date", "est_source"]
 ESTIMATE_RULES = {name: BATCH for name in columns(ESTIMATES) if name not in ESTIMATE_KEYS}
 
-_OWNERS = "owners string"
-_MODELLED = "revenue double, copiesSold double"
-
-
-def owner_tiers(rows: DataFrame) -> DataFrame:
-    """Owner bounds from a ``"low .. high"`` text; rows without readable bounds are dropped."""
-    low, high = owner_range(json_fields(F.col("payload"), _OWNERS)["owners"])
-    return rows.withColumns(
-        {
-            "est_owners_low": low,
-            "est_owners_high": high,
-            "est_units_lifetime": F.lit(None).cast("bigint"),
-            "est_revenue_lifetime_usd": F.lit(None).cast("double"),
-            "est_source": F.lit("steamspy"),
-        }
-    ).where("est_owners_low is not null")
-
-
-def modelled_sales(rows: DataFrame) -> DataFrame:
-    """Modelled revenue and units; a value of the wrong type is NULL, a row naming neither is dropped."""
-    fields = json_fields(F.col("payload"), _MODELLED)
-    named = F.coalesce(F.get_json_object("payload", "$.revenue"), F.get_json_object("payload", "$.copiesSold"))
-    return rows.where(named.isNotNull()).withColumns(
-        {
-            "est_owners_low": F.lit(None).cast("bigint"),
-            "est_owners_high": F.lit(None).cast("bigint"),
-            "est_units_lifetime": fields["copiesSold"].try_cast("bigint"),
-            "est_revenue_lifetime_usd": fields["revenue"],
-            "est_source": F.lit("gamalytic"),
-        }
+_ESTIMATE_PAYLOAD = "owners string, revenue variant, copiesSold variant"
+
+
+def _present(value: Column) -> Column:
+    """Whether a VARIANT holds anything but JSON null."""
+    return ~F.coalesce(F.is_variant_null(value), F.lit(True))
+
+
+def _number(value: Column) -> Column:
+    """Number in a VARIANT; NULL for text, booleans and everything else."""
+    number = F.schema_of_variant(value).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+    return F.when(number, F.try_variant_get(value, "$", "double"))
+
+
+def parse_estimates(rows: DataFrame) -> DataFrame:
+    """Estimate columns of raw rows; rows that say nothing usable are dropped.
+
+    Owner tiers need a readable ``"low .. high"`` text.  Modelled sales need a revenue or a number of copies;
+    one of the wrong type is NULL, but the row stays.
+    """
+    kept = [name for name in rows.columns if name != "payload"]
+    low, high = owner_range(F.col("owners"))
+    tiers = F.col("source") == "steamspy_snapshot"
+    modelled = F.col("source") == "gamalytic"
+    parsed = (
+        with_json_fields(rows, F.col("payload"), _ESTIMATE_PAYLOAD, kept)
+        .where(tiers | (modelled & (_present(F.col("revenue")) | _present(F.col("copiesSold")))))
+        .select(
+            *kept,
+            F.when(tiers, low).alias("est_owners_low"),
+            F.when(tiers, high).alias("est_owners_high"),
+            F.when(modelled, _number(F.col("copiesSold")).try_cast("bigint")).alias("est_units_lifetime"),
+            F.when(modelled, _number(F.col("revenue"))).alias("est_revenue_lifetime_usd"),
+            F.when(tiers, F.lit("steamspy")).otherwise(F.lit("gamalytic")).alias("est_source"),
+        )
     )
+    return parsed.where(modelled | F.col("est_owners_low").isNotNull())
 
 
 def estimates_batch(bronze: DataFrame, seed: DataFrame) -> DataFrame:
@@ -52,12 +58,9 @@ def estimates_batch(bronze: DataFrame, seed: DataFrame) -> DataFrame:
     rows = (
         resolve_titles(bronze, seed, ESTIMATE_SOURCES)
         .where("extract_date is not null")
-        .withColumnRenamed("extract_date", "snapshot_date")
+        .select("source", "game_id", F.col("extract_date").alias("snapshot_date"), "ingested_at", "payload")
     )
-    tiers = owner_tiers(rows.where("source = 'steamspy_snapshot'"))
-    sales = modelled_sales(rows.where("source = 'gamalytic'"))
-    both = tiers.unionByName(sales).select(*columns(ESTIMATES), "ingested_at")
-    return latest_by(both, ESTIMATE_KEYS, [F.col("ingested_at")]).select(columns(ESTIMATES))
+    return latest_by(parse_estimates(rows).drop("source"), ESTIMATE_KEYS, [F.col("ingested_at")]).select(columns(ESTIMATES))
 
 
 def latest_estimates(estimates: DataFrame) -> DataFrame:

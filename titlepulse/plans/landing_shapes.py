@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from titlepulse.functions import day_of_epoch, json_fields, round_even, safe_ratio
+from titlepulse.functions import day_of_epoch, round_even, safe_ratio, variant_text, with_json_fields
 from titlepulse.operators.lookup import lookup_join
 from titlepulse.operators.ranking import top_within
 from titlepulse.schemas import HISTORY_START, SOURCE_KEYS
@@ -74,16 +74,14 @@ def posts_of_day(
 def unpack_pageviews(responses: DataFrame) -> DataFrame:
     """One row per article and day from responses holding an ``items`` list; items need a text timestamp that
     starts with a date, and a whole number of views."""
-    item = F.col("_item")
-    kind = F.schema_of_variant(item["timestamp"])
-    stamp = F.when(kind == "STRING", F.try_variant_get(item["timestamp"], "$", "string"))
-    return (
-        responses.select("article", json_fields(F.col("payload"), "items array<string>").alias("_r"))
-        .select("article", F.explode("_r.items").alias("_text"))
-        .select("article", json_fields(F.col("_text"), "timestamp variant, views bigint").alias("_item"))
-        .select("article", F.try_to_date(F.substring(stamp, 1, 8), "yyyyMMdd").alias("date"), item["views"].alias("views"))
-        .where("date is not null and views is not null")
+    texts = with_json_fields(responses, F.col("payload"), "items array<string>", ["article"])
+    items = with_json_fields(
+        texts.select("article", F.explode("items").alias("_text")), F.col("_text"), "timestamp variant, views bigint", ["article"]
     )
+    stamp = variant_text(F.col("timestamp"))
+    return items.select(
+        "article", F.try_to_date(F.substring(stamp, 1, 8), "yyyyMMdd").alias("date"), "views"
+    ).where("date is not null and views is not null")
 
 
 def rescale_to_anchor(terms: DataFrame, anchor: DataFrame) -> DataFrame:
@@ -115,18 +113,19 @@ def date_review_pages(pages: DataFrame, history_start: str = HISTORY_START) -> D
     whose oldest review is before the history.  Only the stopping page per title is
     needed to tell which pages are kept, so no title's pages are ever gathered in one place.
     """
-    fields = json_fields(F.col("payload"), "reviews array<string>, cursor string")
+    kept = ["appid", "page", "requested", "payload"]
+    read = with_json_fields(pages, F.col("payload"), "reviews array<string>, cursor string", kept)
+    missing = F.lit(2**31).cast("bigint")
     created = F.transform(
-        F.col("_fields.reviews"), lambda text: json_fields(text, "timestamp_created bigint")["timestamp_created"]
+        "reviews", lambda text: F.coalesce(F.from_json(text, "timestamp_created bigint")["timestamp_created"], missing)
     )
-    oldest = F.array_min(F.transform(created, lambda t: F.coalesce(t, F.lit(2**31).cast("bigint"))))
-    cursor = F.coalesce(F.col("_fields.cursor"), F.lit(""))
-    dated = pages.select("appid", "page", "requested", "payload", fields.alias("_fields")).select(
+    cursor = F.coalesce(F.col("cursor"), F.lit(""))
+    dated = read.select(
         "appid",
         "page",
         "payload",
-        (F.coalesce(F.size("_fields.reviews"), F.lit(0)) <= 0).alias("_empty"),
-        day_of_epoch(oldest).alias("extract_date"),
+        (F.coalesce(F.size("reviews"), F.lit(0)) <= 0).alias("_empty"),
+        day_of_epoch(F.array_min(created)).alias("extract_date"),
         ((cursor == "") | cursor.eqNullSafe(F.col("requested"))).alias("_last"),
     )
     ends = F.col("_empty") | F.col("_last") | (F.col("extract_date") < F.lit(history_start).cast("date"))

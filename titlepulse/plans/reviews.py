@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from titlepulse.functions import day_of_epoch, json_fields, round_even, safe_ratio, truthy
+from titlepulse.functions import day_of_epoch, round_even, safe_ratio, truthy, with_json_fields
 from titlepulse.operators.latest import latest_by
 from titlepulse.operators.upsert import BATCH
 from titlepulse.plans.engagement import resolve_titles
@@ -30,21 +30,22 @@ def explode_reviews(pages: DataFrame) -> DataFrame:
     Each review is read from its own text, so a broken one costs only itself.
     """
     kept = [name for name in pages.columns if name != "payload"]
-    review = F.col("_review")
+    texts = (
+        with_json_fields(pages, F.col("payload"), _PAGE, kept)
+        .where(truthy(F.col("success")))
+        .select(*kept, F.explode("reviews").alias("_text"))
+    )
     return (
-        pages.select(*kept, json_fields(F.col("payload"), _PAGE).alias("_page"))
-        .where(truthy(F.col("_page.success")))
-        .select(*kept, F.explode("_page.reviews").alias("_text"))
-        .select(*kept, json_fields(F.col("_text"), _REVIEW).alias("_review"))
-        .where((review["recommendationid"] != "") & review["timestamp_created"].isNotNull())
+        with_json_fields(texts, F.col("_text"), _REVIEW, kept)
+        .where((F.col("recommendationid") != "") & F.col("timestamp_created").isNotNull())
         .select(
             *kept,
-            review["recommendationid"].alias("review_id"),
-            review["timestamp_created"].alias("review_ts"),
-            truthy(review["voted_up"]).alias("voted_up"),
-            review["author"]["playtime_at_review"].alias("playtime_at_review_min"),
-            review["language"].alias("language"),
-            truthy(review["received_for_free"]).alias("received_free"),
+            F.col("recommendationid").alias("review_id"),
+            F.col("timestamp_created").alias("review_ts"),
+            truthy(F.col("voted_up")).alias("voted_up"),
+            F.col("author.playtime_at_review").alias("playtime_at_review_min"),
+            "language",
+            truthy(F.col("received_for_free")).alias("received_free"),
         )
     )
 

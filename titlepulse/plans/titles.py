@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from titlepulse.functions import json_fields, release_year, slugify, truthy
+from titlepulse.functions import release_year, slugify, truthy, variant_text, with_json_fields
 from titlepulse.operators.latest import latest_by
 from titlepulse.operators.lookup import lookup_join
 from titlepulse.operators.upsert import BATCH, COALESCE, EITHER, NONEMPTY
@@ -49,23 +49,20 @@ _METADATA = [
 ]
 
 
-def _text(value: Column) -> Column:
-    """Text of a VARIANT that holds a string; NULL for any other kind."""
-    return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
+def _release_number(value: Column) -> Column:
+    """Year given as a bare whole number in a plausible range."""
+    number = F.when(F.schema_of_variant(value) == "BIGINT", F.try_variant_get(value, "$", "bigint"))
+    return F.when(number.between(1970, 2100), number.cast("int"))
 
 
-def _release_year(value: Column) -> Column:
-    kind = F.schema_of_variant(value)
-    number = F.when(kind == "BIGINT", F.try_variant_get(value, "$", "bigint"))
-    text = F.when(kind.startswith("OBJECT"), _text(F.try_variant_get(value, "$.date", "variant")))
-    return F.when(number.between(1970, 2100), number.cast("int")).otherwise(
-        release_year(F.coalesce(text, _text(value)))
-    )
+def _release_text(value: Column) -> Column:
+    """Text of a release date: the value itself, or the ``date`` of an object."""
+    return F.coalesce(variant_text(value), variant_text(F.try_variant_get(value, "$.date", "variant")))
 
 
 def _genre_name(entry: Column) -> Column:
-    named = _text(F.try_variant_get(entry, "$.description", "variant"))
-    return F.trim(F.coalesce(_text(entry), named))
+    named = variant_text(F.try_variant_get(entry, "$.description", "variant"))
+    return F.trim(F.coalesce(variant_text(entry), named))
 
 
 def store_titles(bronze: DataFrame) -> DataFrame:
@@ -74,32 +71,37 @@ def store_titles(bronze: DataFrame) -> DataFrame:
     A payload is the body itself, or an object whose first key holds the body.  Rows that are not successful,
     or lack a whole-number id or a name, are dropped.
     """
-    entries = F.from_json("payload", "map<string,string>")
-    is_body = F.map_contains_key("_entries", "success") & F.map_contains_key("_entries", "data")
-    first = F.get(F.map_values("_entries"), F.lit(0))
-    data = F.col("_body.data")
+    body_keys = F.map_contains_key("_entries", "success") & F.map_contains_key("_entries", "data")
+    body = F.when(body_keys, F.col("payload")).otherwise(F.get(F.map_values("_entries"), F.lit(0)))
+    entries = bronze.select("payload", "ingested_at", F.explode(F.array(F.from_json("payload", "map<string,string>"))).alias("_entries"))
+    read = with_json_fields(entries, body, _STORE_PAYLOAD, ["ingested_at"])
+    data = F.col("data")
     genres = F.filter(F.transform(data["genres"], _genre_name), lambda name: F.coalesce(name, F.lit("")) != "")
-    free = truthy(data["is_free"])
+    usable = read.where(data["steam_appid"].isNotNull() & truthy(F.col("success")))
+    named = usable.select(
+        "ingested_at",
+        "data",
+        F.trim(variant_text(data["name"])).alias("name"),
+        truthy(data["is_free"]).alias("is_free"),
+        genres.alias("_genres"),
+        _release_number(data["release_date"]).alias("_number"),
+        _release_text(data["release_date"]).alias("_text"),
+    )
+    price = F.coalesce(data["price_overview"]["final"].try_cast("int"), F.lit(0))
     return (
-        bronze.select("payload", "ingested_at", entries.alias("_entries"))
-        .select("ingested_at", F.when(is_body, F.col("payload")).otherwise(first).alias("_text"))
-        .select("ingested_at", json_fields(F.col("_text"), _STORE_PAYLOAD).alias("_body"))
-        .where(F.col("_body.data.steam_appid").isNotNull() & truthy(F.col("_body.success")))
+        named.where(F.col("name") != "")
         .select(
             data["steam_appid"].alias("appid"),
-            F.trim(_text(data["name"])).alias("name"),
-            _release_year(data["release_date"]).alias("release_year"),
-            free.alias("is_free"),
-            F.when(free, F.lit(0))
-            .otherwise(F.coalesce(data["price_overview"]["final"].try_cast("int"), F.lit(0)))
-            .alias("price_cents"),
+            "name",
+            F.coalesce("_number", release_year(F.col("_text"))).alias("release_year"),
+            "is_free",
+            F.when(F.col("is_free"), F.lit(0)).otherwise(price).alias("price_cents"),
             truthy(data["platforms"]["windows"]).alias("supports_windows"),
             truthy(data["platforms"]["mac"]).alias("supports_mac"),
             truthy(data["platforms"]["linux"]).alias("supports_linux"),
-            F.when(F.size(genres) > 0, genres).otherwise(F.array(F.lit("Unknown"))).alias("genre_list"),
+            F.when(F.size("_genres") > 0, F.col("_genres")).otherwise(F.array(F.lit("Unknown"))).alias("genre_list"),
             "ingested_at",
         )
-        .where(F.col("name") != "")
         .withColumn("primary_genre", F.get("genre_list", F.lit(0)))
         .select("appid", "name", *_METADATA, "ingested_at")
     )
