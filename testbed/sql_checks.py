@@ -186,7 +186,8 @@ BASE["indexed"] = f"""
 
 BASE["pivoted"] = f"""
     select w.game_id, w.week, i.twitch_idx, i.wiki_idx, i.trends_idx, i.reddit_idx, w.twitch_avg_viewers, w.wiki_pageviews,
-           {even('''(coalesce(twitch_idx, 0) + coalesce(wiki_idx, 0) + coalesce(trends_idx, 0) + coalesce(reddit_idx, 0))
+           {even('''(cast(round(100 * coalesce(twitch_idx, 0)) + round(100 * coalesce(wiki_idx, 0)) + round(100 * coalesce(trends_idx, 0))
+             + round(100 * coalesce(reddit_idx, 0)) as bigint) / 100)
              / nullif((twitch_idx is not null)::int + (wiki_idx is not null)::int + (trends_idx is not null)::int + (reddit_idx is not null)::int, 0)''', 2)}
              as attention_index
     from weekly w left join (

@@ -62,7 +62,9 @@ def attention_index(weekly: DataFrame, baseline_weeks: int = BASELINE_WEEKS) ->
     indexed = raw.select(
         *weekly.columns, *[round_even(F.col(f"_{s.index}"), 2).alias(s.index) for s in SIGNALS]
     )
-    total = reduce(lambda a, b: a + b, [F.coalesce(F.col(s.index), F.lit(0.0)) for s in SIGNALS])
+    # The indices have two decimals: their sum is taken in whole hundredths, so it has no rounding error.
+    hundredths = [F.coalesce(F.rint(F.col(s.index) * 100).cast("bigint"), F.lit(0)) for s in SIGNALS]
+    total = reduce(lambda a, b: a + b, hundredths) / 100
     present = reduce(lambda a, b: a + b, [F.col(s.index).isNotNull().cast("int") for s in SIGNALS])
     mean = indexed.withColumn("_mean", safe_ratio(total, present)).withColumn(
         "attention_index", round_even(F.col("_mean"), 2)

@@ -19,7 +19,7 @@ _ESTIMATE_PAYLOAD = "owners string, revenue variant, copiesSold variant"
 
 def _present(value: Column) -> Column:
     """Whether a VARIANT holds anything but JSON null."""
-    return ~F.coalesce(F.is_variant_null(value), F.lit(True))
+    return value.isNotNull() & ~F.is_variant_null(value)
 
 
 def _number(value: Column) -> Column:
