@@ -1,7 +1,7 @@
 """Every query again as SQL over the generated tables, for the check engine.
 
-The statements are written from the meaning of each operator: sums as whole millionths, rounding through
-``printf`` (exact on the binary value, ties to even), baselines by adding a list in order.  They share only the
+The statements are written from the meaning of each operator: exact sums as whole numbers of 2**-60, rounding
+through ``printf`` (exact on the binary value, ties to even).  They share only the
 plain-SQL input bindings with the queries.
 """
 
@@ -21,16 +21,30 @@ def half_up(value: str, digits: int) -> str:
     return f"cast(round(cast(cast(cast({value} as double) as varchar) as decimal(38, 18)), {digits}) as double)"
 
 
-def fixed(value: str) -> str:
-    return f"cast(round(({value}) * 1000000) as bigint)"
+_UNIT = "1152921504606846976"  # 2**60
 
 
-def mean(value: str) -> str:
-    return f"((sum({fixed(value)}) / 1000000) / nullif(count({value}), 0))"
+def units(value: str) -> str:
+    """A double as a whole number of 2**-60."""
+    number = f"cast({value} as double)"
+    return f"(cast(floor({number}) as hugeint) * {_UNIT} + cast(({number} - floor({number})) * cast({_UNIT} as double) as hugeint))"
 
 
-def total(value: str) -> str:
-    return f"(sum({fixed(value)}) / 1000000)"
+def as_double(whole: str) -> str:
+    """A whole number of 2**-60 as a double, rounded once: the leading parts are exact."""
+    half = "1073741824"
+    return (
+        f"(cast(({whole}) // {_UNIT} as double) + cast((({whole}) % {_UNIT}) // {half} as double) / {half}"
+        f" + cast((({whole}) % {half}) as double) / {half} / {half})"
+    )
+
+
+def total(value: str, over: str = "") -> str:
+    return as_double(f"sum({units(value)}) {over}")
+
+
+def mean(value: str, over: str = "") -> str:
+    return f"({total(value, over)} / nullif(count({value}) {over}, 0))"
 
 
 BASE = {name: text.replace("{", "").replace("}", "") for name, text in TEXT.items()}
@@ -177,17 +191,15 @@ BASE["observed"] = " union all ".join(
     for column, index in _SIGNALS.items()
 )
 
+_PAST = "over (partition by game_id, signal order by week rows between 13 preceding and 1 preceding)"
+
 BASE["indexed"] = f"""
     select game_id, week, signal, case when base > 0 then {even("v / base * 100", 2)} end as idx
-    from (select *, list_reduce(past, lambda a, b: a + b) / len(past) as base
-          from (select *, list(v) over (partition by game_id, signal order by week rows between 13 preceding and 1 preceding) as past
-                from observed) w
-          where past is not null and len(past) > 0) b"""
+    from (select *, {mean("v", _PAST)} as base from observed) w where base is not null"""
 
 BASE["pivoted"] = f"""
     select w.game_id, w.week, i.twitch_idx, i.wiki_idx, i.trends_idx, i.reddit_idx, w.twitch_avg_viewers, w.wiki_pageviews,
-           {even('''(cast(round(100 * coalesce(twitch_idx, 0)) + round(100 * coalesce(wiki_idx, 0)) + round(100 * coalesce(trends_idx, 0))
-             + round(100 * coalesce(reddit_idx, 0)) as bigint) / 100)
+           {even(f'''{as_double(" + ".join(units(f"coalesce({i}, 0)") for i in _SIGNALS.values()))}
              / nullif((twitch_idx is not null)::int + (wiki_idx is not null)::int + (trends_idx is not null)::int + (reddit_idx is not null)::int, 0)''', 2)}
              as attention_index
     from weekly w left join (

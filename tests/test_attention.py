@@ -48,9 +48,9 @@ def brute_force(rows, baseline_weeks=13):
             if not values:
                 indices[name] = None
                 continue
-            value = sum(values) if name in ("wiki_pageviews", "reddit_posts") else sum(values) / len(values)
+            value = sum(values) if name in ("wiki_pageviews", "reddit_posts") else math.fsum(values) / len(values)
             known = past[game, name][-baseline_weeks:]
-            base = sum(known) / len(known) if known else 0
+            base = math.fsum(known) / len(known) if known else 0
             indices[name] = round(value / base * 100, 2) if base > 0 else None
             past[game, name].append(value)
         present = [i for i in indices.values() if i is not None]

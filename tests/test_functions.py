@@ -1,10 +1,11 @@
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from titlepulse.functions import (
-    appid_key, blank_to_null, day_of_epoch, exact_mean, month_start, owner_range, quarter_start, release_year,
+    appid_key, blank_to_null, day_of_epoch, exact_mean, exact_total, month_start, owner_range, quarter_start, release_year,
     round_even, round_half_even_int, safe_ratio, slugify, truthy, week_start,
 )
 
@@ -84,9 +85,11 @@ def test_truthiness(spark):
 def test_ratio_and_exact_mean(spark):
     frame = spark.createDataFrame([(1.0, 0.0), (None, 2.0)], "a double, b double")
     assert [r[0] for r in frame.select(safe_ratio(F.col("a"), F.col("b"))).collect()] == [None, None]
-    values = [0.1, 0.2, 0.3, 1e9, -1e9]
-    means = set()
-    for order in (values, values[::-1], values[2:] + values[:2]):
-        frame = spark.createDataFrame([(v,) for v in order], "v double").repartition(3)
-        means.add(frame.agg(exact_mean(F.col("v"))).first()[0])
-    assert means == {0.12}
+    generator = random.Random(5)
+    values = [round(generator.uniform(-50, 5000), 2) for _ in range(999)] + [0.01, 0.3, 1e9, -1e9]
+    for order in (values, values[::-1], values[500:] + values[:500]):
+        frame = spark.createDataFrame([(v,) for v in order] + [(None,)], "v double").repartition(3)
+        assert frame.agg(exact_mean(F.col("v"))).first()[0] == math.fsum(values) / len(values)
+    row = spark.createDataFrame([(84.36, 38.88, 65.73, 125.81, None)], "a double, b double, c double, d double, e double")
+    assert row.select(exact_total([F.col(c) for c in row.columns])).first()[0] == math.fsum([84.36, 38.88, 65.73, 125.81])
+    assert row.where("false").agg(exact_mean(F.col("a"))).first()[0] is None

@@ -4,18 +4,17 @@ from titlepulse.functions.dates import day_of_epoch, iso_day, month_start, quart
 from titlepulse.functions.numbers import (
     exact_mean,
     exact_sum,
-    from_fixed,
+    exact_total,
     round_even,
     round_half_even_int,
     safe_ratio,
-    to_fixed,
 )
 from titlepulse.functions.payload import truthy, variant_text, with_json_fields
 from titlepulse.functions.text import appid_key, blank_to_null, owner_range, release_year, slugify
 
 __all__ = [
-    "appid_key", "blank_to_null", "day_of_epoch", "exact_mean", "exact_sum", "from_fixed", "iso_day",
+    "appid_key", "blank_to_null", "day_of_epoch", "exact_mean", "exact_sum", "exact_total", "iso_day",
     "month_start", "owner_range", "quarter_start", "release_year", "round_even",
-    "round_half_even_int", "safe_ratio", "slugify", "to_fixed", "truthy", "variant_text", "week_start",
+    "round_half_even_int", "safe_ratio", "slugify", "truthy", "variant_text", "week_start",
     "with_json_fields",
 ]

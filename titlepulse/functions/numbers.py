@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
-# Fixed-point scale of exact sums: a double with up to six decimals becomes a whole number of millionths.
-_SCALE = 1_000_000
+# A double is summed in three whole parts: its floor, and 60 bits of the fraction in two halves.
+_HALF_BITS = 30
+_HALF = float(2**_HALF_BITS)
+_MASK = 2**_HALF_BITS - 1
 # Splits a double into two halves short enough that a product with 10**digits has no rounding error.
 _SPLIT = float(2**27 + 1)
 
@@ -40,20 +45,38 @@ def safe_ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
-def to_fixed(value: Column) -> Column:
-    """Whole millionths of a number, so that sums are integer sums: exact, and equal on every retry."""
-    return F.rint(value.cast("double") * F.lit(float(_SCALE))).cast("bigint")
+def _whole_parts(value: Column) -> tuple[Column, Column, Column]:
+    number = value.cast("double")
+    floor = F.floor(number)
+    scaled = (number - floor) * F.lit(_HALF)
+    upper = F.floor(scaled)
+    return floor, upper, F.floor((scaled - upper) * F.lit(_HALF))
+
+
+def _joined(floor: Column, upper: Column, lower: Column) -> Column:
+    upper = upper + F.shiftright(lower, _HALF_BITS)
+    floor = floor + F.shiftright(upper, _HALF_BITS)
+    fraction = upper.bitwiseAND(F.lit(_MASK)) / F.lit(_HALF)
+    return (floor.cast("double") + fraction) + lower.bitwiseAND(F.lit(_MASK)) / F.lit(_HALF * _HALF)
 
 
-def from_fixed(millionths: Column) -> Column:
-    return millionths.cast("double") / F.lit(float(_SCALE))
+def exact_sum(value: Column, over: WindowSpec | None = None) -> Column:
+    """Aggregate: the exact sum of doubles, rounded once; NULLs ignored, NULL without values.
+
+    All sums are integer sums, so the result is the same in any order of rows and on every retry.  With
+    ``over`` it is a window function.
+    """
+    sums = [F.sum(part) for part in _whole_parts(value)]
+    return _joined(*(sums if over is None else [total.over(over) for total in sums]))
 
 
-def exact_sum(value: Column) -> Column:
-    """Aggregate: sum as double, independent of row order; NULLs ignored."""
-    return from_fixed(F.sum(to_fixed(value)))
+def exact_mean(value: Column, over: WindowSpec | None = None) -> Column:
+    """Aggregate: :func:`exact_sum` divided by the number of values."""
+    count = F.count(value)
+    return safe_ratio(exact_sum(value, over), count if over is None else count.over(over))
 
 
-def exact_mean(value: Column) -> Column:
-    """Aggregate: mean as double, independent of row order; NULLs ignored, NULL without values."""
-    return safe_ratio(exact_sum(value), F.count(value))
+def exact_total(values: list[Column]) -> Column:
+    """Exact sum of several columns of a row, rounded once; NULLs count as zero."""
+    parts = zip(*(_whole_parts(F.coalesce(value, F.lit(0.0))) for value in values))
+    return _joined(*(reduce(lambda a, b: a + b, part) for part in parts))

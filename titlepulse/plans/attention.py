@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from titlepulse.functions import exact_mean, exact_sum, iso_day, round_even, safe_ratio, week_start
+from titlepulse.functions import exact_mean, exact_sum, exact_total, iso_day, round_even, safe_ratio, week_start
 from titlepulse.operators.lookup import lookup_join
 from titlepulse.operators.ranking import top_within
 from titlepulse.schemas import (
@@ -38,8 +38,8 @@ def weekly_engagement(engagement: DataFrame) -> DataFrame:
     )
 
 
-def _index(signal: Signal, baseline_weeks: int) -> Column:
-    """Value as a percentage of the mean of the signal's last ``baseline_weeks`` earlier observations.
+def _baseline(signal: Signal, baseline_weeks: int) -> Column:
+    """Mean of the signal's last ``baseline_weeks`` earlier observations.
 
     Weeks in which the signal is absent form a partition of their own, so the frame counts observations and
     not calendar weeks, without turning every row into one row per signal.
@@ -48,8 +48,7 @@ def _index(signal: Signal, baseline_weeks: int) -> Column:
     earlier = (
         Window.partitionBy("game_id", value.isNull()).orderBy("week").rowsBetween(-baseline_weeks, -1)
     )
-    baseline = F.avg(value).over(earlier)
-    return F.when(value.isNotNull() & (baseline > 0), value / baseline * 100)
+    return exact_mean(value, earlier)
 
 
 def attention_index(weekly: DataFrame, baseline_weeks: int = BASELINE_WEEKS) -> DataFrame:
@@ -58,13 +57,17 @@ def attention_index(weekly: DataFrame, baseline_weeks: int = BASELINE_WEEKS) ->
     All windows lie within a title, which has one row per week of history: the rows move once.
     """
     by_title = weekly.repartition("game_id")
-    raw = by_title.select("*", *[_index(s, baseline_weeks).alias(f"_{s.index}") for s in SIGNALS])
+    based = by_title.select("*", *[_baseline(s, baseline_weeks).alias(f"_base_{s.index}") for s in SIGNALS])
+
+    def percent(signal: Signal) -> Column:
+        value, base = F.col(signal.column), F.col(f"_base_{signal.index}")
+        return F.when(value.isNotNull() & (base > 0), value / base * 100).alias(f"_{signal.index}")
+
+    raw = based.select(*weekly.columns, *[percent(s) for s in SIGNALS])
     indexed = raw.select(
         *weekly.columns, *[round_even(F.col(f"_{s.index}"), 2).alias(s.index) for s in SIGNALS]
     )
-    # The indices have two decimals: their sum is taken in whole hundredths, so it has no rounding error.
-    hundredths = [F.coalesce(F.rint(F.col(s.index) * 100).cast("bigint"), F.lit(0)) for s in SIGNALS]
-    total = reduce(lambda a, b: a + b, hundredths) / 100
+    total = exact_total([F.col(s.index) for s in SIGNALS])
     present = reduce(lambda a, b: a + b, [F.col(s.index).isNotNull().cast("int") for s in SIGNALS])
     mean = indexed.withColumn("_mean", safe_ratio(total, present)).withColumn(
         "attention_index", round_even(F.col("_mean"), 2)
