@@ -17,7 +17,7 @@ from titlepulse.plans import (
 )
 from titlepulse.sources import landing
 from titlepulse.sources.seed import crosswalk, read_seed
-from titlepulse.sources.shared import fresh_path
+from titlepulse.sources.shared import fresh_path, stage
 from titlepulse.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,8 +95,7 @@ def s3_append_bronze(inputs):
 @query
 def s4_load_seed(inputs):
     folder = fresh_path(inputs.spark, "seed")
-    cells = inputs.seed_cells.withColumn("storefronts", F.col("storefronts"))
-    cells.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+    inputs.seed_cells.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
     return read_seed(inputs.spark, folder).drop("seed_order")
 
 
@@ -487,14 +486,20 @@ def g6_attention_trends(inputs):
     return attention.attention_trends(inputs.engagement)
 
 
+def _cohorts(inputs):
+    """As in the jobs: the split starts from the written attention table."""
+    return attention.cohort_split(inputs.dimension, stage(attention.attention_trends(inputs.engagement), "attention"))
+
+
 @query
 def g7_cohort_split(inputs):
-    return attention.cohort_split(inputs.dimension, attention.attention_trends(inputs.engagement))
+    return _cohorts(inputs)
 
 
 @query
 def g8_top_titles(inputs):
-    return attention.top_titles(attention.attention_trends(inputs.engagement))
+    trends = attention.attention_trends(inputs.engagement)
+    return attention.top_titles(trends.select("week", "game_id", "attention_index"))
 
 
 @query
@@ -576,8 +581,7 @@ def q6_yearly_change(inputs):
 
 @query
 def q7_quarterly_viewer_share(inputs):
-    split = attention.cohort_split(inputs.dimension, attention.attention_trends(inputs.engagement))
-    return questions.quarterly_viewer_share(split).withColumn("quarter", F.to_date("quarter"))
+    return questions.quarterly_viewer_share(_cohorts(inputs)).withColumn("quarter", F.to_date("quarter"))
 
 
 @query
@@ -650,7 +654,7 @@ def d7_first_attention_rows(inputs):
 
 @query
 def d7_cohorts_in_order(inputs):
-    return checks.by_week_and_cohort(attention.cohort_split(inputs.dimension, attention.attention_trends(inputs.engagement)))
+    return checks.by_week_and_cohort(_cohorts(inputs))
 
 
 @query

@@ -13,5 +13,5 @@ def latest_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     copies of a hot key it holds.
     """
     rest = [name for name in df.columns if name not in keys]
-    row = F.struct(*rest)
-    return df.groupBy(keys).agg(F.max_by(row, F.struct(*order, row)).alias("_row")).select(*keys, "_row.*")
+    ordered = F.struct(*[column.alias(f"_{n}") for n, column in enumerate(order)], F.struct(*rest).alias("_row"))
+    return df.groupBy(keys).agg(F.max(ordered).alias("_last")).select(*keys, "_last._row.*")

@@ -87,9 +87,9 @@ def attention_trends(engagement: DataFrame, baseline_weeks: int = BASELINE_WEEKS
 
 
 def top_titles(attention: DataFrame, k: int = TOP_TITLES) -> DataFrame:
-    """The ``k`` titles with the highest index of every week; equal ones in order of id."""
+    """Rows of the ``k`` titles with the highest index of every week; equal ones in order of id."""
     order = [F.col("attention_index").desc_nulls_last(), F.col("game_id").asc()]
-    ranked = top_within(attention.select("week", "game_id", "attention_index"), ["week"], order, k)
+    ranked = top_within(attention, ["week"], order, k)
     # Titles without an index rank last, so dropping them here takes no place from another title.
     return ranked.where("attention_index is not null")
 
@@ -104,8 +104,12 @@ def cohort_split(titles: DataFrame, attention: DataFrame, k: int = TOP_TITLES) -
     Takes the attention table.  Titles absent from the dimension add to neither cohort, but keep the place
     they have among the ``k`` highest.  Both cohorts of a week come from one aggregate over the week.
     """
-    cohorts = cohort_of(titles)
-    known = lookup_join(attention, cohorts, ["game_id"], "left")
+    known = lookup_join(
+        attention.select("week", "game_id", "attention_index", "twitch_avg_viewers", "wiki_pageviews"),
+        cohort_of(titles),
+        ["game_id"],
+        "left",
+    )
     on, off = F.col("on_steam"), ~F.col("on_steam")
 
     def sums(name: str) -> list[Column]:
@@ -118,11 +122,8 @@ def cohort_split(titles: DataFrame, attention: DataFrame, k: int = TOP_TITLES) -
         *sums("twitch_avg_viewers"),
         *sums("wiki_pageviews"),
     )
-    tops = (
-        lookup_join(top_titles(attention, k), cohorts, ["game_id"])
-        .groupBy("week")
-        .agg(F.count_if(on).alias("on_top"), F.count_if(off).alias("off_top"))
-    )
+    ranked = top_titles(known.select("week", "game_id", "attention_index", "on_steam"), k)
+    tops = ranked.groupBy("week").agg(F.count_if(on).alias("on_top"), F.count_if(off).alias("off_top"))
 
     def row(side: str, label: str) -> Column:
         def share(name: str) -> Column:
