@@ -30,7 +30,8 @@ def lookup_join(
 
     A lookup table of checked size is broadcast, so the facts do not move.  A larger one is joined by shuffle,
     with every lookup row repeated per salt and the facts spread over the salts, so that a key holding a large
-    part of the facts is shared by ``salts`` tasks.
+    part of the facts is shared by ``salts`` tasks.  The lookup's plan runs twice, for the check and for the
+    join: stage one that is costly to derive.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"lookup_join cannot do a {how} join")

@@ -10,6 +10,7 @@ from titlepulse.operators.lookup import lookup_join
 from titlepulse.operators.ranking import top_within
 from titlepulse.schemas import HISTORY_START, SOURCE_KEYS
 from titlepulse.sources.seed import tracked_keys
+from titlepulse.sources.shared import stage
 
 # ---- fixed values: how much of a source one poll reads -------------------------------------------------------
 STREAMS_PER_POLL = 500
@@ -89,7 +90,7 @@ def rescale_to_anchor(terms: DataFrame, anchor: DataFrame) -> DataFrame:
 
     Weeks whose anchor is zero or absent, or whose value is absent, are dropped.  ``anchor`` has one row per week.
     """
-    scale = anchor.where("value != 0").select("week", F.col("value").alias("_anchor"))
+    scale = stage(anchor.where("value != 0").select("week", F.col("value").alias("_anchor")), "anchor")
     ratio = safe_ratio(F.col("value"), F.col("_anchor")) * 100
     return (
         lookup_join(terms.where("value is not null"), scale, ["week"])
@@ -129,7 +130,8 @@ def date_review_pages(pages: DataFrame, history_start: str = HISTORY_START) -> D
         ((cursor == "") | cursor.eqNullSafe(F.col("requested"))).alias("_last"),
     )
     ends = F.col("_empty") | F.col("_last") | (F.col("extract_date") < F.lit(history_start).cast("date"))
-    stops = dated.where(ends).groupBy("appid").agg(F.min("page").alias("_stop"))
+    # Written down, so that the size check and the join do not each read all pages for it.
+    stops = stage(dated.where(ends).groupBy("appid").agg(F.min("page").alias("_stop")), "review-stops")
     kept = lookup_join(dated, stops, ["appid"], "left").where(
         ~F.col("_empty") & (F.col("_stop").isNull() | (F.col("page") <= F.col("_stop")))
     )
