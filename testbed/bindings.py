@@ -19,7 +19,7 @@ TEXT = {
     # Titles with catalogue columns: one per order.
     "catalogue": """
         select concat('order-', cast(o_orderkey as string)) as game_id,
-               case when o_orderkey % 13 <> 0 then year(o_orderdate) end as release_year,
+               case when o_orderkey % 13 <> 0 then cast(year(o_orderdate) as int) end as release_year,
                case when o_orderkey % 11 <> 0 then o_orderpriority end as primary_genre,
                o_orderstatus = 'F' as is_free,
                case when o_orderkey % 17 <> 0 then cast(floor(o_totalprice) as int) end as price_cents,

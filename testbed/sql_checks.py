@@ -130,7 +130,7 @@ BASE["store_all"] = """
            true as supports_windows, p_partkey % 2 = 0 as supports_mac, p_partkey % 5 = 0 as supports_linux,
            case when p_partkey % 8 <> 0 then p_type else 'Unknown' end as primary_genre,
            case when p_partkey % 8 <> 0 then p_type || '|' || p_brand else 'Unknown' end as genre_list,
-           1704067200 + v.version as ingested_at
+           cast(1704067200 + v.version as bigint) as ingested_at
     from part, (values (1), (2)) as v(version)
     where (v.version = 1 or p_partkey % 3 = 0) and p_partkey % 53 <> 0 and p_partkey % 47 <> 0"""
 
@@ -443,7 +443,7 @@ check("j1_store_titles", "store_all", f"select {_STORE} from store_all")
 check("j2_latest_store_titles", "store", f"select {_STORE} from store")
 check("j3_title_dimension", "dim", "select * from dim")
 check("j4_stamp_titles", "dim", """
-    select game_id, case when steam_appid is not null then 'steam_store' else 'seed_titles' end as source, 1767225600 as ingested_at from dim""")
+    select game_id, case when steam_appid is not null then 'steam_store' else 'seed_titles' end as source, cast(1767225600 as bigint) as ingested_at from dim""")
 check("j5_crosswalk", "xwalk", "select * from xwalk")
 check("j5_resolve_titles", "snaps xwalk", """
     select s.source, c.game_id, cast(floor(epoch(ts)) as bigint) as ingested_at from snaps s join xwalk c using (source, entity_key)
@@ -522,7 +522,7 @@ check("q6_yearly_change", "genres", """
     from genres a where a.primary_genre = '1-URGENT'""")
 check("q7_quarterly_viewer_share", "cohorts", f"""
     select cast(date_trunc('quarter', cast(week as date)) as date) as quarter, cohort,
-           {half_up("sum(cast(round(twitch_viewer_share * 10000) as bigint)) / count(twitch_viewer_share) / 10000", 4)} as avg_twitch_viewer_share
+           {half_up(mean("twitch_viewer_share"), 4)} as avg_twitch_viewer_share
     from cohorts group by cast(date_trunc('quarter', cast(week as date)) as date), cohort""")
 check("q8_off_store_above_store", "monthly dimension", """
     select game_id, twitch_avg_viewers, rank from r
@@ -535,7 +535,7 @@ check("q10_biggest_spikes", "attention", """
     select game_id, week, attention_index, attention_wow_delta from attention where week >= '2001-05-27'
     order by attention_wow_delta desc nulls last, game_id, week limit 10""")
 check("q11_revenue_per_viewer", "revenue dimension", f"""
-    select d.is_free, {half_up("sum(cast(round(revenue_per_avg_viewer * 100) as bigint)) / count(*) / 100", 2)} as avg_revenue_per_viewer,
+    select d.is_free, {half_up(mean("revenue_per_avg_viewer"), 2)} as avg_revenue_per_viewer,
            count(distinct r.game_id) as titles
     from revenue r join dimension d using (game_id) where revenue_per_avg_viewer is not null group by d.is_free""")
 

@@ -18,7 +18,7 @@ def order():
 def skewed(spark):
     """A third of the rows in one group, many ties, and groups of one row."""
     generator = random.Random(3)
-    rows = [(i, "hot" if i % 3 == 0 else f"g{generator.randrange(200)}", generator.randrange(40)) for i in range(6000)]
+    rows = [(i, "hot" if i % 3 == 0 else None if i % 7 == 0 else f"g{generator.randrange(200)}", generator.randrange(40)) for i in range(6000)]
     return spark.createDataFrame(rows, "id int, g string, v int").repartition(7), rows
 
 

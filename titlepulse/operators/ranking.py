@@ -37,11 +37,16 @@ def rank_within(df: DataFrame, group: list[str], order: list[Column], rank: str
     )
     inside = Window.partitionBy("_slice", *group).orderBy(*order)
     earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per group and slice: as many as there are shuffle partitions, plus one per further group.
-    offsets = (
+    # Only the first group of a slice can have rows in earlier ones, so this is at most one row per slice: its
+    # size is bounded by the number of shuffle partitions.
+    open_groups = (
         slices.groupBy("_slice", *group)
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_slice", *group, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+        .select("_slice", F.struct(*group).alias("_open"), F.sum("_rows").over(earlier).alias("_before"))
+        .where("_before > 0")
+    )
+    placed = slices.withColumn("_place", F.row_number().over(inside))
+    before = F.when(F.struct(*group).eqNullSafe(F.col("_open")), F.col("_before")).otherwise(F.lit(0))
+    return placed.join(F.broadcast(open_groups), "_slice", "left").select(
+        *df.columns, (F.col("_place") + before).cast("int").alias(rank)
     )
-    placed = slices.withColumn("_place", F.row_number().over(inside)).join(offsets, ["_slice", *group])
-    return placed.select(*df.columns, (F.col("_place") + F.col("_before")).cast("int").alias(rank))

@@ -1,184 +1,123 @@
-"""Analytical questions over the derived tables, in SQL with parameters."""
+"""Analytical questions over the derived tables, with their parameters.
+
+Single values a question compares with are scalar subqueries, never joins.  Rounding is SQL ``round``.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from titlepulse.functions import exact_mean, safe_ratio
 
 
 def top_genres(genres: DataFrame, k: int = 5) -> DataFrame:
     """Genres with the most releases in the newest year."""
-    return genres.sparkSession.sql(
-        """
-        SELECT primary_genre, title_count
-        FROM {genres}
-        WHERE release_year = (SELECT max(release_year) FROM {genres})
-        ORDER BY title_count DESC, primary_genre
-        LIMIT :k
-        """,
-        args={"k": k},
-        genres=genres,
-    )
+    newest = genres.agg(F.max("release_year")).scalar()
+    rows = genres.where(F.col("release_year") == newest).select("primary_genre", "title_count")
+    return rows.orderBy(F.desc("title_count"), "primary_genre").limit(k)
 
 
 def price_free_and_paid(titles: DataFrame) -> DataFrame:
     """Mean price of free and of paid titles by year, in currency units."""
-    return titles.sparkSession.sql(
-        """
-        SELECT release_year,
-               round(avg(price_cents) FILTER (WHERE is_free) / 100.0D, 2) AS avg_price_free_usd,
-               round(avg(price_cents) FILTER (WHERE NOT is_free) / 100.0D, 2) AS avg_price_paid_usd,
-               count(*) AS titles
-        FROM {titles}
-        WHERE release_year IS NOT NULL
-        GROUP BY release_year
-        ORDER BY release_year
-        """,
-        titles=titles,
+
+    def mean_usd(who: Column) -> Column:
+        return F.round(F.avg(F.when(who, F.col("price_cents"))) / 100, 2)
+
+    return (
+        titles.where("release_year is not null")
+        .groupBy("release_year")
+        .agg(
+            mean_usd(F.col("is_free")).alias("avg_price_free_usd"),
+            mean_usd(~F.col("is_free")).alias("avg_price_paid_usd"),
+            F.count(F.lit(1)).alias("titles"),
+        )
+        .orderBy("release_year")
     )
 
 
 def platform_share_change(platforms: DataFrame, first: int = 2018, last: int = 2024) -> DataFrame:
     """Change of each platform's share of releases between two years."""
-    return platforms.sparkSession.sql(
-        """
-        WITH shares AS (
-            SELECT release_year, platform,
-                   title_count / sum(title_count) OVER (PARTITION BY release_year) AS share
-            FROM {platforms}
-            WHERE release_year IN (:first, :last)
-        )
-        SELECT platform,
-               round(max(share) FILTER (WHERE release_year = :last)
-                     - max(share) FILTER (WHERE release_year = :first), 4) AS share_delta
-        FROM shares
-        GROUP BY platform
-        ORDER BY share_delta DESC, platform
-        """,
-        args={"first": first, "last": last},
-        platforms=platforms,
+    in_year = F.sum("title_count").over(Window.partitionBy("release_year"))
+    shares = platforms.where(F.col("release_year").isin(first, last)).withColumn(
+        "_share", safe_ratio(F.col("title_count"), in_year)
     )
 
+    def share_in(year: int) -> Column:
+        return F.max(F.when(F.col("release_year") == year, F.col("_share")))
+
+    change = F.round(share_in(last) - share_in(first), 4).alias("share_delta")
+    return shares.groupBy("platform").agg(change).orderBy(F.desc("share_delta"), "platform")
+
 
 def free_genre_mix(titles: DataFrame) -> DataFrame:
     """Genres of the free titles and their share."""
-    return titles.sparkSession.sql(
-        """
-        SELECT primary_genre,
-               count(*) AS titles,
-               round(count(*) / sum(count(*)) OVER (), 4) AS share
-        FROM {titles}
-        WHERE is_free
-        GROUP BY primary_genre
-        ORDER BY titles DESC, primary_genre
-        """,
-        titles=titles,
-    )
+    counts = titles.where("is_free").groupBy("primary_genre").agg(F.count(F.lit(1)).alias("titles"))
+    everything = counts.agg(F.sum("titles")).scalar()
+    share = F.round(safe_ratio(F.col("titles"), everything), 4)
+    return counts.withColumn("share", share).orderBy(F.desc("titles"), "primary_genre")
 
 
 def peak_year(platforms: DataFrame, platform: str = "linux") -> DataFrame:
     """The release year with the most titles on a platform."""
-    return platforms.sparkSession.sql(
-        """
-        SELECT release_year, title_count
-        FROM {platforms}
-        WHERE platform = :platform
-        ORDER BY title_count DESC, release_year
-        LIMIT 1
-        """,
-        args={"platform": platform},
-        platforms=platforms,
-    )
+    years = platforms.where(F.col("platform") == platform).select("release_year", "title_count")
+    return years.orderBy(F.desc("title_count"), "release_year").limit(1)
 
 
 def yearly_change(genres: DataFrame, genre: str = "Action") -> DataFrame:
     """Releases of one genre by year and the change from the year before."""
-    return genres.sparkSession.sql(
-        """
-        SELECT release_year, title_count,
-               title_count - lag(title_count) OVER (ORDER BY release_year) AS yoy_change
-        FROM {genres}
-        WHERE primary_genre = :genre
-        ORDER BY release_year
-        """,
-        args={"genre": genre},
-        genres=genres,
+    before = F.lag("title_count").over(Window.partitionBy("primary_genre").orderBy("release_year"))
+    return (
+        genres.where(F.col("primary_genre") == genre)
+        .select("release_year", "title_count", (F.col("title_count") - before).alias("yoy_change"))
+        .orderBy("release_year")
     )
 
 
 def quarterly_viewer_share(cohorts: DataFrame) -> DataFrame:
     """Mean weekly viewer share of each cohort by quarter."""
-    return cohorts.sparkSession.sql(
-        """
-        SELECT date_trunc('QUARTER', to_date(week)) AS quarter,
-               cohort,
-               round(avg(twitch_viewer_share), 4) AS avg_twitch_viewer_share
-        FROM {cohorts}
-        GROUP BY date_trunc('QUARTER', to_date(week)), cohort
-        ORDER BY quarter, cohort
-        """,
-        cohorts=cohorts,
-    )
+    quarter = F.date_trunc("quarter", F.to_date("week")).alias("quarter")
+    mean = F.round(exact_mean(F.col("twitch_viewer_share")), 4).alias("avg_twitch_viewer_share")
+    return cohorts.groupBy(quarter, "cohort").agg(mean).orderBy("quarter", "cohort")
 
 
 def off_store_above_store(monthly: DataFrame, titles: DataFrame) -> DataFrame:
     """Titles not on the main store that rank above its best title, in the newest month."""
-    return monthly.sparkSession.sql(
-        """
-        WITH ranked AS (
-            SELECT m.game_id, m.twitch_avg_viewers, m.rank, t.on_steam
-            FROM {monthly} m JOIN {titles} t USING (game_id)
-            WHERE m.month = (SELECT max(month) FROM {monthly})
-        )
-        SELECT game_id, twitch_avg_viewers, rank
-        FROM ranked
-        WHERE NOT on_steam AND rank < (SELECT min(rank) FROM ranked WHERE on_steam)
-        ORDER BY rank
-        """,
-        monthly=monthly,
-        titles=titles,
+    newest = monthly.agg(F.max("month")).scalar()
+    ranked = (
+        monthly.where(F.col("month") == newest)
+        .join(titles.select("game_id", "on_steam"), "game_id")
+        .select("game_id", "twitch_avg_viewers", "rank", "on_steam")
     )
+    best = ranked.where("on_steam").agg(F.min("rank")).scalar()
+    return ranked.where(~F.col("on_steam") & (F.col("rank") < best)).drop("on_steam").orderBy("rank")
 
 
 def attention_of(attention: DataFrame, game_id: str = "counter-strike-2", since: str = "2024-01-01") -> DataFrame:
     """Weekly indices of one title since a date."""
-    return attention.sparkSession.sql(
-        """
-        SELECT week, attention_index, twitch_idx, wiki_idx, trends_idx, reddit_idx
-        FROM {attention}
-        WHERE game_id = :game_id AND week >= :since
-        ORDER BY week
-        """,
-        args={"game_id": game_id, "since": since},
-        attention=attention,
-    )
+    weeks = attention.where((F.col("game_id") == game_id) & (F.col("week") >= since))
+    return weeks.select("week", "attention_index", "twitch_idx", "wiki_idx", "trends_idx", "reddit_idx").orderBy("week")
 
 
 def biggest_spikes(attention: DataFrame, as_of: str | None = None, days: int = 35, k: int = 10) -> DataFrame:
     """Largest week-to-week rises in the ``days`` before ``as_of`` (today when not given)."""
-    return attention.sparkSession.sql(
-        """
-        SELECT game_id, week, attention_index, attention_wow_delta
-        FROM {attention}
-        WHERE week >= cast(date_sub(coalesce(to_date(:as_of), current_date()), :days) AS string)
-        ORDER BY attention_wow_delta DESC NULLS LAST, game_id, week
-        LIMIT :k
-        """,
-        args={"as_of": as_of, "days": days, "k": k},
-        attention=attention,
+    today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
+    recent = attention.where(F.col("week") >= F.date_sub(today, days).cast("string"))
+    return (
+        recent.select("game_id", "week", "attention_index", "attention_wow_delta")
+        .orderBy(F.desc_nulls_last("attention_wow_delta"), "game_id", "week")
+        .limit(k)
     )
 
 
 def revenue_per_viewer(revenue: DataFrame, titles: DataFrame) -> DataFrame:
     """Mean revenue per viewer of free and of paid titles."""
-    return revenue.sparkSession.sql(
-        """
-        SELECT t.is_free,
-               round(avg(r.revenue_per_avg_viewer), 2) AS avg_revenue_per_viewer,
-               count(DISTINCT r.game_id) AS titles
-        FROM {revenue} r JOIN {titles} t USING (game_id)
-        WHERE r.revenue_per_avg_viewer IS NOT NULL
-        GROUP BY t.is_free
-        """,
-        revenue=revenue,
-        titles=titles,
+    known = revenue.where("revenue_per_avg_viewer is not null").select("game_id", "revenue_per_avg_viewer")
+    return (
+        known.join(titles.select("game_id", "is_free"), "game_id")
+        .groupBy("is_free")
+        .agg(
+            F.round(exact_mean(F.col("revenue_per_avg_viewer")), 2).alias("avg_revenue_per_viewer"),
+            F.countDistinct("game_id").alias("titles"),
+        )
     )
