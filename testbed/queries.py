@@ -17,7 +17,7 @@ from titlepulse.plans import (
 )
 from titlepulse.sources import landing
 from titlepulse.sources.seed import crosswalk, read_seed
-from titlepulse.sources.shared import fresh_path, stage
+from titlepulse.sources.shared import ensure_shared_folder, fresh_path, stage
 from titlepulse.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,7 +26,11 @@ NOW = "2026-01-01 00:00:00"
 
 
 def query(function: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
-    QUERIES[function.__name__] = lambda spark, folder: flat(function(Inputs(spark, folder)))
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ensure_shared_folder(spark)
+        return flat(function(Inputs(spark, folder)))
+
+    QUERIES[function.__name__] = run
     return function
 
 

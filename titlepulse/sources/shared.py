@@ -2,33 +2,57 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folder: str | None = None
+# Innermost last: the root folder of the run in progress, under which its staged tables lie.
+_roots: list[str] = []
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``.
+def named_folder(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
-    Only a session on one machine, with the setting absent, gets a temporary folder of its own: on a cluster a
-    machine-local folder would be lost with the executor.
-    """
-    global _local_folder
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+
+def shared_folder(spark: SparkSession) -> str:
+    """Folder named by ``spark.checkpoint.dir``.  Without it there is no place that outlives an executor."""
+    named = named_folder(spark)
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if _local_folder is None:
-        _local_folder = tempfile.mkdtemp(prefix="titlepulse-")
-    return _local_folder
+    return named.rstrip("/")
+
+
+def ensure_shared_folder(spark: SparkSession) -> None:
+    """For tests, the bench and the registered queries: a session on one machine that names no folder gets one."""
+    if not named_folder(spark) and spark.sparkContext.master.startswith("local"):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="titlepulse-"))
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_roots[-1] if _roots else shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextlib.contextmanager
+def staging_root(spark: SparkSession, label: str = "run") -> Iterator[str]:
+    """What is staged inside the block lies under one folder, which is deleted at its end.
+
+    Only for code that writes its results inside the block: a frame that reads a staged table can't be used after it.
+    """
+    root = fresh_path(spark, label)
+    _roots.append(root)
+    try:
+        yield root
+    finally:
+        _roots.remove(root)
+        delete_folder(spark, root)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
