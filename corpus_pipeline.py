@@ -9,13 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from titlepulse.llm import mixing, packing, pii, quality_rules
-from titlepulse.llm.common import table
-from titlepulse.sources.shared import ensure_shared_folder, stage
+from titlepulse.llm.common import prepare, table
+from titlepulse.sources.shared import stage
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that every quality rule passes."""
-    ensure_shared_folder(spark)
+    prepare(spark)
     return quality_rules.judge(docs).where("kept").select(*docs.columns)
 
 
@@ -26,13 +26,13 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order in which the sources' schedule takes them."""
-    ensure_shared_folder(spark)
+    prepare(spark)
     return mixing.in_mixed_order(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces, each with its place in a sequence."""
-    ensure_shared_folder(spark)
+    prepare(spark)
     return packing.pack(docs)
 
 
@@ -45,7 +45,7 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ensure_shared_folder(spark)
+    prepare(spark)
     docs = table(spark, sf_dir, "documents")
     for number, (_, function) in enumerate(STAGES):
         docs = stage(function(spark, docs, sf_dir), f"stage-{number}")

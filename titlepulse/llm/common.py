@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import pathlib
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from titlepulse.sources.shared import stage
+from titlepulse.sources.shared import ensure_shared_folder, stage
 
 # White space as all contracts have it: the blank and code points 9 to 13.
 SPACES = " \t\n\x0b\x0c\r"
@@ -23,6 +26,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def prepare(spark: SparkSession) -> None:
+    """For registered queries: a shared folder, and this checkout on the path of a single machine's Python workers."""
+    ensure_shared_folder(spark)
+    root, set_ = str(pathlib.Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in set_.get("PYTHONPATH", "").split(os.pathsep):
+        set_["PYTHONPATH"] = os.pathsep.join(filter(None, [root, set_.get("PYTHONPATH", "")]))
+
+
 def words_of(text: str | None) -> list[bytes]:
     """The words of a text as UTF-8; none for null.  ``bytes.split`` cuts at exactly the six characters above."""
     return text.encode("utf-8", "surrogatepass").split() if text else []
@@ -67,7 +78,6 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
 
 def arrow_map(df: DataFrame, function, schema: str) -> DataFrame:
     """``mapInArrow`` for a function from one record batch to a dict of columns."""
-    fields = pa.schema([])  # the driver's schema in Arrow's terms, for empty batches as well
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 

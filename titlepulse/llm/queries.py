@@ -7,23 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titlepulse.llm import mixing, packing, pii, quality_classifier, quality_rules, topk, url_filter
-from titlepulse.llm.common import table
+from titlepulse.llm import mixing, packing, pii, quality_classifier, quality_rules, substring_dedup, topk, url_filter
+from titlepulse.llm.common import prepare, table
 from titlepulse.llm.sql_checks import CHECKS
-from titlepulse.sources.shared import ensure_shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        ensure_shared_folder(spark)
+        prepare(spark)
         return function(spark, folder)
 
     QUERIES[function.__name__] = run
     return run
 
 
+@query
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.dedup(table(spark, folder, "documents")).drop("kept_text")
+
+
 @query
 def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.grade(table(spark, folder, "documents"), table(spark, folder, "labels"))

@@ -6,6 +6,23 @@ from titlepulse.llm import mixing, quality_rules, topk
 
 CHECKS: dict[str, str] = {}
 
+CHECKS["op1_substring_dedup"] = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), windows AS (
+  SELECT row, doc_id, unnest(range(1, len(w) - 11)) AS i, unnest(list_transform(range(1, len(w) - 11), lambda i: array_to_string(w[i:i + 12], ' '))) AS s
+  FROM texts WHERE len(w) >= 13
+), gone AS (
+  SELECT DISTINCT row, unnest(range(i, i + 13)) AS i
+  FROM (SELECT row, i, doc_id, min(doc_id) OVER (PARTITION BY s) AS smallest FROM windows WHERE doc_id IS NOT NULL) WHERE smallest < doc_id
+), listed AS (
+  SELECT row, list(i) AS g FROM gone GROUP BY row
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(g), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(list_filter(w, lambda x, i: g IS NULL OR NOT list_contains(g, i)), ' ')) AS kept_sha256
+FROM texts LEFT JOIN listed USING (row)
+"""
+
 CHECKS["op3_source_mixing"] = f"""
 WITH RECURSIVE counted AS (
   SELECT coalesce('=' || source, 'null') AS k, count(*) AS n FROM documents GROUP BY 1
