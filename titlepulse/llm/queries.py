@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titlepulse.llm import mixing, packing, pii, quality_classifier, quality_rules, substring_dedup, topk, url_filter
+from titlepulse.llm import mixing, ngram_join, packing, pii, quality_classifier, quality_rules, substring_dedup, topk, url_filter
 from titlepulse.llm.common import prepare, table
 from titlepulse.llm.sql_checks import CHECKS
 
@@ -42,6 +42,11 @@ def op3_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.groups(table(spark, folder, "documents"))
+
+
 @query
 def op5_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"))

@@ -56,6 +56,29 @@ SELECT doc_id, source, block, (block * w) // b.parts AS release, ((block + 1) *
 FROM blocks AS b JOIN template AS m ON m.k = b.k AND m.j = block % b.parts
 """
 
+CHECKS["op4_ngram_jaccard_join"] = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM texts
+), flat AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM flat AS a JOIN flat AS b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), both_ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT a AS doc_id, a AS m FROM both_ways
+  UNION
+  SELECT e.b, r.m FROM reach AS r JOIN both_ways AS e ON e.a = r.doc_id AND r.m < e.b
+), least AS (
+  SELECT doc_id, min(m) AS m FROM reach GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(m, doc_id) AS component_id FROM sets LEFT JOIN least USING (doc_id)
+"""
+
 CHECKS["op5_exact_topk"] = f"""
 WITH usable AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor({topk.SCALE} * CAST(x AS DOUBLE))) AS v FROM embeddings
