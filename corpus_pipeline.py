@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from titlepulse.llm import mixing, packing, pii, quality_rules
+from titlepulse.llm import mixing, ngram_join, packing, pii, quality_rules
 from titlepulse.llm.common import prepare, table
 from titlepulse.sources.shared import stage
 
@@ -19,8 +19,15 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_rules.judge(docs).where("kept").select(*docs.columns)
 
 
+def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one with the smallest doc_id, of each group that 4/5 of equal shingles link."""
+    prepare(spark)
+    return ngram_join.keep_one(docs)
+
+
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; personal data in the texts gives way to its kind in brackets."""
+    prepare(spark)
     return pii.redact(docs)
 
 
@@ -38,6 +45,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [
     ("quality rules", quality_stage),
+    ("near copies", near_copies_stage),
     ("personal data", pii_stage),
     ("mixing", mixing_stage),
     ("packing", packing_stage),

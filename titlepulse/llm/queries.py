@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titlepulse.llm import mixing, ngram_join, packing, pii, quality_classifier, quality_rules, substring_dedup, topk, url_filter
+from titlepulse.llm import katz_lm, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, substring_dedup, topk, url_filter
 from titlepulse.llm.common import prepare, table
 from titlepulse.llm.sql_checks import CHECKS
 
@@ -52,6 +52,11 @@ def op5_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"))
 
 
+@query
+def op6_katz_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return katz_lm.score(table(spark, folder, "documents"))
+
+
 @query
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
