@@ -70,6 +70,13 @@ def words_column(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE_RUN))
 
 
+def set_aside(df: DataFrame) -> tuple[DataFrame, dict[str, str], list[Column]]:
+    """The frame with names that no operator uses inside, the new name of each column, and the columns as they were."""
+    safe = df.toDF(*[f"__c{n}" for n in range(len(df.columns))])
+    names = dict(zip(df.columns, safe.columns))
+    return safe, names, [F.col(new).alias(old) for old, new in names.items()]
+
+
 def once(df: DataFrame, **columns: Column) -> DataFrame:
     """Add columns through a generator, so that Catalyst can't copy their expressions into what stands above."""
     values = F.struct(*[value.alias(name) for name, value in columns.items()])

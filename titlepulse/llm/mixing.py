@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from titlepulse.llm.common import rank_in_groups
+from titlepulse.llm.common import rank_in_groups, set_aside
 
 PERIOD, BLOCK_DOCS = 1000, 64
 
@@ -25,8 +25,8 @@ PERIOD, BLOCK_DOCS = 1000, 64
 TEMPLATE_ROWS = 100_000
 
 
-def source_key():
-    return F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null"))
+def source_key(column: str = "source"):
+    return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("null"))
 
 
 def target_parts(docs: DataFrame, weights: dict[str | None, float] | None = None, period: int = PERIOD) -> DataFrame:
@@ -85,8 +85,9 @@ def period_template(parts: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, period: int = PERIOD, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """Every document of a source that takes part, with ``_block, _release, _due, _slot, _offset``."""
-    keyed = docs.withColumn("_key", source_key())
-    ranked = rank_in_groups(keyed, "_key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), "_rank")
+    safe, names, back = set_aside(docs)
+    keyed = safe.withColumn("_key", source_key(names["source"]))
+    ranked = rank_in_groups(keyed, "_key", F.md5(F.coalesce(F.col(names["doc_id"]).cast("string"), F.lit(""))), "_rank")
     parts = target_parts(docs, weights, period)
     template = period_template(parts)
     if template.count() <= TEMPLATE_ROWS:
@@ -103,7 +104,7 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, period:
         blocks.withColumn("_release", F.expr("(_block * period) div parts"))
         .withColumn("_due", F.expr("((_block + 1) * period + parts - 1) div parts"))
         .withColumn("_slot", F.expr("(_block div parts) * period + t"))
-        .select(*docs.columns, "_block", "_release", "_due", "_slot", "_offset")
+        .select(*back, "_block", "_release", "_due", "_slot", "_offset")
     )
 
 

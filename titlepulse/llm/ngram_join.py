@@ -185,7 +185,7 @@ def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
-    """The overlaps of all pairs: shingles that all sets have count once, the others by a product of matrices."""
+    """The overlaps of all pairs of different sets: shingles that all sets have count once, the others by a product of matrices."""
     flat = np.concatenate(sets)
     values, column, counts = np.unique(flat, return_inverse=True, return_counts=True)
     row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])

@@ -1,9 +1,9 @@
 """URL filter: rules first, then trust and distrust spread over the links between hosts.
 
 A rule names a host and the beginning of a path; it fits the host and its subdomains, and the longest that fits
-decides.  For every other url the method decides by its host: personalised PageRank from the hosts that rules
-allow runs along links (who is linked from trusted hosts is trusted), and the same from the hosts that rules block
-runs against them (who links to blocked hosts is distrusted).  A host is blocked where its distrust is at least
+decides.  For every other url the method decides by its host: personalised PageRank from the hosts that rules mostly
+allow runs along links (who is linked from trusted hosts is trusted), and the same from the hosts that rules mostly
+block runs against them (who links to blocked hosts is distrusted).  A host is blocked where its distrust is at least
 ``MIN_DISTRUST`` of the blocked seeds' mean and exceeds its trust ``RATIO`` times; otherwise, and without any links,
 it is allowed.
 
@@ -84,7 +84,7 @@ def host_verdicts(pages: DataFrame, judged: DataFrame) -> DataFrame:
     along = edges.join(out, "src").select("src", "dst", (F.col("n") / F.col("all")).alias("share"))
     into = edges.groupBy("dst").agg(F.sum("n").alias("all"))
     against = edges.join(into, "dst").select(F.col("dst").alias("src"), F.col("src").alias("dst"), (F.col("n") / F.col("all")).alias("share"))
-    # A seed's weight is the share of its pages that rules allow or block, so that one bad path does not condemn a host.
+    # Seeds are hosts that rules allow, or block, on more than half of their pages: one bad path condemns no host.
     shares = stage(
         judged.where("host <> ''").groupBy("host").agg(
             F.avg(F.when(F.col("r.verdict") == "allow", 1.0).otherwise(0.0)).alias("good"),
@@ -97,8 +97,8 @@ def host_verdicts(pages: DataFrame, judged: DataFrame) -> DataFrame:
         steps = 0
     else:
         steps = ITERATIONS
-    good = shares.where("good > 0").select("host", F.col("good").alias("weight"))
-    bad = shares.where("bad > 0").select("host", F.col("bad").alias("weight"))
+    good = shares.where("2 * good > 1").select("host", F.col("good").alias("weight"))
+    bad = shares.where("2 * bad > 1").select("host", F.col("bad").alias("weight"))
     trust = spread(good, along, "trust", steps).withColumnRenamed("score", "trust")
     distrust = spread(bad, against, "distrust", steps).withColumnRenamed("score", "distrust")
     seeds = bad.count()
