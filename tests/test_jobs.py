@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from conftest import rows_of
@@ -171,3 +172,77 @@ def test_bad_dates_in_envelopes_are_null(spark, tmp_path):
     land(tmp_path, "x.jsonl", [{"source": "reddit", "extract_date": "soon", "ingested_at": "later", "payload": "{}"}])
     row = landing.type_envelopes(landing.read_landing(spark, str(tmp_path)), "b").first()
     assert (row["extract_date"], row["ingested_at"], row["source"]) == (None, None, "reddit")
+
+
+def test_a_second_poll_is_ingested_once(spark, seed, tmp_path):
+    tables = Tables(spark, str(tmp_path / "lake"))
+    (tmp_path / "land").mkdir()
+    for n, viewers in enumerate((100, 200)):
+        land(tmp_path / "land", f"poll{n}.jsonl", [envelope("twitch_helix", "Fortnite", "2024-01-01", {"viewers": viewers}, n)])
+        jobs.ingest(tables, str(tmp_path / "land"))
+    assert jobs.ingest(tables, str(tmp_path / "land"), "again") == "again"
+    jobs.build_engagement(tables, seed, F.lit("2026-01-01"))
+    assert content(tables, "silver_engagement_daily", "game_id string, twitch_avg_viewers double") == [("fortnite", 150.0)]
+    jobs.ingest(tables, str(tmp_path / "land"), "again")
+    assert jobs.bronze(tables).count() == 2
+
+
+def test_two_streams_into_one_table(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path / "lake"))
+    for n in range(2):
+        (tmp_path / f"land{n}").mkdir()
+        land(tmp_path / f"land{n}", "a.jsonl", [envelope("reddit", f"k{n}", "2024-01-01", {})])
+        ingest_new_files(tables, str(tmp_path / f"land{n}"), str(tmp_path / f"progress{n}")).awaitTermination()
+    assert rows_of(jobs.bronze(tables), "entity_key") == [("k0",), ("k1",)]
+
+
+def test_expire_keeps_the_committed_version_and_damage_is_not_empty(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path / "lake"))
+    good = spark.createDataFrame([(1,)], "n int")
+    tables.replace("t", good)
+    for _ in range(2):
+        with pytest.raises(Exception, match="lost"):
+            tables.replace("t", good.withColumn("n", F.raise_error(F.lit("lost")).cast("int")))
+    tables.expire("t", 2)
+    tables.expire("t", 0)
+    assert tables.read("t", "n int").count() == 1
+    assert tables.read("absent", "n int").count() == 0
+    for marker in (tmp_path / "lake/t/_committed").iterdir():
+        marker.unlink()
+    with pytest.raises(RuntimeError, match="no version was committed"):
+        tables.read("t", "n int")
+    with pytest.raises(RuntimeError):
+        tables.upsert("t", good, "n int", ["n"], {})
+
+
+def test_a_run_leaves_nothing_staged(spark, seed, folder, tmp_path):
+    from titlepulse.sources.shared import shared_folder
+
+    before = set(os.listdir(shared_folder(spark)))
+    tables = Tables(spark, str(tmp_path / "lake"))
+    for _ in range(3):
+        jobs.run_all(tables, seed, str(folder), "b", NOW)
+    assert set(os.listdir(shared_folder(spark))) == before
+    assert len(tables._versions("gold_title_monthly")) == 2
+
+
+def test_tables_are_asked_in_sql_by_name(tables, spark):
+    jobs.register_views(tables)
+    top = spark.sql("""select primary_genre, title_count from gold_genre_trends
+                       where release_year = (select max(release_year) from gold_genre_trends) order by title_count desc limit 5""")
+    assert rows_of(top, "primary_genre", "title_count") == [("MOBA", 1)]
+    off = spark.sql("""with latest as (select m.*, t.on_steam from gold_title_monthly m join silver_titles t using (game_id)
+                                       where month = (select max(month) from gold_title_monthly))
+                       select game_id from latest where not on_steam and rank < (select min(rank) from latest where on_steam)""")
+    assert rows_of(off, "game_id") == [("fortnite",)]
+
+
+def test_a_store_id_that_is_no_number_fails_the_job(spark, tmp_path):
+    from titlepulse.sources.seed import unreadable_ids
+
+    (tmp_path / "s.csv").write_text(HEADER + "\nzed,Zed,10x,,,s,,steam\nabe,\t Abe\t,\t5 ,,,t,,steam\n")
+    with pytest.raises(Exception, match="not a store id: 10x"):
+        read_seed(spark, str(tmp_path / "s.csv")).collect()
+    raw = spark.read.option("header", True).csv(str(tmp_path / "s.csv"))
+    assert [r["game_id"] for r in unreadable_ids(raw).collect()] == ["zed"]
+    assert rows_of(read_seed(spark, str(tmp_path / "s.csv")).where("game_id = 'abe'"), "name", "steam_appid") == [("Abe", 5)]

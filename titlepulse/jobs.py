@@ -10,17 +10,50 @@ from pyspark.sql import functions as F
 
 from titlepulse import schemas
 from titlepulse.plans import attention, catalogue, engagement, estimates, leaderboard, reviews, titles
-from titlepulse.sources.landing import read_landing, type_envelopes
+from titlepulse.sources.landing import landing_files, read_landing, type_envelopes
+from titlepulse.sources.shared import staging_root
 from titlepulse.sources.tables import Tables
 
 BRONZE_PARTITIONS = ("source", "batch_id")
+LANDING_FILES = "path string, batch_id string"
+
+# Every table of a lake, for reading by name.
+TABLES = {
+    "bronze_game_events": schemas.BRONZE,
+    "silver_titles": schemas.TITLES,
+    "silver_engagement_daily": schemas.ENGAGEMENT,
+    "silver_reviews": schemas.REVIEWS,
+    "silver_sales_estimates": schemas.ESTIMATES,
+    "gold_platform_trends": schemas.PLATFORM_TRENDS,
+    "gold_genre_trends": schemas.GENRE_TRENDS,
+    "gold_attention_trends": schemas.ATTENTION_TRENDS,
+    "gold_steam_vs_offsteam": schemas.COHORT_SPLIT,
+    "gold_title_monthly": schemas.TITLE_MONTHLY,
+    "gold_revenue_engagement": schemas.REVENUE_ENGAGEMENT,
+}
+
+
+def register_views(tables: Tables) -> None:
+    """Make every table of the lake a view that ``spark.sql`` knows by its name."""
+    tables.register_views(TABLES)
 
 
 def ingest(tables: Tables, landing_folder: str, batch_id: str | None = None) -> str:
-    """Append the landing folder to the raw table; returns the batch id, which a retry should pass again."""
+    """Append the landing files that no other batch has read; returns the batch id, which a retry should pass again.
+
+    Which batch read which file is a table of its own, written after the rows: a retry under the same id reads the
+    same files again and replaces its rows.  Landing files are not changed once they are there.
+    """
     batch_id = batch_id or str(uuid4())
-    rows = type_envelopes(read_landing(tables.spark, landing_folder), batch_id)
-    tables.append_batch("bronze_game_events", rows, BRONZE_PARTITIONS, ("extract_date",))
+    spark = tables.spark
+    there = spark.createDataFrame([(path,) for path in landing_files(spark, landing_folder)], "path string")
+    others = tables.read("bronze_landing_files", LANDING_FILES).where(F.col("batch_id") != batch_id)
+    new = there.join(others, "path", "left_anti").withColumn("batch_id", F.lit(batch_id))
+    paths = [row["path"] for row in new.select("path").toLocalIterator()]
+    if paths:
+        rows = type_envelopes(read_landing(spark, paths), batch_id)
+        tables.append_batch("bronze_game_events", rows, BRONZE_PARTITIONS, ("extract_date",))
+        tables.append_batch("bronze_landing_files", new, ("batch_id",))
     return batch_id
 
 
@@ -77,14 +110,18 @@ def build_attention(tables: Tables) -> None:
     tables.replace("gold_revenue_engagement", leaderboard.revenue_engagement(dimension, monthly, sales))
 
 
-def run_all(tables: Tables, seed: DataFrame, landing_folder: str, batch_id: str | None = None, now: datetime | None = None) -> str:
-    """Everything, from the landing folder to the derived tables."""
+def run_all(tables: Tables, seed: DataFrame, landing_folder: str, batch_id: str | None = None, now: datetime | None = None, keep_versions: int = 2) -> str:
+    """Everything, from the landing folder to the derived tables; what was staged and old versions go at the end."""
     stamp = F.lit(now or datetime.now(timezone.utc))
     batch_id = ingest(tables, landing_folder, batch_id)
-    build_titles(tables, seed, stamp)
-    build_engagement(tables, seed, stamp)
-    build_reviews(tables, seed)
-    build_estimates(tables, seed)
-    build_catalogue(tables)
-    build_attention(tables)
+    with staging_root(tables.spark):
+        build_titles(tables, seed, stamp)
+        build_engagement(tables, seed, stamp)
+        build_reviews(tables, seed)
+        build_estimates(tables, seed)
+        build_catalogue(tables)
+        build_attention(tables)
+    for name in TABLES:
+        if name.startswith(("silver", "gold")):
+            tables.expire(name, keep_versions)
     return batch_id

@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 from titlepulse.schemas import BRONZE, LANDING, columns
 
 
-def read_landing(spark: SparkSession, folder: str, pattern: str = "*.jsonl") -> DataFrame:
-    """All envelopes of a folder, every field as text; a field a line lacks is NULL."""
+def landing_files(spark: SparkSession, folder: str, pattern: str = "*.jsonl") -> list[str]:
+    """Paths of the landing files; none of them is read."""
+    return sorted(read_landing(spark, folder, pattern).inputFiles())
+
+
+def read_landing(spark: SparkSession, folder: str | list[str], pattern: str = "*.jsonl") -> DataFrame:
+    """All envelopes of a folder or of files, every field as text; a field a line lacks is NULL."""
     return spark.read.schema(LANDING).option("pathGlobFilter", pattern).json(folder)
 
 

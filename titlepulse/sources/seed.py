@@ -5,12 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titlepulse.functions import blank_to_null
+from titlepulse.functions import appid_key, blank_to_null, strip
 from titlepulse.schemas import SEED, SOURCE_KEYS, columns
 
 _TEXT_COLUMNS = ("game_id", "name", "twitch_category", "wikipedia_article", "subreddit", "trends_term")
 
 
+def _unreadable(number: Column) -> Column:
+    return number.isNotNull() & number.try_cast("bigint").isNull()
+
+
+def unreadable_ids(raw: DataFrame) -> DataFrame:
+    """The rows of a raw crosswalk whose store id is there and is not a whole number."""
+    return raw.where(_unreadable(blank_to_null(F.col("steam_appid"))))
+
+
+def canonical_key(sources: tuple[str, ...] | list[str]) -> Column:
+    """The key of an envelope as the crosswalk writes it; NULL for a store id that is not a number."""
+    by_id = [source for source in sources if SOURCE_KEYS[source] == "steam_appid"]
+    return F.when(F.col("source").isin(by_id), appid_key(F.col("entity_key"))).otherwise(F.col("entity_key"))
+
+
 def read_seed(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """Read the crosswalk CSV; see :func:`clean_seed`.  ``seed_order`` keeps the order of the lines."""
     reader = spark.read.option("header", True).option("escape", '"')
@@ -20,10 +35,16 @@ def read_seed(spark: SparkSession, path: str, glob: str | None = None) -> DataFr
 
 
 def clean_seed(raw: DataFrame) -> DataFrame:
-    """Trim every cell, blank cells to NULL, typed store id, storefronts as a list; rows without id or name go."""
+    """Strip every cell, blank cells to NULL, typed store id, storefronts as a list; rows without id or name go.
+
+    A store id that is there and is not a whole number fails the job: read as NULL, it would move its title to
+    another cohort.  ``unreadable_ids`` lists such rows.
+    """
     cells = {name: blank_to_null(F.col(name)).alias(name) for name in _TEXT_COLUMNS}
-    cells["steam_appid"] = F.trim("steam_appid").try_cast("bigint").alias("steam_appid")
-    parts = F.transform(F.split(F.coalesce(F.col("storefronts"), F.lit("")), r"\|"), lambda part: F.trim(part))
+    number = blank_to_null(F.col("steam_appid"))
+    wrong = F.raise_error(F.concat(F.lit("seed: not a store id: "), number)).cast("bigint")
+    cells["steam_appid"] = F.when(_unreadable(number), wrong).otherwise(number.try_cast("bigint")).alias("steam_appid")
+    parts = F.transform(F.split(F.coalesce(F.col("storefronts"), F.lit("")), r"\|"), strip)
     cells["storefronts"] = F.filter(parts, lambda part: part != "").alias("storefronts")
     if "seed_order" in raw.columns:
         cells["seed_order"] = F.col("seed_order")

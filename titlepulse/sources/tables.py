@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from titlepulse.operators.upsert import upsert
 from titlepulse.schemas import columns
+from titlepulse.sources.shared import delete_folder
 
 _VERSION = re.compile(r"^v(\d{8})$")
 
@@ -16,9 +17,10 @@ _VERSION = re.compile(r"^v(\d{8})$")
 class Tables:
     """Named tables under ``base``.
 
-    A replaced table gets a new version folder; readers take the newest one with Spark's success marker, which
-    appears only when the write has been committed.  So a table can be rebuilt from itself, and a failed run
-    leaves the old version in place.  One writer per table at a time.
+    A replaced table gets a new version folder; once it is written, an empty file of its name in ``_committed``
+    makes it the current one.  So a table can be rebuilt from itself, and a failed run leaves the old version in
+    place.  Data without such a file, or a file whose folder is gone, is damage and not an empty table: reading
+    raises.  One writer per table at a time.
     """
 
     def __init__(self, spark: SparkSession, base: str):
@@ -62,6 +64,7 @@ class Tables:
         if partition_by:
             writer = rows.hint("rebalance", *[F.col(c) for c in partition_by]).write.partitionBy(*partition_by)
         writer.parquet(path)
+        self._commit(name, path.rpartition("/")[2])
         return self.spark.read.schema(rows.schema).parquet(path).select(rows.columns)
 
     def upsert(self, name: str, batch: DataFrame, ddl: str, keys: list[str], rules: dict[str, str]) -> DataFrame:
@@ -69,9 +72,20 @@ class Tables:
         return self.replace(name, upsert(self.read(name, ddl), batch, keys, rules))
 
     def expire(self, name: str, keep: int = 2) -> None:
-        """Delete all but the newest ``keep`` versions."""
-        for version in sorted(self._versions(name))[:-keep]:
-            self._fs().delete(self._path(f"{self.base}/{name}/v{version:08d}"), True)
+        """Delete all but the newest ``keep`` committed versions, and what failed writes before them have left.
+
+        The current version always stays.
+        """
+        kept = sorted(self._committed(name))[-max(1, keep) :]
+        for version in self._versions(name):
+            if kept and version < kept[-1] and version not in kept:
+                delete_folder(self.spark, f"{self.base}/{name}/v{version:08d}")
+                delete_folder(self.spark, f"{self.base}/{name}/_committed/v{version:08d}")
+
+    def register_views(self, ddl_of: dict[str, str]) -> None:
+        """A temporary view for each named table, so that it can be asked in SQL by its name."""
+        for name, ddl in ddl_of.items():
+            self.read(name, ddl).createOrReplaceTempView(name)
 
     # -- folders -------------------------------------------------------------------------------------------
 
@@ -90,14 +104,25 @@ class Tables:
     def _versions(self, name: str) -> list[int]:
         return [int(m.group(1)) for m in map(_VERSION.match, self._folders(name)) if m]
 
+    def _committed(self, name: str) -> list[int]:
+        return [int(m.group(1)) for m in map(_VERSION.match, self._folders(f"{name}/_committed")) if m]
+
+    def _commit(self, name: str, version: str) -> None:
+        self._fs().create(self._path(f"{self.base}/{name}/_committed/{version}")).close()
+
     def _newest(self, name: str) -> int:
-        return max(self._versions(name), default=0)
+        return max([*self._versions(name), *self._committed(name)], default=0)
 
     def _current(self, name: str) -> str | None:
         if "rows" in self._folders(name):
             return f"{self.base}/{name}/rows"
-        for version in sorted(self._versions(name), reverse=True):
-            path = f"{self.base}/{name}/v{version:08d}"
-            if self._fs().exists(self._path(f"{path}/_SUCCESS")):
-                return path
+        committed, versions = self._committed(name), self._versions(name)
+        if committed:
+            if max(committed) not in versions:
+                raise RuntimeError(f"table {name}: version {max(committed)} was committed and is gone")
+            return f"{self.base}/{name}/v{max(committed):08d}"
+        # A write that failed leaves Spark's own folders only.
+        for version in versions:
+            if any(file[0] not in "_." for file in self._folders(f"{name}/v{version:08d}")):
+                raise RuntimeError(f"table {name}: version {version} holds data and no version was committed")
         return None

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from titlepulse.jobs import BRONZE_PARTITIONS
@@ -11,16 +13,31 @@ from titlepulse.sources.landing import type_envelopes
 from titlepulse.sources.tables import Tables
 
 
+def stream_id(spark: SparkSession, progress_folder: str) -> str:
+    """The id of a progress folder, the name of a file that is made with the folder's first use."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{progress_folder}/stream-id")
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(folder):
+        names = sorted(status.getPath().getName() for status in files.listStatus(folder))
+        if names:
+            return names[0]
+    made = uuid.uuid4().hex
+    files.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, made)).close()
+    return made
+
+
 def ingest_new_files(tables: Tables, landing_folder: str, progress_folder: str, pattern: str = "*.jsonl") -> StreamingQuery:
     """Append every landing file once.
 
     The progress folder remembers which files were read; a micro-batch that is run again writes under the same
-    batch id and so replaces its own rows.
+    batch id and so replaces its own rows.  The batch id holds an id kept in the progress folder: numbers start again
+    in every new folder, and must not meet those of another stream or of a folder that was lost.
     """
+    stream = stream_id(tables.spark, progress_folder)
     raw = tables.spark.readStream.schema(LANDING).option("pathGlobFilter", pattern).json(landing_folder)
 
     def append(rows: DataFrame, number: int) -> None:
-        typed = type_envelopes(rows, f"stream-{number:08d}")
+        typed = type_envelopes(rows, f"stream-{stream}-{number:08d}")
         tables.append_batch("bronze_game_events", typed, BRONZE_PARTITIONS, ("extract_date",))
 
     return (
