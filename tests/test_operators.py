@@ -67,20 +67,34 @@ def test_latest_by(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_lookup_join_is_the_same_by_broadcast_and_by_salted_shuffle(spark, how):
+def test_lookup_join_is_the_same_by_broadcast_and_by_shuffle(spark, how):
     facts = spark.createDataFrame([("hot" if i % 3 else f"k{i}", i % 5) for i in range(3000)], "k string, v int").repartition(5)
     lookup = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(0, 3000, 2)], "k string, w int")
     assert fits_broadcast(lookup) and not fits_broadcast(lookup, max_rows=10) and not fits_broadcast(lookup, max_bytes=100)
     small = lookup_join(facts, lookup, ["k"], how)
-    large = lookup_join(facts, lookup, ["k"], how, max_rows=10, salts=4)
+    large = lookup_join(facts, lookup, ["k"], how, max_rows=10)
     assert rows_of(small, "k", "v", "w") == rows_of(large, "k", "v", "w") == rows_of(facts.join(lookup, ["k"], how), "k", "v", "w")
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
 
 
-def test_salting_spreads_copies_of_one_row(spark):
-    facts = spark.range(0, 4000, 1, 8).select(F.lit("hot").alias("k"), F.lit(1).alias("v"))
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64("k", "v") + F.spark_partition_id(), F.lit(32)))
-    assert salted.agg(F.countDistinct("_salt")).first()[0] == 8
+def test_the_size_check_brings_no_rows_together(spark):
+    from pyspark.sql import functions as F
+
+    from titlepulse.operators import lookup as module
+
+    seen = []
+    frame = spark.range(1000).select(F.col("id").cast("string").alias("k"), F.array(F.lit("x")).alias("v")).repartition(4)
+
+    class Spy(type(frame)):
+        def agg(self, *columns):
+            out = super().agg(*columns)
+            seen.append(out._jdf.queryExecution().executedPlan().toString())
+            return out
+
+    frame.__class__ = Spy
+    assert module.fits_broadcast(frame)
+    below = seen[0].split("SinglePartition")[1]
+    assert "partial_count" in below and "Limit" not in below
 
 
 OLD = [("a", 1, 1, True, ["x"], 1), ("b", 2, 2, None, ["y"], 2), ("c", 3, None, False, None, 3), (None, 9, 9, True, [], 9)]

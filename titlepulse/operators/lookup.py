@@ -4,41 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
-SALTS = 32
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether a frame is proven to be within the bounds; at most ``max_rows + 1`` rows are looked at."""
-    width = F.length(F.to_json(F.struct("*")))
-    size = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("w"))
-    found = size.first()
+    """Whether a frame is proven to be within the bounds: one count and one sum, a row from each task."""
+    width = F.lit(0)
+    for field in df.schema:
+        plain = isinstance(field.dataType, (T.NumericType, T.DateType, T.TimestampType, T.BooleanType))
+        text = F.col(field.name) if isinstance(field.dataType, T.StringType) else F.to_json(F.struct(field.name))
+        width = width + (F.lit(8) if plain else F.coalesce(F.octet_length(text), F.lit(0)) + 8)
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width.cast("bigint")), F.lit(0)).alias("w")).first()
     return found["n"] <= max_rows and found["w"] <= max_bytes
 
 
-def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: list[str],
-    how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
+def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner", max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join facts to a lookup table, ``inner`` or ``left``.
 
-    A lookup table of checked size is broadcast, so the facts do not move.  A larger one is joined by shuffle,
-    with every lookup row repeated per salt and the facts spread over the salts, so that a key holding a large
-    part of the facts is shared by ``salts`` tasks.  The lookup's plan runs twice, for the check and for the
-    join: stage one that is costly to derive.
+    A lookup table of checked size is broadcast, so the facts do not move.  A larger one is joined by shuffle, where
+    adaptive execution splits the part of the facts that one key has made large; no lookup row is copied for keys
+    that are not.  The lookup's plan runs twice, for the check and for the join: stage one that is costly to derive.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"lookup_join cannot do a {how} join")
-    if fits_broadcast(lookup, max_rows):
-        return facts.join(F.broadcast(lookup), on, how)
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    repeated = lookup.withColumn("_salt", every_salt)
-    # Rows of a key fall on salts by content and by the task they come from, so exact copies spread as well.
-    spread = F.pmod(F.xxhash64(*facts.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
-    return facts.withColumn("_salt", spread).join(repeated, [*on, "_salt"], how).drop("_salt")
+    return facts.join(F.broadcast(lookup) if fits_broadcast(lookup, max_rows) else lookup, on, how)
