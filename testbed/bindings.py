@@ -22,14 +22,14 @@ TEXT = {
                case when o_orderkey % 13 <> 0 then cast(year(o_orderdate) as int) end as release_year,
                case when o_orderkey % 11 <> 0 then o_orderpriority end as primary_genre,
                o_orderstatus = 'F' as is_free,
-               case when o_orderkey % 17 <> 0 then cast(floor(o_totalprice) as int) end as price_cents,
+               case when o_orderkey % 17 <> 0 then cast(floor(o_totalprice) as bigint) end as price_cents,
                true as supports_windows, o_orderkey % 2 = 0 as supports_mac, o_orderkey % 5 = 0 as supports_linux
         from {orders}""",
-    # Title dimension: one per supplier; some suppliers are missing from it.
+    # Title dimension: one per supplier.
     "dimension": f"""
         select {_SUPPLIER_ID.format("s_suppkey")} as game_id, s_suppkey % 3 <> 0 as on_steam,
                s_suppkey % 4 = 0 as is_free
-        from {{supplier}} where s_suppkey % 10 <> 7""",
+        from {{supplier}}""",
     # Daily engagement: one row per supplier and ship date, with gaps in every signal.
     "engagement": f"""
         select {_SUPPLIER_ID.format("l_suppkey")} as game_id, cast(l_shipdate as date) as date,
@@ -57,7 +57,7 @@ TEXT = {
         from {{orders}}
         group by o_custkey, cast(o_orderdate as date),
                  case when o_orderpriority < '4' then 'gamalytic' else 'steamspy' end""",
-    # Seed crosswalk, as the text cells of its file: one title per part, a quarter of the parts left out.
+    # Seed crosswalk, as the text cells of its file: one title per part.
     "seed_cells": """
         select concat(' title-', cast(p_partkey as string)) as game_id,
                concat(p_name, ' ', cast(p_partkey as string)) as name,
@@ -67,7 +67,7 @@ TEXT = {
                concat('sub', cast(p_partkey - p_partkey % 2 as string)) as subreddit,
                case when p_partkey % 5 <> 0 then concat('term ', cast(p_partkey as string)) end as trends_term,
                case when p_partkey % 12 = 0 then ' own | ' when p_partkey % 8 = 1 then '' else 'steam|gog' end as storefronts
-        from {part} where p_partkey % 4 <> 3""",
+        from {part}""",
     # Reviews, one per event.
     "reviews": """
         select concat('user-', cast(user_id as string)) as game_id, cast(event_id as string) as review_id,
@@ -316,7 +316,7 @@ _SIDE = """
                c_custkey % {a} <> 0 as on_steam,
                case when c_custkey % {b} = 0 then 2000 + c_nationkey end as release_year,
                case when c_custkey % {c} = 0 then c_nationkey % 2 = 0 end as is_free,
-               case when c_custkey % {b} = 0 then cast(floor(c_acctbal) as int) end as price_cents,
+               case when c_custkey % {b} = 0 then cast(floor(c_acctbal) as bigint) end as price_cents,
                true as supports_windows,
                case when c_custkey % {c} = 0 then c_custkey % 7 = 0 end as supports_mac,
                case when c_custkey % {d} = 0 then c_custkey % 11 = 0 end as supports_linux,
@@ -328,7 +328,7 @@ _SIDE = """
 
 _SIDES = {
     "old": {"mark": " old", "a": 4, "b": 2, "c": 3, "d": 2, "keep": "c_custkey % 3 <> 1"},
-    "new": {"mark": " new", "a": 5, "b": 3, "c": 5, "d": 3, "keep": "c_custkey % 2 = 0"},
+    "new": {"mark": " new", "a": 5, "b": 3, "c": 5, "d": 3, "keep": "c_custkey % 3 = 1 or c_custkey % 2 = 0"},
 }
 
 

@@ -147,15 +147,15 @@ def _old_days(inputs):
 @query
 def m2_upsert_engagement(inputs):
     twice = {c: F.col(c) * 2 for c in engagement.SNAPSHOT_COLUMNS}
-    batch = inputs.engagement.where("day(date) % 2 = 0").withColumns(twice)
+    batch = inputs.engagement.where("day(date) % 3 = 0 or day(date) % 2 = 0").withColumns(twice).withColumn("ingested_at", F.lit(NOW).cast("timestamp"))
     batch = batch.withColumn("twitch_avg_viewers", F.when(F.day("date") % 5 != 0, F.col("twitch_avg_viewers")))
-    return upsert(_old_days(inputs), batch, engagement.ENGAGEMENT_KEYS, engagement.SNAPSHOT_RULES).drop("ingested_at")
+    return upsert(_old_days(inputs), batch, engagement.ENGAGEMENT_KEYS, engagement.SNAPSHOT_RULES)
 
 
 @query
 def m3_upsert_reviews(inputs):
     old = inputs.reviews.where("cast(review_id as bigint) % 3 <> 0")
-    new = inputs.reviews.where("cast(review_id as bigint) % 2 = 0").withColumns(
+    new = inputs.reviews.where("cast(review_id as bigint) % 3 = 0 or cast(review_id as bigint) % 2 = 0").withColumns(
         {"voted_up": ~F.col("voted_up"), "language": F.lit(None).cast("string")}
     )
     return upsert(old, new, reviews.REVIEW_KEYS, reviews.REVIEW_RULES)
@@ -163,16 +163,16 @@ def m3_upsert_reviews(inputs):
 
 @query
 def m4_upsert_review_days(inputs):
-    batch = inputs.engagement.where("day(date) % 2 = 0").select(
+    batch = inputs.engagement.where("day(date) % 3 = 0 or day(date) % 2 = 0").select(
         "game_id", "date", (F.coalesce("reviews_posted", F.lit(0)) * 2).alias("reviews_posted"), F.lit(0.5).alias("reviews_positive_share")
     )
-    return upsert(_old_days(inputs), batch, engagement.ENGAGEMENT_KEYS, reviews.REVIEW_DAY_RULES).drop("ingested_at")
+    return upsert(_old_days(inputs), batch, engagement.ENGAGEMENT_KEYS, reviews.REVIEW_DAY_RULES)
 
 
 @query
 def m5_upsert_estimates(inputs):
     old = inputs.estimates.where("day(snapshot_date) % 3 <> 0")
-    new = inputs.estimates.where("day(snapshot_date) % 2 = 0").withColumn(
+    new = inputs.estimates.where("day(snapshot_date) % 3 = 0 or day(snapshot_date) % 2 = 0").withColumn(
         "est_revenue_lifetime_usd", F.col("est_revenue_lifetime_usd") * 2
     )
     return upsert(old, new, estimates.ESTIMATE_KEYS, estimates.ESTIMATE_RULES)
@@ -303,8 +303,9 @@ def p18_sql_scalars(inputs):
                case when o_totalprice >= 100000 or o_orderpriority in ('1-URGENT', '2-HIGH') then 'big' else 'small' end as kind,
                size(split(o_orderpriority, '-')) as parts,
                round(o_totalprice / 1000, 1) as thousands,
-               date_sub(to_date(o_orderdate), 35) as earlier
-        from {orders} where o_orderdate is not null and cast(to_date(o_orderdate) as string) >= '1996-01-01'"""
+               date_sub(to_date(o_orderdate), 35) as earlier,
+               o_orderdate is not null and cast(to_date(o_orderdate) as string) >= '1996-01-01' as recent
+        from {orders}"""
     )
 
 
@@ -324,7 +325,7 @@ def r2_capped_streams(inputs):
 @query
 def r3_posts_of_day(inputs):
     communities = inputs.posts.select("community").unionByName(inputs.table("nation").select(F.concat(F.lit("n"), "n_nationkey").alias("community")))
-    return landing_shapes.posts_of_day(inputs.posts, communities, F.lit("2024-01-03").cast("date"), ["post_id"], 20)
+    return landing_shapes.posts_of_day(inputs.posts, communities, F.lit("2024-01-03").cast("date"))
 
 
 @query
@@ -349,7 +350,7 @@ def r7_date_review_pages(inputs):
 
 @query
 def r8_unpack_keyed(inputs):
-    return landing_shapes.unpack_keyed(inputs.keyed_objects(), 3)
+    return landing_shapes.unpack_keyed(inputs.keyed_objects())
 
 
 @query
@@ -563,6 +564,11 @@ def q2_price_free_and_paid(inputs):
     return questions.price_free_and_paid(inputs.catalogue)
 
 
+@query
+def q2_price_indie_and_other(inputs):
+    return questions.price_indie_and_other(inputs.catalogue, "2-HIGH")
+
+
 @query
 def q3_platform_share_change(inputs):
     return questions.platform_share_change(catalogue.platform_trends(inputs.catalogue), 1996, 2000)
@@ -590,7 +596,7 @@ def q7_quarterly_viewer_share(inputs):
 
 @query
 def q8_off_store_above_store(inputs):
-    return questions.off_store_above_store(_monthly(inputs), inputs.dimension)
+    return questions.off_store_above_store(_monthly(inputs), inputs.dimension.withColumn("on_steam", ~F.col("on_steam")))
 
 
 @query

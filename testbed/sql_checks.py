@@ -126,7 +126,7 @@ BASE["store_all"] = """
     select p_partkey as appid, p_name || ' ' || p_brand as name, v.version,
            case p_partkey % 6 when 4 then null when 5 then null else 1990 + p_partkey % 35 end as release_year,
            p_size % 5 = 0 as is_free,
-           cast(case when p_size % 5 = 0 or p_partkey % 9 = 0 then 0 else floor(p_retailprice) + v.version end as int) as price_cents,
+           cast(case when p_size % 5 = 0 or p_partkey % 9 = 0 then 0 else floor(p_retailprice) + v.version end as bigint) as price_cents,
            true as supports_windows, p_partkey % 2 = 0 as supports_mac, p_partkey % 5 = 0 as supports_linux,
            case when p_partkey % 8 <> 0 then p_type else 'Unknown' end as primary_genre,
            case when p_partkey % 8 <> 0 then p_type || '|' || p_brand else 'Unknown' end as genre_list,
@@ -327,24 +327,24 @@ check("m2_upsert_engagement", "engagement", f"""
            coalesce(case when day(n.date) % 5 <> 0 then n.twitch_avg_viewers * 2 end, o.twitch_avg_viewers) as twitch_avg_viewers,
            {", ".join(f"coalesce(n.{c} * 2, o.{c}) as {c}" for c in _SNAPSHOT[1:])},
            case when o.game_id is null then n.reviews_posted else o.reviews_posted end as reviews_posted,
-           cast(null as double) as reviews_positive_share
+           cast(null as double) as reviews_positive_share, case when n.game_id is not null then cast(1767225600 as bigint) end as ingested_at
     from o full join n on o.game_id = n.game_id and o.date = n.date""",
-      o=_OLD_DAYS, n="select * from engagement where day(date) % 2 = 0")
+      o=_OLD_DAYS, n="select * from engagement where day(date) % 3 = 0 or day(date) % 2 = 0")
 check("m3_upsert_reviews", "reviews", """
     select * from reviews where cast(review_id as bigint) % 3 <> 0 and cast(review_id as bigint) % 2 <> 0
     union all
     select game_id, review_id, review_ts, not voted_up, playtime_at_review_min, null, received_free
-    from reviews where cast(review_id as bigint) % 2 = 0""")
+    from reviews where cast(review_id as bigint) % 3 = 0 or cast(review_id as bigint) % 2 = 0""")
 check("m4_upsert_review_days", "engagement", f"""
     select coalesce(n.game_id, o.game_id) as game_id, coalesce(n.date, o.date) as date, {", ".join(f"o.{c}" for c in _SNAPSHOT)},
            case when n.game_id is null then o.reviews_posted else n.r end as reviews_posted,
-           case when n.game_id is null then o.reviews_positive_share else 0.5 end as reviews_positive_share
+           case when n.game_id is null then o.reviews_positive_share else 0.5 end as reviews_positive_share, cast(null as bigint) as ingested_at
     from o full join n on o.game_id = n.game_id and o.date = n.date""",
-      o=_OLD_DAYS, n="select game_id, date, coalesce(reviews_posted, 0) * 2 as r from engagement where day(date) % 2 = 0")
+      o=_OLD_DAYS, n="select game_id, date, coalesce(reviews_posted, 0) * 2 as r from engagement where day(date) % 3 = 0 or day(date) % 2 = 0")
 check("m5_upsert_estimates", "estimates", """
     select game_id, snapshot_date, est_owners_low, est_owners_high, est_units_lifetime,
-           est_revenue_lifetime_usd * case when day(snapshot_date) % 2 = 0 then 2 else 1 end as est_revenue_lifetime_usd, est_source
-    from estimates where day(snapshot_date) % 3 <> 0 or day(snapshot_date) % 2 = 0""")
+           est_revenue_lifetime_usd * case when day(snapshot_date) % 3 = 0 or day(snapshot_date) % 2 = 0 then 2 else 1 end as est_revenue_lifetime_usd, est_source
+    from estimates""")
 
 # ---- column expressions --------------------------------------------------------------------------------------
 
@@ -386,8 +386,9 @@ check("p18_sql_scalars", "", f"""
     select o_orderkey, coalesce(nullif(o_orderstatus, 'P'), 'pending') as status,
            case when o_totalprice >= 100000 or o_orderpriority in ('1-URGENT', '2-HIGH') then 'big' else 'small' end as kind,
            cast(len(string_split(o_orderpriority, '-')) as int) as parts, {half_up("o_totalprice / 1000", 1)} as thousands,
-           cast(cast(o_orderdate as date) - interval 35 day as date) as earlier
-    from orders where o_orderdate is not null and cast(o_orderdate as date) >= date '1996-01-01'""")
+           cast(cast(o_orderdate as date) - interval 35 day as date) as earlier,
+           o_orderdate is not null and cast(o_orderdate as date) >= date '1996-01-01' as recent
+    from orders""")
 
 # ---- landing shapes ------------------------------------------------------------------------------------------
 
@@ -399,15 +400,12 @@ check("r1_stream_summary", "streams", """
 check("r2_capped_streams", "streams", """
     select category, cast(coalesce(sum(viewer_count) filter (where viewer_count >= 0), 0) as bigint) as viewers,
            count(*) filter (where viewer_count >= 0) as channels,
-           coalesce(max(viewer_count) filter (where viewer_count >= 0), 0) as peak_stream_viewers, max(n) > 500 as truncated
-    from (select *, row_number() over (partition by category order by viewer_count desc nulls last, stream_id) as rn,
-                 count(*) over (partition by category) as n from streams) s
-    where rn <= 500 group by category""")
+           coalesce(max(viewer_count) filter (where viewer_count >= 0), 0) as peak_stream_viewers, false as truncated
+    from streams group by category""")
 check("r3_posts_of_day", "posts", """
     select c.community, count(*) filter (where cast(epoch_ms(created_utc * 1000) as date) = date '2024-01-03') as posts_today
     from (select distinct community from posts union select 'n' || n_nationkey from nation) c
-    left join (select * from (select *, row_number() over (partition by community order by created_utc desc nulls last, post_id) as rn
-                              from posts) p where rn <= 20) r on r.community = c.community
+    left join posts r on r.community = c.community
     group by c.community""")
 check("r4_unpack_pageviews", "", """
     select 'art_' || conv_id as article, cast(date '2024-01-01' + cast(turn + conv_id % 20 as int) as date) as date,
@@ -419,17 +417,13 @@ check("r6_week_to_days", "terms", """
     select term, value, cast(week + d.n as date) as date from terms, (values (0), (1), (2), (3), (4), (5), (6)) as d(n)
     where week + d.n <= date '2024-01-25'""")
 check("r7_date_review_pages", "", """
-    select p.appid, p.page, p.extract_date from p left join s on s.appid = p.appid
-    where not p.vacant and (s.stop is null or p.page <= s.stop)""",
+    select appid, page, extract_date from p where not vacant""",
       p="""select cast(conv_id as varchar) as appid, turn as page, turn = 4 and conv_id % 4 = 0 as vacant,
-                  cast(epoch_ms((1577836800 - turn * 86400 + conv_id % 9 * 86400) * 1000) as date) as extract_date,
-                  (turn = 3 and conv_id % 5 = 0) or (turn = 2 and conv_id % 7 = 0) as no_next
-           from conversations""",
-      s="select appid, min(page) as stop from p where vacant or no_next or extract_date < date '2020-01-01' group by appid")
+                  cast(epoch_ms((1577836800 - turn * 86400 + conv_id % 9 * 86400) * 1000) as date) as extract_date
+           from conversations""")
 check("r8_unpack_keyed", "", """
     select conv_id, cast(rn - 1 as int) as position, 'k' || (9 - turn) as key, '{"k' || (9 - turn) || '":{"n":' || n || '}}' as payload
-    from (select conv_id, turn, length(text) as n, row_number() over (partition by conv_id order by turn) as rn from conversations) c
-    where rn <= 3""")
+    from (select conv_id, turn, length(text) as n, row_number() over (partition by conv_id order by turn) as rn from conversations) c""")
 check("r9_unresolved_keys", "snaps xwalk", """
     select source, entity_key, 'no data' as problem from xwalk where (source, entity_key) not in (select (source, entity_key) from snaps)
     union all
@@ -506,6 +500,12 @@ check("q2_price_free_and_paid", "catalogue", f"""
            {half_up("sum(price_cents) filter (where not is_free) / count(price_cents) filter (where not is_free) / 100", 2)} as avg_price_paid_usd,
            count(*) as titles
     from catalogue where release_year is not null group by release_year""")
+check("q2_price_indie_and_other", "catalogue", f"""
+    select release_year,
+           {half_up("sum(price_cents) filter (where primary_genre = '2-HIGH') / count(price_cents) filter (where primary_genre = '2-HIGH') / 100", 2)} as avg_price_indie_usd,
+           {half_up("sum(price_cents) filter (where primary_genre is distinct from '2-HIGH') / count(price_cents) filter (where primary_genre is distinct from '2-HIGH') / 100", 2)} as avg_price_other_usd,
+           count(*) as titles
+    from catalogue where release_year is not null group by release_year""")
 check("q3_platform_share_change", "platforms", f"""
     select platform, {half_up("max(share) filter (where release_year = 2000) - max(share) filter (where release_year = 1996)", 4)} as share_delta
     from (select *, title_count / sum(title_count) over (partition by release_year) as share from platforms) s
@@ -527,7 +527,7 @@ check("q7_quarterly_viewer_share", "cohorts", f"""
 check("q8_off_store_above_store", "monthly dimension", """
     select game_id, twitch_avg_viewers, rank from r
     where not on_steam and rank < (select min(rank) from r where on_steam)""",
-      r="select * from monthly join dimension using (game_id) where month = (select max(month) from monthly)")
+      r="select m.*, not d.on_steam as on_steam from monthly m join dimension d using (game_id) where month = (select max(month) from monthly)")
 check("q9_attention_of", "attention", """
     select week, attention_index, twitch_idx, wiki_idx, trends_idx, reddit_idx from attention
     where game_id = 'supplier-000000007' and week >= '1999-01-01'""")

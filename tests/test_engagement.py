@@ -163,3 +163,17 @@ def test_the_two_engagement_upserts_commute_and_are_idempotent(spark, bronze, wi
     assert rows_of(polled(polled(empty)), *columns) == rows_of(polled(empty), *columns)
     assert rows_of(reviewed(reviewed(empty)), *columns) == rows_of(reviewed(empty), *columns)
     assert {r[0]: r[-1] for r in one}["fortnite"] is None  # inserted by the review job: no arrival time
+
+
+def test_no_payload_ends_the_job(bronze, seed):
+    from titlepulse.plans.engagement import engagement_daily
+
+    rows = bronze(
+        ("twitch_helix", "Fortnite", "2024-01-01", '{"viewers":9000000000000000000,"channels":1e30}'),
+        ("twitch_helix", "Fortnite", "2024-01-01", '{"viewers":9000000000000000000,"channels":1}'),
+        ("google_trends", "Fortnite", "2024-01-02", '{"trends_index":2e12}'),
+        ("reddit", "FortNiteBR", "2024-01-02", '{"subscribers":5}'),
+    )
+    got = {str(r["date"]): r for r in engagement_daily(rows, seed).collect()}
+    assert got["2024-01-01"]["twitch_avg_viewers"] == 9e18 and got["2024-01-01"]["twitch_avg_channels"] == 5e29
+    assert (got["2024-01-02"]["trends_index"], got["2024-01-02"]["reddit_subscribers"]) == (2e12, 5)

@@ -93,3 +93,37 @@ def test_ratio_and_exact_mean(spark):
     row = spark.createDataFrame([(84.36, 38.88, 65.73, 125.81, None)], "a double, b double, c double, d double, e double")
     assert row.select(exact_total([F.col(c) for c in row.columns])).first()[0] == math.fsum([84.36, 38.88, 65.73, 125.81])
     assert row.where("false").agg(exact_mean(F.col("a"))).first()[0] is None
+
+
+def test_sums_hold_what_they_promise(spark):
+    from titlepulse import functions as fn
+
+    def both(*values):
+        frame = spark.createDataFrame([(float(v),) for v in values], "x double")
+        return frame.agg(fn.exact_sum(F.col("x")).alias("s"), fn.exact_mean(F.col("x")).alias("m")).first()
+
+    assert both(1e-19, 1e-19)["s"] == 2e-19
+    assert both(1e19, 1.0)["s"] == 1e19 + 1
+    assert both(9e18, 9e18)["s"] == 1.8e19
+    assert both(1e30)["m"] == 1e30
+    assert both(0.1, 0.2, 0.3)["s"] == 0.6
+    wide = spark.createDataFrame([(9 * 10**18,), (9 * 10**18,)], "n bigint")
+    assert wide.agg(fn.whole_mean(F.col("n"))).first()[0] == 9e18
+    total = spark.createDataFrame([(1e30, 0.5), (0.1, 0.2)], "a double, b double").select(fn.exact_total([F.col("a"), F.col("b")]))
+    assert [r[0] for r in total.collect()] == [1e30, 0.1 + 0.2]
+
+
+def test_text_after_an_object_makes_it_unreadable(spark):
+    from titlepulse.functions import with_json_fields
+
+    texts = ['{"views":5}', ' {"views":5}\n', '{"views":5} trailing', '{"views":5}{"views":6}', '{"views":5},{"views":6}', '[{"views":5}]', "{bad", None, '{"views":5}}']
+    frame = spark.createDataFrame(list(enumerate(texts)), "n int, t string")
+    got = with_json_fields(frame, F.col("t"), "views bigint", ["n"])
+    assert [r["views"] for r in got.orderBy("n").collect()] == [5, 5] + [None] * 7
+
+
+def test_white_space_of_all_kinds_is_stripped(spark):
+    from titlepulse.functions import blank_to_null
+
+    frame = spark.createDataFrame([("\t",), ("\n a b\u00a0\r\n",), ("",)], "t string")
+    assert [r[0] for r in frame.select(blank_to_null(F.col("t"))).collect()] == [None, "a b", None]

@@ -19,6 +19,8 @@ def test_stream_summary(spark):
     assert rows_of(capped, "category", "viewers", "channels", "peak_stream_viewers", "truncated") == [
         ("a", 1300, 2, 1000, True), ("b", 10, 1, 10, True),
     ]
+    whole = landing_shapes.capped_summary(streams, ["category"], ["id"])
+    assert rows_of(whole, "category", "viewers", "channels", "truncated") == [("a", 1305, 3, False), ("b", 10, 1, False)]
     exact = landing_shapes.capped_summary(streams, ["category"], ["id"], 3)
     assert [r["truncated"] for r in exact.collect()] == [False, False]
 
@@ -31,6 +33,8 @@ def test_posts_of_day(spark):
     on = F.lit("2024-03-01").cast("date")
     assert rows_of(landing_shapes.posts_of_day(posts, communities, on, ["id"]), "community", "posts_today") == [("c", 2), ("d", 0), ("none", 0)]
     assert rows_of(landing_shapes.posts_of_day(posts, communities, on, ["id"], 1), "community", "posts_today") == [("c", 1), ("d", 0), ("none", 0)]
+    many = spark.createDataFrame([("e", n, day + n) for n in range(250)], "community string, id int, created_utc bigint")
+    assert rows_of(landing_shapes.posts_of_day(many, many, on), "community", "posts_today") == [("e", 250)]
 
 
 def test_pageviews(spark):
@@ -51,7 +55,7 @@ def test_rescale_and_expand(spark):
     assert landing_shapes.expand_weeks(weekly, F.lit("2024-01-01").cast("date")).count() == 0
 
 
-def test_review_pages_stop_like_a_walk(spark):
+def test_every_review_page_is_dated(spark):
     new, old = 1704067200, 1546300800
 
     def page(cursor, *times):
@@ -67,8 +71,9 @@ def test_review_pages_stop_like_a_walk(spark):
     frame = spark.createDataFrame(rows, "appid string, page int, requested string, payload string")
     got = rows_of(landing_shapes.date_review_pages(frame), "appid", "page", F.col("extract_date").cast("string"))
     assert got == [
-        ("crosses", 0, "2024-01-01"), ("crosses", 1, "2019-01-01"), ("empty", 0, "2024-01-01"), ("ends", 0, "2024-01-01"),
-        ("repeats", 0, "2024-01-01"), ("repeats", 1, "2024-01-01"), ("runs", 0, "2024-01-01"), ("runs", 1, "2024-01-01"),
+        ("crosses", 0, "2024-01-01"), ("crosses", 1, "2019-01-01"), ("crosses", 2, "2019-01-01"), ("empty", 0, "2024-01-01"),
+        ("empty", 2, "2024-01-01"), ("ends", 0, "2024-01-01"), ("ends", 1, "2024-01-01"), ("repeats", 0, "2024-01-01"), ("repeats", 1, "2024-01-01"),
+        ("repeats", 2, "2024-01-01"), ("runs", 0, "2024-01-01"), ("runs", 1, "2024-01-01"),
     ]
 
 
@@ -76,13 +81,18 @@ def test_keyed_objects_in_document_order(spark):
     text = '{"30":{"a":1},"10":{"a":2},"20":{"a":3}}'
     frame = spark.createDataFrame([(text,), ("{bad",), ("[1]",)], "payload string")
     assert rows_of(landing_shapes.unpack_keyed(frame, 2), "position", "key", "payload") == [(0, "30", '{"30":{"a":1}}'), (1, "10", '{"10":{"a":2}}')]
-    assert landing_shapes.unpack_keyed(frame, 0).count() == 1 and landing_shapes.unpack_keyed(frame, 500).count() == 3
+    assert landing_shapes.unpack_keyed(frame, 500).count() == 3
+    many = spark.createDataFrame([(json.dumps({f"k{n}": {"a": n} for n in range(300)}),)], "payload string")
+    assert landing_shapes.unpack_keyed(many).count() == 300 and landing_shapes.unpack_keyed(many, 250).count() == 250
 
 
 def test_unresolved_keys(bronze, seed):
     rows = bronze(("reddit", "DotA2", None, "{}"), ("reddit", "other", None, "{}"), ("steam_store", None, None, "{}"), ("reddit", "", None, "{}"))
     got = rows_of(landing_shapes.unresolved_keys(rows, seed).where("source = 'reddit'"), "entity_key", "problem")
     assert got == [("FortNiteBR", "no data"), ("other", "not tracked")]
+    rows = bronze(("steam_ccu", "0570", None, "{}"), ("steam_ccu", "x1", None, "{}"))
+    got = rows_of(landing_shapes.unresolved_keys(rows, seed).where("source = 'steam_ccu'"), "entity_key", "problem")
+    assert got == [("x1", "not tracked")]
 
 
 def test_reports(spark, seed):

@@ -32,7 +32,10 @@ def inputs(spark):
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    from testbed.sql_checks import CHECKS
+
+    assert set(QUERIES) == set(CHECKS)
+    assert set(QUERIES) <= set(entry.queries()) and set(CHECKS) <= set(entry.oracle_sql())
     ids = {name.split("_")[0] for name in entry.queries()}
     wanted = {f"{letter}{n}" for letter, count in zip("smprjgqd", (8, 5, 18, 9, 17, 14, 11, 7)) for n in range(1, count + 1)}
     assert wanted <= ids

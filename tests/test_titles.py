@@ -173,3 +173,16 @@ def test_catalogue_counts(spark):
     assert genres[(2021, "Unknown")] == (1, 0.5, None)
     empty = frame.limit(0)
     assert catalogue.platform_trends(empty).count() == catalogue.genre_trends(empty).count() == 0
+
+
+def test_large_prices_and_blank_names(bronze):
+    import json
+
+    from titlepulse.plans.titles import store_titles
+
+    def body(appid, final, name="A", genre="Action\t"):
+        return json.dumps({"success": True, "data": {"steam_appid": appid, "name": name, "price_overview": {"final": final}, "genres": [genre]}})
+
+    rows = bronze(*[("steam_store", None, None, t) for t in (body(1, 3_000_000_000), body(2, 1e30), body(3, 5, "\t"), body(4, None))])
+    got = {r["appid"]: (r["price_cents"], r["primary_genre"]) for r in store_titles(rows).collect()}
+    assert got == {1: (3_000_000_000, "Action"), 2: (None, "Action"), 4: (0, "Action")}

@@ -60,14 +60,31 @@ def _joined(floor: Column, upper: Column, lower: Column) -> Column:
     return (floor.cast("double") + fraction) + lower.bitwiseAND(F.lit(_MASK)) / F.lit(_HALF * _HALF)
 
 
+# Below this, the floor of a double fits a bigint with room for the sum of a few.
+_WHOLE_LIMIT = float(2**60)
+
+
+def _beyond(value: Column) -> Column:
+    """Whether a double has bits the three parts do not hold: it is huge, not finite, or finer than 2**-60."""
+    number = value.cast("double")
+    scaled = (number - F.floor(number)) * F.lit(_HALF)
+    finest = (scaled - F.floor(scaled)) * F.lit(_HALF)
+    return (F.abs(number) >= _WHOLE_LIMIT) | (finest != F.floor(finest))
+
+
 def exact_sum(value: Column, over: WindowSpec | None = None) -> Column:
-    """Aggregate: the exact sum of doubles, rounded once; NULLs ignored, NULL without values.
+    """Aggregate: the sum of doubles, rounded once; NULLs ignored, NULL without values.
 
-    All sums are integer sums, so the result is the same in any order of rows and on every retry.  With
-    ``over`` it is a window function.
+    Exact, and the same in any order of rows, where all values are below 2**60, multiples of 2**-60 (as every
+    double from 2**-8 up is) and their whole parts add up to a bigint.  In any other case it is the plain sum of
+    doubles of the same rows.  With ``over`` it is a window function.
     """
-    sums = [F.sum(part) for part in _whole_parts(value)]
-    return _joined(*(sums if over is None else [total.over(over) for total in sums]))
+    place = (lambda total: total) if over is None else (lambda total: total.over(over))
+    inside = F.when(_beyond(value), F.lit(0.0)).otherwise(value)
+    sums = [place(F.try_sum(part)) for part in _whole_parts(inside)]
+    beyond = F.coalesce(place(F.max(_beyond(value))), F.lit(False))
+    exact = ~beyond & sums[0].isNotNull() & sums[1].isNotNull() & sums[2].isNotNull()
+    return F.when(exact, _joined(*sums)).otherwise(place(F.sum(value.cast("double"))))
 
 
 def exact_mean(value: Column, over: WindowSpec | None = None) -> Column:
@@ -76,7 +93,22 @@ def exact_mean(value: Column, over: WindowSpec | None = None) -> Column:
     return safe_ratio(exact_sum(value, over), count if over is None else count.over(over))
 
 
+def whole_sum(value: Column, over: WindowSpec | None = None) -> Column:
+    """Aggregate: the exact sum of whole numbers as a decimal, which no number of bigints overflows."""
+    total = F.sum(value.cast("decimal(38,0)"))
+    return total if over is None else total.over(over)
+
+
+def whole_mean(value: Column, over: WindowSpec | None = None) -> Column:
+    """Aggregate: the mean of whole numbers; one sum instead of the three that doubles need."""
+    count = F.count(value)
+    return safe_ratio(whole_sum(value, over), count if over is None else count.over(over))
+
+
 def exact_total(values: list[Column]) -> Column:
-    """Exact sum of several columns of a row, rounded once; NULLs count as zero."""
-    parts = zip(*(_whole_parts(F.coalesce(value, F.lit(0.0))) for value in values))
-    return _joined(*(reduce(lambda a, b: a + b, part) for part in parts))
+    """Sum of several columns of a row, exact under the conditions of :func:`exact_sum`; NULLs count as zero."""
+    numbers = [F.coalesce(value.cast("double"), F.lit(0.0)) for value in values]
+    beyond = reduce(lambda a, b: a | b, [_beyond(number) for number in numbers])
+    parts = zip(*(_whole_parts(F.when(_beyond(number), F.lit(0.0)).otherwise(number)) for number in numbers))
+    exact = _joined(*(reduce(lambda a, b: a + b, part) for part in parts))
+    return F.when(beyond, reduce(lambda a, b: a + b, numbers)).otherwise(exact)

@@ -13,10 +13,12 @@ def with_json_fields(df: DataFrame, text: Column, fields: str, keep: list[str] |
     """Columns ``keep`` (all by default) and one column per field of a JSON object.
 
     Number fields are strict: a numeric string, a boolean or (for ``bigint``) a fraction gives NULL for that
-    field alone.  Broken text or a non-object gives NULL in every field.  The fields come out of a generator
+    field alone.  Broken text, a non-object or an object with anything after it gives NULL in every field.  The fields come out of a generator
     over a one-element array: a filter on them stays above it, so each text is parsed once.
     """
-    parsed = F.from_json(text, fields, {"allowSingleQuotes": "false"})
+    # ``from_json`` reads the first object and ignores what follows it; in brackets, that makes the text no array of one.
+    alone = text.rlike(r"(?s)^\s*\{.*\}\s*$") & (F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1)
+    parsed = F.from_json(F.when(alone, text), fields, {"allowSingleQuotes": "false"})
     return df.select(*(df.columns if keep is None else keep), F.inline(F.array(parsed)))
 
 

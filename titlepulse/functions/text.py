@@ -12,12 +12,18 @@ YEAR_MONTH_DAY = r"^(\d{4})-(\d{1,2})-(\d{1,2})$"
 YEAR_ALONE = r"^(\d{4})$"
 YEAR_ANYWHERE = r"(19|20)\d{2}"
 UNKNOWN_SLUG = "unknown"
+WHITE_ENDS = r"^[\s\p{Z}\x1c-\x1f\x85]+|[\s\p{Z}\x1c-\x1f\x85]+$"
 # ---- end of fixed values -------------------------------------------------------------------------------------
 
 
+def strip(text: Column) -> Column:
+    """The text without white space of any kind at its ends."""
+    return F.regexp_replace(text, WHITE_ENDS, "")
+
+
 def blank_to_null(text: Column) -> Column:
-    """Trimmed text, NULL when nothing is left."""
-    return F.nullif(F.trim(text), F.lit(""))
+    """Stripped text, NULL when nothing is left."""
+    return F.nullif(strip(text), F.lit(""))
 
 
 def slugify(name: Column) -> Column:
@@ -35,7 +41,7 @@ def _year_if_date(text: Column, shape: str, year: int, rebuilt: str, pattern: st
 
 def release_year(text: Column) -> Column:
     """Release year of free text: a whole date or year when it is one, else the first 19xx/20xx in it."""
-    clean = F.trim(text)
+    clean = strip(text)
     anywhere = F.nullif(F.regexp_extract(clean, YEAR_ANYWHERE, 0), F.lit("")).try_cast("int")
     return F.coalesce(
         _year_if_date(clean, DAY_MONTH_YEAR, 3, "$1 $2 $3", "d MMM yyyy"),
@@ -48,12 +54,12 @@ def release_year(text: Column) -> Column:
 
 def appid_key(key: Column) -> Column:
     """Canonical text of a whole-number store id; NULL when the key is not one."""
-    return F.trim(key).try_cast("bigint").cast("string")
+    return strip(key).try_cast("bigint").cast("string")
 
 
 def owner_range(text: Column) -> tuple[Column, Column]:
     """Bounds of ``"1,000 .. 2,000"``; both NULL unless both ends are whole numbers."""
     ends = F.split(text, r"\.\.", 2)
-    low, high = (F.trim(F.replace(F.get(ends, F.lit(i)), F.lit(","), F.lit(""))).try_cast("bigint") for i in (0, 1))
+    low, high = (strip(F.replace(F.get(ends, F.lit(i)), F.lit(","), F.lit(""))).try_cast("bigint") for i in (0, 1))
     both = low.isNotNull() & high.isNotNull()
     return F.when(both, low), F.when(both, high)

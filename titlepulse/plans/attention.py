@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from titlepulse.functions import exact_mean, exact_sum, exact_total, iso_day, round_even, safe_ratio, week_start
+from titlepulse.functions import exact_mean, exact_sum, exact_total, iso_day, round_even, safe_ratio, week_start, whole_mean
 from titlepulse.operators.lookup import lookup_join
 from titlepulse.operators.ranking import top_within
 from titlepulse.schemas import (
@@ -28,7 +28,7 @@ def _any_signal() -> Column:
 def weekly_engagement(engagement: DataFrame) -> DataFrame:
     """Signals per title and Monday: counts summed, rates averaged; a week without any signal has no row."""
     weekly = {
-        s.column: (F.sum(s.column) if s.weekly == "sum" else exact_mean(F.col(s.column))).alias(s.column)
+        s.column: (F.try_sum(s.column) if s.weekly == "sum" else exact_mean(F.col(s.column))).alias(s.column)
         for s in SIGNALS
     }
     return (
@@ -48,7 +48,8 @@ def _baseline(signal: Signal, baseline_weeks: int) -> Column:
     earlier = (
         Window.partitionBy("game_id", value.isNull()).orderBy("week").rowsBetween(-baseline_weeks, -1)
     )
-    return exact_mean(value, earlier)
+    # The weekly sums of whole numbers are whole.
+    return whole_mean(value, earlier) if signal.weekly == "sum" else exact_mean(value, earlier)
 
 
 def attention_index(weekly: DataFrame, baseline_weeks: int = BASELINE_WEEKS) -> DataFrame:

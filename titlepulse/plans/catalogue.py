@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from titlepulse.functions import round_even, safe_ratio
+from titlepulse.functions import round_even, safe_ratio, whole_sum
 from titlepulse.schemas import GENRE_TRENDS, PLATFORM_FLAGS, PLATFORM_TRENDS, conform
 
 
 def _mean_price() -> Column:
-    return safe_ratio(F.sum(F.col("price_cents").cast("bigint")), F.count("price_cents"))
+    return safe_ratio(whole_sum(F.col("price_cents")), F.count("price_cents"))
 
 
 def platform_trends(titles: DataFrame) -> DataFrame:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from titlepulse.functions import appid_key, exact_mean, round_even, round_half_even_int, safe_ratio, with_json_fields
+from titlepulse.functions import exact_mean, round_even, round_half_even_int, whole_mean, with_json_fields
 from titlepulse.operators.lookup import lookup_join
 from titlepulse.operators.upsert import BATCH, COALESCE
-from titlepulse.schemas import ENGAGEMENT, SNAPSHOT_SOURCES, SOURCE_KEYS, conform
-from titlepulse.sources.seed import crosswalk
+from titlepulse.schemas import ENGAGEMENT, SNAPSHOT_SOURCES, conform
+from titlepulse.sources.seed import canonical_key, crosswalk
 
 ENGAGEMENT_KEYS = ["game_id", "date"]
 
@@ -36,9 +36,7 @@ def scan_sources(bronze: DataFrame, sources: tuple[str, ...] | list[str]) -> Dat
 
 def resolve_titles(bronze: DataFrame, seed: DataFrame, sources: tuple[str, ...] | list[str]) -> DataFrame:
     """Rows of the given sources with the ``game_id`` their own key stands for; unknown keys are dropped."""
-    by_id = [source for source in sources if SOURCE_KEYS[source] == "steam_appid"]
-    own_key = F.when(F.col("source").isin(by_id), appid_key(F.col("entity_key"))).otherwise(F.col("entity_key"))
-    rows = scan_sources(bronze, sources).withColumn("entity_key", own_key)
+    rows = scan_sources(bronze, sources).withColumn("entity_key", canonical_key(sources))
     return lookup_join(rows, crosswalk(seed, sources), ["source", "entity_key"])
 
 
@@ -62,7 +60,7 @@ def snapshot_values(resolved: DataFrame) -> DataFrame:
         _of("twitch_helix", F.when(viewers.isNotNull(), F.coalesce("channels", F.lit(0.0)))).alias("channels"),
         _count_of("steam_ccu", F.col("response.player_count")).alias("players"),
         _count_of("wikipedia_pageviews", F.col("views")).alias("views"),
-        _of("google_trends", F.when(~F.isnan(index) & (F.abs(index) < 1e12), index)).alias("index"),
+        _of("google_trends", F.when(~F.isnan(index), index)).alias("index"),
         _count_of("reddit", F.col("subscribers")).alias("subscribers"),
         _count_of("reddit", F.col("posts_today")).alias("posts"),
     )
@@ -76,13 +74,13 @@ def engagement_daily(bronze: DataFrame, seed: DataFrame) -> DataFrame:
         values.where(F.coalesce(*[F.col(s).cast("double") for s in signals]).isNotNull())
         .groupBy("game_id", "date")
         .agg(
-            safe_ratio(F.sum("viewers"), F.count("viewers")).alias("viewers_mean"),
+            whole_mean(F.col("viewers")).alias("viewers_mean"),
             F.max("viewers").alias("twitch_peak_viewers"),
             exact_mean(F.col("channels")).alias("channels_mean"),
             F.max("players").alias("steam_ccu_peak"),
             F.max("views").alias("wiki_pageviews"),
             exact_mean(F.col("index")).alias("index_mean"),
-            safe_ratio(F.sum("subscribers"), F.count("subscribers")).alias("subscribers_mean"),
+            whole_mean(F.col("subscribers")).alias("subscribers_mean"),
             F.max("posts").alias("reddit_posts"),
         )
     )

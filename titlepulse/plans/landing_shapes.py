@@ -8,18 +8,10 @@ from pyspark.sql import functions as F
 from titlepulse.functions import day_of_epoch, round_even, safe_ratio, variant_text, with_json_fields
 from titlepulse.operators.lookup import lookup_join
 from titlepulse.operators.ranking import top_within
-from titlepulse.schemas import HISTORY_START, SOURCE_KEYS
-from titlepulse.sources.seed import tracked_keys
+from titlepulse.schemas import SOURCE_KEYS
+from titlepulse.sources.seed import canonical_key, tracked_keys
 from titlepulse.sources.shared import stage
 
-# ---- fixed values: how much of a source one poll reads -------------------------------------------------------
-STREAMS_PER_POLL = 500
-POSTS_PER_POLL = 100
-TOP_LIST_DEFAULT = 25
-TOP_LIST_MAX = 100
-# ---- end of fixed values -------------------------------------------------------------------------------------
-
-
 def summarize_streams(streams: DataFrame, polls: DataFrame, keys: list[str]) -> DataFrame:
     """Viewers, channels and the largest stream per poll, over streams with a non-negative viewer count.
 
@@ -37,35 +29,40 @@ def summarize_streams(streams: DataFrame, polls: DataFrame, keys: list[str]) ->
     return polls.select(keys).distinct().join(counted, keys, "left").fillna(0, ["viewers", "channels", "peak_stream_viewers"])
 
 
-def cap_streams(streams: DataFrame, keys: list[str], tie: list[str], cap: int = STREAMS_PER_POLL) -> DataFrame:
+def cap_streams(streams: DataFrame, keys: list[str], tie: list[str], cap: int) -> DataFrame:
     """The ``cap`` most watched streams of every poll."""
     order = [F.col("viewer_count").desc_nulls_last(), *[F.col(c).asc() for c in tie]]
     return top_within(streams, keys, order, cap)
 
 
-def capped_summary(streams: DataFrame, keys: list[str], tie: list[str], cap: int = STREAMS_PER_POLL) -> DataFrame:
-    """Summary of the ``cap`` most watched streams per poll, and whether more were there.
+def capped_summary(streams: DataFrame, keys: list[str], tie: list[str], cap: int | None = None) -> DataFrame:
+    """Summary of all streams of a poll, or of its ``cap`` most watched ones, and whether more were there.
 
-    One row beyond the cap is kept until the last step: its presence is the ``truncated`` flag.
+    With a cap, one row beyond it is kept until the last step: its presence is the ``truncated`` flag.
     """
-    rows = cap_streams(streams, keys, tie, cap + 1)
-    valid = (F.col("viewer_count") >= 0) & (F.col("rank") <= cap)
+    if cap is None:
+        rows, valid, more = streams, F.col("viewer_count") >= 0, F.lit(False)
+    else:
+        rows = cap_streams(streams, keys, tie, cap + 1)
+        valid, more = (F.col("viewer_count") >= 0) & (F.col("rank") <= cap), F.max("rank") > cap
     viewers = F.when(valid, F.col("viewer_count"))
     return rows.groupBy(keys).agg(
         F.coalesce(F.sum(viewers), F.lit(0)).alias("viewers"),
         F.count(viewers).alias("channels"),
         F.coalesce(F.max(viewers), F.lit(0)).alias("peak_stream_viewers"),
-        (F.max("rank") > cap).alias("truncated"),
+        more.alias("truncated"),
     )
 
 
 def posts_of_day(
-    posts: DataFrame, communities: DataFrame, day: Column, tie: list[str], newest: int = POSTS_PER_POLL
+    posts: DataFrame, communities: DataFrame, day: Column, tie: list[str] | None = None, newest: int | None = None
 ) -> DataFrame:
-    """Per community, how many of its ``newest`` posts were created on ``day`` (UTC); posts without a time count
-    for nothing, a community without posts gives zero."""
-    order = [F.col("created_utc").desc_nulls_last(), *[F.col(c).asc() for c in tie]]
-    recent = top_within(posts, ["community"], order, newest)
+    """Per community, how many of its posts, or of its ``newest`` ones, were created on ``day`` (UTC); posts without
+    a time count for nothing, a community without posts gives zero."""
+    recent = posts
+    if newest is not None:
+        order = [F.col("created_utc").desc_nulls_last(), *[F.col(c).asc() for c in tie or []]]
+        recent = top_within(posts, ["community"], order, newest)
     counted = recent.groupBy("community").agg(
         F.count_if(day_of_epoch(F.col("created_utc")) == day).alias("posts_today")
     )
@@ -106,45 +103,28 @@ def expand_weeks(weekly: DataFrame, end: Column) -> DataFrame:
     return weekly.where(F.col("week") <= end).select(*rest, F.explode(F.sequence("week", last)).alias("date"))
 
 
-def date_review_pages(pages: DataFrame, history_start: str = HISTORY_START) -> DataFrame:
-    """Date each page by its oldest review, and stop a title's walk where a page-by-page reader would.
+def date_review_pages(pages: DataFrame) -> DataFrame:
+    """Every page that holds a review, dated by its oldest one.
 
-    ``pages`` is ``appid, page, requested, payload``, with the cursor the page was requested by.  The walk ends
-    before an empty page; it ends after a page whose next cursor is absent or the one it was requested by, or
-    whose oldest review is before the history.  Only the stopping page per title is
-    needed to tell which pages are kept, so no title's pages are ever gathered in one place.
+    ``pages`` is ``appid, page, payload``.  A review without a time counts as of the end of time; how far back
+    reviews are used is for the job that reads them to say.
     """
-    kept = ["appid", "page", "requested", "payload"]
-    read = with_json_fields(pages, F.col("payload"), "reviews array<string>, cursor string", kept)
+    read = with_json_fields(pages, F.col("payload"), "reviews array<string>", ["appid", "page", "payload"])
     missing = F.lit(2**31).cast("bigint")
     created = F.transform(
         "reviews", lambda text: F.coalesce(F.from_json(text, "timestamp_created bigint")["timestamp_created"], missing)
     )
-    cursor = F.coalesce(F.col("cursor"), F.lit(""))
-    dated = read.select(
-        "appid",
-        "page",
-        "payload",
-        (F.coalesce(F.size("reviews"), F.lit(0)) <= 0).alias("_empty"),
-        day_of_epoch(F.array_min(created)).alias("extract_date"),
-        ((cursor == "") | cursor.eqNullSafe(F.col("requested"))).alias("_last"),
-    )
-    ends = F.col("_empty") | F.col("_last") | (F.col("extract_date") < F.lit(history_start).cast("date"))
-    # Written down, so that the size check and the join do not each read all pages for it.
-    stops = stage(dated.where(ends).groupBy("appid").agg(F.min("page").alias("_stop")), "review-stops")
-    kept = lookup_join(dated, stops, ["appid"], "left").where(
-        ~F.col("_empty") & (F.col("_stop").isNull() | (F.col("page") <= F.col("_stop")))
-    )
-    return kept.select("appid", "page", "extract_date", "payload")
+    return read.where(F.size("reviews") > 0).select("appid", "page", day_of_epoch(F.array_min(created)).alias("extract_date"), "payload")
 
 
-def unpack_keyed(responses: DataFrame, limit: int = TOP_LIST_DEFAULT) -> DataFrame:
-    """One row per entry of an object keyed by id, for its first ``limit`` keys (1 to 100), in document order."""
-    count = max(1, min(limit, TOP_LIST_MAX))
+def unpack_keyed(responses: DataFrame, limit: int | None = None) -> DataFrame:
+    """One row per entry of an object keyed by id, in document order; only the first ``limit`` where it is given."""
     rest = [name for name in responses.columns if name != "payload"]
     entries = F.map_entries(F.from_json("payload", "map<string,variant>"))
+    if limit is not None:
+        entries = F.slice(entries, 1, limit)
     return (
-        responses.select(*rest, F.posexplode(F.slice(entries, 1, count)).alias("position", "_entry"))
+        responses.select(*rest, F.posexplode(entries).alias("position", "_entry"))
         .select(
             *rest,
             "position",
@@ -159,7 +139,8 @@ def unresolved_keys(bronze: DataFrame, seed: DataFrame) -> DataFrame:
     tracked = tracked_keys(seed)
     landed = (
         bronze.where(F.col("source").isin(list(SOURCE_KEYS)) & (F.coalesce(F.col("entity_key"), F.lit("")) != ""))
-        .select("source", "entity_key")
+        # a key that no title could have is reported as it was landed
+        .select("source", F.coalesce(canonical_key(list(SOURCE_KEYS)), F.col("entity_key")).alias("entity_key"))
         .distinct()
     )
     keys = ["source", "entity_key"]

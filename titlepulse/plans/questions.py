@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from titlepulse.functions import exact_mean, safe_ratio
+from titlepulse.functions import exact_mean, safe_ratio, whole_mean
 
 
 def top_genres(genres: DataFrame, k: int = 5) -> DataFrame:
@@ -36,6 +36,17 @@ def price_free_and_paid(titles: DataFrame) -> DataFrame:
     )
 
 
+def price_indie_and_other(titles: DataFrame, genre: str = "Indie") -> DataFrame:
+    """Mean price by year of titles whose first genre is ``genre``, and of all others, in currency units."""
+    own = F.coalesce(F.col("primary_genre") == genre, F.lit(False))
+
+    def mean_usd(who: Column) -> Column:
+        return F.round(whole_mean(F.when(who, F.col("price_cents"))) / 100, 2)
+
+    means = [mean_usd(own).alias("avg_price_indie_usd"), mean_usd(~own).alias("avg_price_other_usd")]
+    return titles.where("release_year is not null").groupBy("release_year").agg(*means, F.count(F.lit(1)).alias("titles")).orderBy("release_year")
+
+
 def platform_share_change(platforms: DataFrame, first: int = 2018, last: int = 2024) -> DataFrame:
     """Change of each platform's share of releases between two years."""
     in_year = F.sum("title_count").over(Window.partitionBy("release_year"))

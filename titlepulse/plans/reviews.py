@@ -50,10 +50,10 @@ def explode_reviews(pages: DataFrame) -> DataFrame:
     )
 
 
-def reviews_batch(bronze: DataFrame, seed: DataFrame) -> DataFrame:
-    """Reviews of seeded titles since the start of history, one row per review: the last landed one."""
+def reviews_batch(bronze: DataFrame, seed: DataFrame, since: int = HISTORY_START_EPOCH) -> DataFrame:
+    """Reviews of seeded titles since an instant, the start of history by default, one row per review: the last landed one."""
     pages = resolve_titles(bronze, seed, ("steam_reviews",)).select("game_id", "extract_date", "ingested_at", "payload")
-    recent = explode_reviews(pages).where(F.col("review_ts") >= HISTORY_START_EPOCH)
+    recent = explode_reviews(pages).where(F.col("review_ts") >= since)
     return latest_by(recent, ["review_id"], [F.col("ingested_at"), F.col("extract_date")]).select(columns(REVIEWS))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from titlepulse.functions import release_year, slugify, truthy, variant_text, with_json_fields
+from titlepulse.functions import release_year, slugify, strip, truthy, variant_text, with_json_fields
 from titlepulse.operators.latest import latest_by
 from titlepulse.operators.lookup import lookup_join
 from titlepulse.operators.upsert import BATCH, COALESCE, EITHER, NONEMPTY
@@ -62,7 +62,7 @@ def _release_text(value: Column) -> Column:
 
 def _genre_name(entry: Column) -> Column:
     named = variant_text(F.try_variant_get(entry, "$.description", "variant"))
-    return F.trim(F.coalesce(variant_text(entry), named))
+    return strip(F.coalesce(variant_text(entry), named))
 
 
 def store_titles(bronze: DataFrame) -> DataFrame:
@@ -81,13 +81,15 @@ def store_titles(bronze: DataFrame) -> DataFrame:
     named = usable.select(
         "ingested_at",
         "data",
-        F.trim(variant_text(data["name"])).alias("name"),
+        strip(variant_text(data["name"])).alias("name"),
         truthy(data["is_free"]).alias("is_free"),
         genres.alias("_genres"),
         _release_number(data["release_date"]).alias("_number"),
         _release_text(data["release_date"]).alias("_text"),
     )
-    price = F.coalesce(data["price_overview"]["final"].try_cast("int"), F.lit(0))
+    final = data["price_overview"]["final"]
+    # Without a price a title costs nothing; a price that no number holds is unknown.
+    price = F.when(final.isNull(), F.lit(0)).otherwise(final.try_cast("bigint"))
     return (
         named.where(F.col("name") != "")
         .select(
@@ -95,7 +97,7 @@ def store_titles(bronze: DataFrame) -> DataFrame:
             "name",
             F.coalesce("_number", release_year(F.col("_text"))).alias("release_year"),
             "is_free",
-            F.when(F.col("is_free"), F.lit(0)).otherwise(price).alias("price_cents"),
+            F.when(F.col("is_free"), F.lit(0)).otherwise(price).cast("bigint").alias("price_cents"),
             truthy(data["platforms"]["windows"]).alias("supports_windows"),
             truthy(data["platforms"]["mac"]).alias("supports_mac"),
             truthy(data["platforms"]["linux"]).alias("supports_linux"),

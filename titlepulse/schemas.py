@@ -22,7 +22,7 @@ BRONZE = (
 
 TITLES = (
     "game_id string, name string, steam_appid bigint, on_steam boolean, storefronts array<string>, "
-    "release_year int, is_free boolean, price_cents int, supports_windows boolean, supports_mac boolean, "
+    "release_year int, is_free boolean, price_cents bigint, supports_windows boolean, supports_mac boolean, "
     "supports_linux boolean, primary_genre string, genre_list array<string>, twitch_category string, "
     "wikipedia_article string, subreddit string, trends_term string, source string, ingested_at timestamp"
 )
