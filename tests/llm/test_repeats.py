@@ -74,6 +74,21 @@ def test_jaccard_groups_equal_brute_force(frame, monkeypatch, block):
     assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in found.collect()], key=str) == plain_groups(rows)
 
 
+def test_sketches_never_rule_out_an_overlap():
+    import random
+
+    import numpy as np
+
+    rng = random.Random(1)
+    for size in (1, 5, 40, 700, 9000):
+        a = np.unique(np.array([rng.getrandbits(64) for _ in range(size)], np.uint64))
+        b = np.unique(np.concatenate([a[: rng.randint(0, len(a))], np.array([rng.getrandbits(64) for _ in range(rng.randint(0, 3 * size))], np.uint64)]))
+        common = len(np.intersect1d(a, b))
+        assert ngram_join.most_overlap(ngram_join.sketch(a), len(a), ngram_join.sketch(b), len(b)) >= common
+    empty = np.empty(0, np.uint64)
+    assert ngram_join.most_overlap(ngram_join.sketch(empty), 0, ngram_join.sketch(empty), 0) == 0
+
+
 def test_one_of_each_group_stays(frame):
     text = " ".join(f"w{n}" for n in range(30))
     rows = [(4, text), (2, text), (9, text.upper()), (1, "something else"), (3, None), (5, ""), (None, text)]

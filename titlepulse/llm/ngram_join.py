@@ -11,7 +11,8 @@ Answers are derived from those of similar sets.  Sets that are equal share one a
 before it in most of its lists, which gathers similar sets in clusters.  Inside a cluster sets differ little: overlaps
 come from the shingles that all have, counted once, and a product over those that only some have; blocks of a cluster
 that are already one group are not compared again, only what lies outside the largest group is compared with all.
-Across clusters, the pairs that the index leaves are compared one by one.  All comparisons are exact over the sets of
+Across clusters, the pairs that the index leaves are first tested on a sketch, which shows for most of
+them that the sets lack too much of each other, and then compared one by one.  All comparisons are exact over the sets of
 64-bit hashes of shingles.
 
 A document with fewer than ``SHINGLE`` words has its whole sequence as its one shingle.  Null and empty texts have empty
@@ -31,9 +32,10 @@ from titlepulse.llm.common import arrow_map, components, join_bounded, lower_wor
 from titlepulse.sources.shared import stage
 
 SHINGLE = 5
-# A shingle is frequent from this share of all set elements on: at most a million.
-FREQUENT = 1e-6
-LEAST = 4
+# The shingles that most sets begin with come last in the order of shingles: this many at most, and none that
+# fewer than ``LEAST`` sets begin with.  A set begins with its first 3/10 by hash, more than its prefix.
+FREQUENT_TOKENS, LEAST = 1_000_000, 4
+BEGIN_TENTHS = 3
 BLOCK_ELEMENTS = 1_000_000
 # Groups of equal sets from this share of all documents on are represented by one of them: at most 100,000 groups.
 COPIES = 1e-5
@@ -69,38 +71,70 @@ def plain(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def sketch(own: np.ndarray) -> bytes:
+    """A bit for each of 64 to 4096 ranges of hashes, about two a shingle: set where the set has a shingle."""
+    width = min(12, max(6, int(2 * len(own) - 1).bit_length())) if len(own) else 6
+    bits = np.zeros(1 << width, np.uint8)
+    bits[(own >> np.uint64(64 - width)).astype(np.int64)] = 1
+    return np.packbits(bits).tobytes()
+
+
+def most_overlap(one: bytes, n_one: int, other: bytes, n_other: int) -> int:
+    """At least the overlap of two sets: a range that one set alone has holds a shingle that is not shared."""
+    a, b = np.frombuffer(one, np.uint8), np.frombuffer(other, np.uint8)
+    if len(a) != len(b):
+        width = 8 * min(len(a), len(b))
+        a, b = (np.packbits(np.unpackbits(x).reshape(width, -1).any(axis=1)) for x in (a, b))
+    return min(n_one - int(np.bitwise_count(a & ~b).sum()), n_other - int(np.bitwise_count(b & ~a).sum()))
+
+
 def set_sizes(docs: DataFrame) -> DataFrame:
-    """Two kinds of rows: ``doc_id, n, digest`` of every document, and ``token, count`` of shingles seen often in a task."""
+    """``doc_id, n, digest, bits`` of every document; no digest for an empty set."""
+
+    def measure(batch):
+        sets = [shingles(t.as_py()) for t in batch.column("text")]
+        yield {
+            "doc_id": batch.column("doc_id").to_pylist(), "n": [len(s) for s in sets],
+            "digest": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], "bits": [sketch(s) for s in sets],
+        }
+
+    return arrow_map(plain(docs), measure, "doc_id long, n long, digest binary, bits binary")
+
+
+def frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted shingles that many sets begin with, and how many."""
 
-    def run(batches):
+    def count(batches):
         held, size = [], 0
 
-        def often():
+        def rows():
             values, counts = np.unique(np.concatenate(held), return_counts=True)
-            many = counts >= max(LEAST, FREQUENT * size)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([True] * int(many.sum())), pa.nulls(int(many.sum()), pa.int64()), pa.nulls(int(many.sum()), pa.int64()), pa.nulls(int(many.sum()), pa.binary()),
-                 pa.array(values[many].view(np.int64)), pa.array(counts[many].astype(np.int64))], schema=fields)
+            return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts.astype(np.int64))], ["token", "n"])
 
         for batch in batches:
-            ids = batch.column("doc_id")
-            sets = [shingles(t.as_py()) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([False] * len(sets)), ids, pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                 pa.nulls(len(sets), pa.int64()), pa.nulls(len(sets), pa.int64())], schema=fields)
-            held += sets
-            size += sum(map(len, sets))
+            for text in batch.column("text"):
+                own = shingles(text.as_py())
+                held.append(own[: -(-len(own) * BEGIN_TENTHS // 10)])
+                size += len(held[-1])
             if size >= BLOCK_ELEMENTS:
-                yield often()
+                yield rows()
                 held, size = [], 0
         if size:
-            yield often()
-
-    names = ("often", "doc_id", "n", "digest", "token", "count")
-    kinds = (pa.bool_(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
-    fields = pa.schema(list(zip(names, kinds)))
-    return plain(docs).mapInArrow(run, "often boolean, doc_id long, n long, digest binary, token long, count long")
+            yield rows()
+
+    counted = plain(docs).mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    often = stage(counted.where(F.col("n") >= LEAST), "often")
+    steps = often.groupBy(F.floor(F.log2("n")).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("k")).orderBy(F.col("b").desc()).collect()
+    limit, total = 1 << 40, 0
+    for step in steps:
+        total += step["k"]
+        if total > FREQUENT_TOKENS:
+            break
+        limit = 1 << step["b"]
+    found = often.where(F.col("n") >= limit).toArrow()
+    tokens = found.column("token").to_numpy().view(np.uint64)
+    order = np.argsort(tokens)
+    return tokens[order], found.column("n").to_numpy()[order]
 
 
 def postings(docs: DataFrame, frequent, copies) -> DataFrame:
@@ -149,6 +183,23 @@ def may_link(n1: str, p1: str, n2: str, p2: str) -> str:
     )
 
 
+def likely(sets: DataFrame, pairs: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """Of pairs ``(a, b)``, those whose sketches leave room for a similarity of numerator / denominator."""
+    side = sets.where("doc_id is not null").select("doc_id", "n", "bits")
+    both = pairs.join(side.toDF("a", "n_a", "bits_a"), "a").join(side.toDF("b", "n_b", "bits_b"), "b")
+
+    def test(batch):
+        out = {"a": [], "b": []}
+        for a, n_a, bits_a, b, n_b, bits_b in zip(*(batch.column(n).to_pylist() for n in ("a", "n_a", "bits_a", "b", "n_b", "bits_b"))):
+            most = most_overlap(bits_a, n_a, bits_b, n_b)
+            if denominator * most >= numerator * (n_a + n_b - most):
+                out["a"].append(a)
+                out["b"].append(b)
+        yield out
+
+    return arrow_map(both, test, "a long, b long").distinct()
+
+
 def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """``a, b, overlap, n_a, n_b`` of the staged pairs ``(a, b)``: sets of a are compared with that of their anchor b."""
     anchors = stage(
@@ -266,13 +317,9 @@ def cluster_links(docs: DataFrame, clusters: DataFrame, links: DataFrame) -> Dat
 def groups(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document."""
     spark = docs.sparkSession
-    seen = stage(set_sizes(docs), "sets")
-    sets = seen.where("not often").select("doc_id", "n", "digest")
-    documents, total = sets.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    often = seen.where("often").groupBy("token").agg(F.sum("count").alias("n")).where(F.col("n") >= max(LEAST, FREQUENT * total)).toArrow()
-    tokens = often.column("token").to_numpy().view(np.uint64)
-    order = np.argsort(tokens)
-    frequent = spark.sparkContext.broadcast((tokens[order], often.column("n").to_numpy()[order]))
+    sets = stage(set_sizes(docs), "sets")
+    documents = sets.count()
+    frequent = spark.sparkContext.broadcast(frequent_tokens(docs))
     equal = stage(sets.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1"), "equal")
     many = equal.where(F.col("n") >= max(LEAST_COPIES, COPIES * documents))
     copies = spark.sparkContext.broadcast({bytes(r["digest"]): r["b"] for r in many.select("digest", "b").toLocalIterator()})
@@ -285,7 +332,7 @@ def groups(docs: DataFrame) -> DataFrame:
         .groupBy(F.col("id").alias("a"), F.col("before.id").alias("b")).agg(F.count(F.lit(1)).alias("n"))
         .groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
     )
-    compared = stage(verify(docs, stage(nearest, "nearest")), "compared")
+    compared = stage(verify(docs, stage(likely(sets, nearest, 1, 2), "nearest")), "compared")
     is_link = F.expr("100 * overlap >= 80 * (n_a + n_b - overlap)")
     links = stage(same.unionAll(compared.where(is_link).select("a", "b")), "links")
     close = compared.where("2 * overlap >= n_a + n_b - overlap").select("a", "b")
@@ -302,7 +349,7 @@ def groups(docs: DataFrame) -> DataFrame:
         .where("cluster1 <> cluster and id1 <> id and (n1 < n or n1 = n and id1 < id)").where(may_link("n1", "pos1", "n", "pos"))
         .select(F.col("id").alias("a"), F.col("id1").alias("b")).distinct()
     )
-    across = stage(verify(docs, stage(pairs, "across")), "across-compared").where(is_link).select("a", "b")
+    across = stage(verify(docs, stage(likely(sets, pairs, 4, 5), "across")), "across-compared").where(is_link).select("a", "b")
     found = components(links.unionAll(inside).unionAll(across), "groups")
     return (
         sets.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
