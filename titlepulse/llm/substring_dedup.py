@@ -40,8 +40,9 @@ WINDOW_FREQUENT = 10 * FREQUENT
 LEAST = 4
 BLOCK_WORDS = 1_000_000
 BUCKET_WORDS = 4_000_000
-# Packed strings held in a task before they are sent.
-BLOCK_BYTES = 48 << 20
+
+# Words in a task at once while they are packed.
+PACK_WORDS = 800_000
 
 TOP = np.uint64(1 << 63)
 
@@ -151,7 +152,7 @@ def super_kmers(rows: DataFrame, runs, settled, buckets: int) -> DataFrame:
 
     def send(batches):
         packer = zstandard.ZstdCompressor(level=3)
-        for block in blocks(batches, BLOCK_BYTES // 20):
+        for block in blocks(batches, PACK_WORDS):
             valid, least = block.windows(runs.value)
             starts = np.flatnonzero(valid)
             if not len(starts):
