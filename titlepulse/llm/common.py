@@ -108,6 +108,22 @@ def join_bounded(big: DataFrame, small: DataFrame, on, how: str = "inner") -> Da
     return big.join(F.broadcast(small) if is_small(small) else small, on, how)
 
 
+def least_count(counted: DataFrame, most: int) -> int:
+    """The least ``n`` that at most ``most`` rows of ``counted`` reach.
+
+    From a histogram: of every count below 4096, and by powers of two above it, where it may come out too high.
+    """
+    power = F.pow(F.lit(2.0), F.floor(F.log2("n"))).cast("long")
+    steps = counted.groupBy(F.when(F.col("n") < 4096, F.col("n")).otherwise(power).alias("step")).agg(F.count(F.lit(1)).alias("rows"))
+    limit, total = 1 << 62, 0
+    for row in sorted(steps.collect(), key=lambda row: -row["step"]):
+        total += row["rows"]
+        if total > most:
+            break
+        limit = row["step"]
+    return limit
+
+
 def rank_in_groups(df: DataFrame, group: str, order: Column, name: str, digits: int = 3) -> DataFrame:
     """Number the rows of each group from 0, by the hex digits of ``order``.
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from titlepulse.llm.common import lower_words_of
+from titlepulse.llm.common import least_count, lower_words_of
 from titlepulse.sources.shared import stage
 
 VOCABULARY = 1 << 18
@@ -197,14 +197,7 @@ def train(docs: DataFrame, vocabulary: int = VOCABULARY, frequent: int = FREQUEN
         stored.select(F.shiftright("gram", SHIFT).alias("h"), F.col("gram").bitwiseAND(F.lit((1 << SHIFT) - 1)).alias("c"), mass.alias("mass"))
         .join(p, "c").groupBy("h").agg(F.sum("mass").alias("mass"), F.sum("p").alias("seen"))
     )
-    # The least count that so many bigrams have: found on the histogram of counts up to a power of two.
-    steps = stored.groupBy(F.floor(F.log2("n")).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("k")).orderBy(F.col("b").desc()).collect()
-    limit, sum_ = 1 << 40, 0
-    for step in steps:
-        sum_ += step["k"]
-        if sum_ > frequent:
-            break
-        limit = 1 << step["b"]
+    limit = least_count(stored, frequent)
     often = columns(stored.where(F.col("n") >= limit).toArrow())
     model = Model(classes, factors, columns(stats.toArrow()), often)
     # What a stored bigram's probability is above the backed-off one.
