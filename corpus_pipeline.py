@@ -16,7 +16,7 @@ from titlepulse.sources.shared import stage
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that every quality rule passes."""
     prepare(spark)
-    return quality_rules.judge(docs).where("kept").select(*docs.columns)
+    return quality_rules.judge(docs, name="_judged").where("_judged.kept").select(*docs.columns)
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,16 +17,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from titlepulse.llm.common import SPACES, lower_ascii, once, words_column
+from titlepulse.llm.common import SPACES, once, set_aside, words_column
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 SAMPLE_DOCS = 2000
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
 
-def measured(docs: DataFrame) -> DataFrame:
+def measured(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """The documents with ``_text, _words`` and the counts that the base rules and the contract are about."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     bare = once(docs, _text=text)
     bare = once(bare, _words=words_column(F.col("_text")))
     runs = ", ".join(f"_words[i + {k}]" for k in range(WINDOW))
@@ -100,9 +101,14 @@ RULES = (
 )
 
 
-def cascade_order(documents: DataFrame, rules=RULES, sample_docs: int = SAMPLE_DOCS) -> list[Rule]:
-    """The rules by rejections per cost on a sample of at most ``sample_docs`` measured documents."""
-    sample = documents.limit(sample_docs)
+def sampled(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """About ``sample_docs`` rows, by a fraction of each partition: nothing is moved to cut them off."""
+    rows = docs.count()
+    return docs if rows <= sample_docs else docs.sample(sample_docs / rows, seed=1)
+
+
+def cascade_order(sample: DataFrame, rules=RULES) -> list[Rule]:
+    """The rules by rejections per cost on a sample of measured documents."""
     fails = [F.avg(F.when(F.expr(rule.fails), 1.0).otherwise(0.0)).alias(rule.name) for rule in rules]
     sizes = [F.avg(F.length("_text")).alias("chars"), F.avg("n_words").alias("words"), F.avg("n_lines").alias("lines")]
     row = sample.agg(*sizes, *fails).first()
@@ -122,13 +128,11 @@ def cascade(rules: list[Rule]) -> Column:
     return chain
 
 
-def judge(docs: DataFrame, rules=RULES) -> DataFrame:
-    """The documents with the counts, ``base_failed``, ``failed_rule`` (null: kept) and ``kept``.
-
-    Columns of the documents that have the same names give way.
-    """
-    added = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed", "failed_rule", "kept")
-    held = docs.select(*[c for c in docs.columns if c not in added])
-    documents = measured(held)
-    judged = once(documents.withColumn("base_failed", base_failed()), failed_rule=cascade(cascade_order(documents, rules)))
-    return judged.withColumn("kept", F.col("failed_rule").isNull()).drop("_text", "_words")
+def judge(docs: DataFrame, rules=RULES, name: str = "judged") -> DataFrame:
+    """The documents with a struct ``name``: the counts, ``base_failed``, ``failed_rule`` (null: kept) and ``kept``."""
+    safe, names, back = set_aside(docs)
+    documents = measured(safe, names["text"])
+    order = cascade_order(measured(sampled(docs.select("text")), "text"), rules)
+    judged = once(documents.withColumn("base_failed", base_failed()), failed_rule=cascade(order))
+    judged = judged.withColumn("kept", F.col("failed_rule").isNull())
+    return judged.select(*back, F.struct(*COUNTS, "base_failed", "failed_rule", "kept").alias(name))

@@ -70,7 +70,8 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, folder, "documents"))
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return judged.select("doc_id", *[f"judged.{name}" for name in counts])
 
 
 @query
