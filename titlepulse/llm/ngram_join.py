@@ -8,7 +8,8 @@ share a shingle of both prefixes.  Entries carry size and position, and a list i
 sizes are too far apart, and entries whose positions leave too few shingles, are skipped without looking at the sets.
 
 Answers are derived from those of similar sets.  Sets that are equal share one answer.  Then each set is compared with the one
-before it in most of its lists, which gathers similar sets in clusters.  Inside a cluster sets differ little: overlaps
+before it in most of its lists, and again with one of the largest cluster that its lists name, which gathers similar
+sets in clusters.  Inside a cluster sets differ little: overlaps
 come from the shingles that all have, counted once, and a product over those that only some have; blocks of a cluster
 that are already one group are not compared again, only what lies outside the largest group is compared with all.
 Across clusters, the pairs that the index leaves are first tested on a sketch, which shows for most of
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from titlepulse.llm.common import arrow_map, components, join_bounded, lower_words_of, window_hashes, word_hashes
+from titlepulse.llm.common import arrow_map, components, join_bounded, least_count, lower_words_of, window_hashes, word_hashes
 from titlepulse.sources.shared import stage
 
 SHINGLE = 5
@@ -44,6 +45,8 @@ LEAST_COPIES = 3
 LIST_ENTRIES = 4096
 # Members compared with one anchor in a task, and documents of a cluster in one block.
 ANCHOR_MEMBERS, CLUSTER_BLOCK = 256, 256
+# Sets with this similarity, in tenths, are of one cluster.
+CLOSE_TENTHS = 3
 COLUMNS = 16_384
 
 
@@ -124,13 +127,7 @@ def frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     counted = plain(docs).mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     often = stage(counted.where(F.col("n") >= LEAST), "often")
-    steps = often.groupBy(F.floor(F.log2("n")).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("k")).orderBy(F.col("b").desc()).collect()
-    limit, total = 1 << 40, 0
-    for step in steps:
-        total += step["k"]
-        if total > FREQUENT_TOKENS:
-            break
-        limit = 1 << step["b"]
+    limit = least_count(often, FREQUENT_TOKENS)
     found = often.where(F.col("n") >= limit).toArrow()
     tokens = found.column("token").to_numpy().view(np.uint64)
     order = np.argsort(tokens)
@@ -183,6 +180,16 @@ def may_link(n1: str, p1: str, n2: str, p2: str) -> str:
     )
 
 
+def most_shared(pairs: DataFrame) -> DataFrame:
+    """``(a, b)``: of pairs ``(a, b, n)``, one for each list, the b that most lists of a name.
+
+    Where those are few for the size n of a, none: the two would hardly be similar.
+    """
+    counts = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("lists"), F.first("n").alias("n"))
+    best = counts.groupBy("a").agg(F.max_by(F.struct("b", "lists", "n"), F.struct("lists", "b")).alias("best"))
+    return best.where("50 * best.lists >= best.n").select("a", F.col("best.b").alias("b"))
+
+
 def likely(sets: DataFrame, pairs: DataFrame, numerator: int, denominator: int) -> DataFrame:
     """Of pairs ``(a, b)``, those whose sketches leave room for a similarity of numerator / denominator."""
     side = sets.where("doc_id is not null").select("doc_id", "n", "bits")
@@ -329,18 +336,31 @@ def groups(docs: DataFrame) -> DataFrame:
     # The set before it in most of its lists, of those that size and position let link.
     nearest = (
         index.where("before is not null and before.id <> id").where(may_link("before.n", "before.pos", "n", "pos"))
-        .groupBy(F.col("id").alias("a"), F.col("before.id").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b"))
+        .select(F.col("id").alias("a"), F.col("before.id").alias("b"), "n")
     )
-    compared = stage(verify(docs, stage(likely(sets, nearest, 1, 2), "nearest")), "compared")
+    compared = stage(verify(docs, stage(most_shared(nearest), "nearest")), "compared")
     is_link = F.expr("100 * overlap >= 80 * (n_a + n_b - overlap)")
     links = stage(same.unionAll(compared.where(is_link).select("a", "b")), "links")
-    close = compared.where("2 * overlap >= n_a + n_b - overlap").select("a", "b")
+    is_close = F.expr(f"10 * overlap >= {CLOSE_TENTHS} * (n_a + n_b - overlap)")
+    close = compared.where(is_close).select("a", "b")
+    clusters = stage(components(close, "cluster-edges").withColumnRenamed("component_id", "cluster"), "clusters")
+    # Sets that met a distant one there are compared with one of the largest cluster in most of their lists.
+    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"))
+    placed = stage(
+        index.drop("before").join(clusters, "id", "left").withColumn("cluster", F.coalesce("cluster", "id")).join(sizes, "cluster", "left").na.fill(1, ["members"]), "index-clusters"
+    )
+    largest = placed.groupBy("token").agg(
+        F.max_by(F.struct("id", "cluster", "n"), F.struct("members", "cluster", "id")).alias("best"), F.min("cluster").alias("x"), F.max("cluster").alias("y")
+    ).where("x < y").select("token", "best")
+    straying = placed.join(largest, "token").where("cluster <> best.cluster and 5 * least(n, best.n) >= 2 * greatest(n, best.n)").select(F.col("id").alias("a"), F.col("best.id").alias("b"), "n")
+    again = stage(verify(docs, stage(most_shared(straying), "straying")), "compared-again")
+    links = links.unionAll(again.where(is_link).select("a", "b"))
+    close = close.unionAll(again.where(is_close).select("a", "b"))
     clusters = stage(components(close, "cluster-edges").withColumnRenamed("component_id", "cluster"), "clusters")
     inside = stage(cluster_links(docs, clusters, links), "cluster-links")
 
     # Across clusters, all that the index leaves.
-    told = stage(index.drop("before").join(clusters, "id", "left").withColumn("cluster", F.coalesce("cluster", "id")), "index-clusters")
+    told = stage(placed.drop("cluster", "members").join(clusters, "id", "left").withColumn("cluster", F.coalesce("cluster", "id")), "index-clusters")
     mixed = told.groupBy("token").agg(F.min("cluster").alias("x"), F.max("cluster").alias("y")).where("x < y").select("token")
     left = told.join(mixed, "token").withColumn("size_block", F.floor(F.log("n") / F.log(F.lit(1.25))).cast("int"))
     small = left.select("token", *[F.col(c).alias(c + "1") for c in ("id", "n", "pos", "cluster")], F.explode(F.expr("array(size_block, size_block + 1)")).alias("size_block"))
