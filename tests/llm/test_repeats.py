@@ -4,7 +4,7 @@ import hashlib
 
 import pytest
 
-from tests_llm_helpers import corpus, words
+from tests_llm_helpers import corpus, frame, ready, words  # noqa: F401
 from titlepulse.llm import ngram_join, substring_dedup
 
 

@@ -5,7 +5,7 @@ import random
 import re
 from collections import Counter
 
-from tests_llm_helpers import corpus, words
+from tests_llm_helpers import corpus, frame, ready, words  # noqa: F401
 from titlepulse.llm import pii, quality_classifier, quality_rules, url_filter
 
 

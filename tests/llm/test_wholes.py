@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from tests_llm_helpers import corpus
+from tests_llm_helpers import corpus, frame, ready  # noqa: F401
 from titlepulse.llm import katz_lm, mixing, packing, topk
 from titlepulse.llm.common import components
 
