@@ -75,6 +75,18 @@ def test_validators_and_context():
     assert not pii.luhn("4222222222223") and pii.luhn("4222222222222")
 
 
+def test_ibans_before_short_words_in_capitals():
+    ibans = lambda text: [text[a:b] for a, k, b, _ in pii.spans_of(text) if pii.KINDS[k].name == "iban"]
+    valid = ["BE68 5390 0754 7034", "ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "PL61 1090 1014 0000 0712 1981 2874", "NO93 8601 1117 947", "DE89 3704 0044 0532 0130 00"]
+    for iban in [*valid, *[v.replace(" ", "") for v in valid]]:
+        for after in ("", " now", " EUR 250", " BIC X", " ACME CORP", " 2024 12", ", X"):
+            assert ibans(f"to {iban}{after}") == [iban], (iban, after)
+    assert ibans("REF XY99 BE68 5390 0754 7034 EUR") == ["BE68 5390 0754 7034"]
+    assert ibans("BE68 5390 0754 7034 EUR AT61 1904 3002 3457 3201 USD") == ["BE68 5390 0754 7034", "AT61 1904 3002 3457 3201"]
+    assert ibans("BE68 5390 0754 7035 EUR 250") == []
+    assert pii.redacted("pay BE68 5390 0754 7034 EUR 250") == "pay [IBAN] EUR 250"
+
+
 def test_redaction_takes_effect_and_edges(frame):
     rows = [(1, "mail me at joe@example.com now"), (2, None), (3, ""), (4, "nothing here"), (None, "call +1 555 123 4567"), (5, "x" * 200_000)]
     found = pii.redact(frame(rows)).collect()

@@ -6,7 +6,9 @@ Every kind has a pattern, a check of the matched text and a score; a word of the
 ``card13`` (13 digits passing Luhn, too short for the base kind) and ``national_id`` (three groups of digits) need
 context words beside their check.
 
-Matches of a kind are leftmost and do not overlap; those that fail are dropped and not tried again from inside.
+Matches of a kind are leftmost and do not overlap; those that fail are dropped and, for the base kinds, not tried again
+from inside.  A failed ``iban`` is tried with the ends at its blanks, as a short word in capitals after it would belong
+to the match, and then from its next character on.
 Offsets are code points, the end exclusive.  Null and empty texts have no spans.  Whole texts are searched.
 Repeated rows get equal results.  An empty table gives an empty result.
 """
@@ -43,6 +45,33 @@ def mod97(text: str) -> bool:
     return 15 <= len(bare) <= 34 and int("".join(str(int(c, 36)) for c in bare[4:] + bare[:4])) % 97 == 1
 
 
+# Lengths of the IBAN registry, by country.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+
+
+def iban_end(text: str, start: int, end: int) -> int | None:
+    """Where the IBAN in a match ends: at a blank or the match's end, first where its country's length is reached.
+
+    A part that ends at a blank has to have its country's length, if that is known; the whole match only the check.
+    """
+    ends = [end, *[n for n in range(end - 1, start, -1) if text[n] == " "]]
+    known = IBAN_LENGTHS.get(text[start : start + 2])
+    sized = [n for n in ends if len(text[start:n].replace(" ", "")) == known]
+    for n in sized or ([end] if known else ends):
+        if mod97(text[start:n]):
+            return n
+    return end if mod97(text[start:end]) else None
+
+
 def national_id(text: str) -> bool:
     area, group, serial = text.split("-")
     return area not in ("000", "666") and area < "900" and group != "00" and serial != "0000"
@@ -57,6 +86,7 @@ class Kind:
     score: float = 1.0
     context: re.Pattern | None = None
     raised: float = 0.0
+    ends: Callable[[str, int, int], int | None] | None = None  # for kinds with retries: where the span in a match ends
 
 
 # The first four kinds, their patterns and limits are given.
@@ -66,7 +96,7 @@ KINDS = (
     Kind("card", re.compile(r"[0-9]([\x20-]?[0-9])+"), lambda m: 14 <= digit_count(m) <= 19 and luhn(m), ""),
     Kind("phone", re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"), lambda m: 10 <= digit_count(m) <= 15, "+"),
     # Further kinds of this method.
-    Kind("iban", re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"), mod97, "", 0.7),
+    Kind("iban", re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"), mod97, "", 0.7, ends=iban_end),
     Kind(
         "card13", re.compile(r"(?<![0-9-])[0-9](?:[ -]?[0-9]){12}(?![0-9-])"), luhn, "", 0.3,
         re.compile(r"\b(?:card|visa|credit|debit|payment)\b", re.I), 0.4,
@@ -80,6 +110,19 @@ BASE_KINDS = KINDS[:4]
 HAS_DIGIT = re.compile("[0-9]")
 
 
+def confirmed(kind: Kind, text: str):
+    """``(start, end)`` of every match that passes its check."""
+    if kind.ends is None:
+        yield from (match.span() for match in kind.pattern.finditer(text) if kind.check(match.group()))
+        return
+    at = 0
+    while match := kind.pattern.search(text, at):
+        start, end = match.start(), kind.ends(text, *match.span())
+        if end is not None:
+            yield start, end
+        at = start + 1 if end is None else end
+
+
 def spans_of(text: str, kinds=KINDS) -> list[tuple[int, int, int, float]]:
     """``(start, kind number, end, score)`` in order."""
     if not text:
@@ -89,10 +132,8 @@ def spans_of(text: str, kinds=KINDS) -> list[tuple[int, int, int, float]]:
     for number, kind in enumerate(kinds):
         if kind.needs and kind.needs not in text or not digits and kind.name != "email":
             continue
-        for match in kind.pattern.finditer(text):
-            if not kind.check(match.group()):
-                continue
-            score, (start, end) = kind.score, match.span()
+        for start, end in confirmed(kind, text):
+            score = kind.score
             if kind.context and kind.context.search(text[max(0, start - CONTEXT_CHARS) : start] + " \n " + text[end : end + CONTEXT_CHARS]):
                 score += kind.raised
             if score >= MIN_SCORE:
