@@ -40,7 +40,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces, each with its place in a sequence."""
     prepare(spark)
-    return packing.pack(docs)
+    return packing.pack(docs, added=True)
 
 
 STAGES = [

@@ -94,6 +94,24 @@ def test_packing_is_an_exact_round_trip(frame):
     assert packing.pack(frame([])).collect() == []
 
 
+def test_added_tokens_have_the_ids_of_the_unmodified_tokenizer(frame, tmp_path):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+    from titlepulse.llm.queries import QUERIES
+
+    own = Tokenizer.from_file(packing.tokenizer_path())
+    assert own.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|><|endoftext|>\n\n  y", "<|endoftext|", "plain don't 日本", None, ""]
+    docs = frame(list(enumerate(texts)), clash=False)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    expected = {}
+    for n, text in enumerate(texts):
+        ids = [*own.encode(text or "", add_special_tokens=False).ids, 1]
+        expected[n] = (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+    for found in (QUERIES["op7_packing"](docs.sparkSession, str(tmp_path)), corpus_pipeline.packing_stage(docs.sparkSession, docs, str(tmp_path))):
+        assert {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in found.collect()} == expected
+
+
 @pytest.mark.parametrize("scale", [1, 1e6])
 def test_topk_equals_brute_force(spark, scale):
     rng = np.random.default_rng(5)

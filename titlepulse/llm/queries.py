@@ -59,7 +59,7 @@ def op6_katz_lm(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(table(spark, folder, "documents"))
+    return packing.pack(table(spark, folder, "documents"), added=True)
 
 
 @query
