@@ -1,5 +1,6 @@
 """Mixing, packing, top-k, the language model and the pipeline."""
 
+import functools
 import math
 import random
 import re
@@ -187,6 +188,55 @@ def test_language_model_equals_brute_force(frame, size, frequent, min_count):
         assert mine[5] == pytest.approx(other[5], rel=1e-9) and mine[6] == pytest.approx(other[6], rel=1e-9)
 
 
+def plain_katz(rows, order):
+    """Scores by recursion over every n-gram, and for each held-out context met the sum of its probabilities."""
+    tokens = lambda t: [*(w.encode().lower() for w in re.findall(r"[^\x20\x09-\x0D]+", t or "")), b""]
+    grams = lambda x: [tuple(["^"] * (order - 1) + x)[n : n + order] for n in range(len(x))]
+    training = [tokens(t) for i, t in rows if not katz_lm.held_out(i)]
+    count = [Counter(g[order - k :] for x in training for g in grams(x)) for k in range(order + 1)]
+    after = defaultdict(list)
+    for k in range(2, order + 1):
+        for g in count[k]:
+            after[g[:-1]].append(g)
+    factors = [katz_lm.discounts(Counter(c.values())) for c in count]
+    spare = max(1, sum(n == 1 for n in count[1].values()))
+    whole = sum(count[1].values()) + spare
+
+    @functools.cache
+    def sizes(h):
+        k = len(h) + 1
+        mass = sum(count[k][g] * (factors[k][count[k][g]] if count[k][g] <= katz_lm.DISCOUNTED else 1) for g in after[h])
+        size = sum(count[k][g] for g in after[h])
+        size += mass > size * (1 - 1e-9)
+        return size, (1 - mass / size) / (1 - sum(p(g[1:]) for g in after[h]))
+
+    @functools.cache
+    def p(g):
+        n = count[len(g)][g]
+        if len(g) == 1:
+            return (n or spare) / whole
+        if n:
+            return n * (factors[len(g)][n] if n <= katz_lm.DISCOUNTED else 1) / sizes(g[:-1])[0]
+        return p(g[1:]) * (sizes(g[:-1])[1] if g[:-1] in after else 1)
+
+    for h in [h for h in list(after) if len(h) == order - 1][:20]:
+        assert abs(sum(p((*h, w)) for (w,) in count[1]) + p((*h, "never")) - 1) < 1e-9
+    return [(i, katz_lm.held_out(i), len(tokens(t)), sum(map(math.log10, map(p, grams(tokens(t)))))) for i, t in rows]
+
+
+@pytest.mark.parametrize("order, frequent, words_held", [(2, 0, 0), (2, 40, 30)])
+def test_language_model_over_every_word_and_bigram(frame, order, frequent, words_held):
+    rows = corpus(11, docs=40)
+    found = katz_lm.score(frame(rows).repartition(3), order=order, frequent=frequent, words_held=words_held).collect()
+    classed = katz_lm.score(frame(rows).repartition(3), vocabulary=10_000, min_count=1).collect()
+    key = lambda r: (str(r[0]), r[2], round(r[-1], 6))
+    for mine, other in zip(sorted(map(tuple, found), key=key), sorted(plain_katz(rows, order), key=key), strict=True):
+        assert mine[:3] == other[:3] and mine[-1] == pytest.approx(other[-1], rel=1e-9)
+    same = lambda r: (str(r[0]), r[2], round(r[5], 6))
+    for mine, other in zip(sorted(map(tuple, found), key=same), sorted(map(tuple, classed), key=same), strict=True):
+        assert mine[:5] == other[:5] and mine[5] == pytest.approx(other[5], rel=1e-9)
+
+
 def test_language_model_edges(frame):
     assert katz_lm.score(frame([])).collect() == []
     held = next(i for i in range(100) if katz_lm.held_out(i))

@@ -1,6 +1,7 @@
 """A Katz backoff language model, counted over the training documents, and the scores of all documents.
 
-Tokens are lower-cased words and one end.  A fixed number of the most frequent words (``VOCABULARY``) have a class of
+Tokens are lower-cased words and one end.  ``score`` is over every word and n-gram (``katz_whole``).  Only if a
+``vocabulary`` is asked for, it is the smaller model of this module: so many of the most frequent words have a class of
 their own; all others share one class, inside which a word has its own add-one probability:
 
     P(w | h) = P(class of w | class of h) * P(w | its class)
@@ -33,6 +34,7 @@ from titlepulse.llm.common import least_count, lower_words_of
 from titlepulse.sources.shared import stage
 
 VOCABULARY = 1 << 18
+ORDER = 2
 FREQUENT = 1_000_000
 MIN_COUNT, DISCOUNTED = 2, 5
 HELD_OUT_OF, HELD_OUT = 7, 2
@@ -211,8 +213,20 @@ def train(docs: DataFrame, vocabulary: int = VOCABULARY, frequent: int = FREQUEN
     return model, words, rare
 
 
-def score(docs: DataFrame, **options) -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every document."""
+def score(docs: DataFrame, vocabulary: int | None = None, order: int = ORDER, frequent: int = FREQUENT, words_held: int = VOCABULARY, **options) -> DataFrame:
+    """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every document.
+
+    ``frequent`` and ``words_held`` are the sizes of caches.  ``min_count`` goes with a ``vocabulary`` only.
+    """
+    if vocabulary is not None:
+        return score_classed(docs, vocabulary=vocabulary, frequent=frequent, **options)
+    from titlepulse.llm import katz_whole
+
+    return katz_whole.score(docs, order, frequent, words_held, **options)
+
+
+def score_classed(docs: DataFrame, **options) -> DataFrame:
+    """The same columns, with a class for each of ``vocabulary`` words and one for all others."""
     spark = docs.sparkSession
     model, words, rare = train(docs, **options)
     held = spark.sparkContext.broadcast(model)
