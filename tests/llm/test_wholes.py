@@ -237,6 +237,15 @@ def test_language_model_over_every_word_and_bigram(frame, order, frequent, words
         assert mine[:5] == other[:5] and mine[5] == pytest.approx(other[5], rel=1e-9)
 
 
+@pytest.mark.parametrize("options, order", [({}, 3), ({"frequent": 0, "words_held": 5}, 3), ({"order": 4, "frequent": 20}, 4)])
+def test_language_model_backs_off_recursively_with_singletons(frame, options, order):
+    rows = corpus(11, docs=40)
+    found = katz_lm.score(frame(rows).repartition(3), **options).collect()
+    key = lambda r: (str(r[0]), r[2], round(r[-1], 6))
+    for mine, other in zip(sorted(map(tuple, found), key=key), sorted(plain_katz(rows, order), key=key), strict=True):
+        assert mine[:3] == other[:3] and mine[-1] == pytest.approx(other[-1], rel=1e-9)
+
+
 def test_language_model_edges(frame):
     assert katz_lm.score(frame([])).collect() == []
     held = next(i for i in range(100) if katz_lm.held_out(i))

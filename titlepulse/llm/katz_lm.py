@@ -34,7 +34,7 @@ from titlepulse.llm.common import least_count, lower_words_of
 from titlepulse.sources.shared import stage
 
 VOCABULARY = 1 << 18
-ORDER = 2
+ORDER = 3
 FREQUENT = 1_000_000
 MIN_COUNT, DISCOUNTED = 2, 5
 HELD_OUT_OF, HELD_OUT = 7, 2
