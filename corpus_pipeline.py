@@ -12,6 +12,10 @@ from titlepulse.llm import mixing, ngram_join, packing, pii, quality_rules
 from titlepulse.llm.common import prepare, table
 from titlepulse.sources.shared import stage
 
+# Options of the mix, such as its weights, and of the windows of slots that are packed together.
+MIX: dict = {}
+WINDOWS: dict = {}
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that every quality rule passes."""
@@ -34,13 +38,17 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order in which the sources' schedule takes them."""
     prepare(spark)
-    return mixing.in_mixed_order(docs)
+    return mixing.in_mixed_order(docs, **MIX)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' pieces, each with its place in a sequence."""
+    """The documents' pieces, each with its place in a sequence; sequences follow the order of the mix.
+
+    A table does not keep the order of its rows, so the slots are found again: they follow from the documents and ``MIX``.
+    """
     prepare(spark)
-    return packing.pack(docs, added=True)
+    mixed = stage(mixing.mix(docs.select("doc_id", "text", "source"), **MIX), "mixed")
+    return packing.pack_mixed(mixed, added=True, **WINDOWS)
 
 
 STAGES = [

@@ -283,3 +283,26 @@ def test_pipeline_equals_its_stages_done_plainly(spark, frame, tmp_path):
     for name, function in corpus_pipeline.STAGES[:-1]:
         assert function(spark, docs, str(tmp_path)).columns == docs.columns, name
     assert len(names) == 5
+
+
+def test_packing_follows_the_mix(spark, frame, monkeypatch):
+    import corpus_pipeline
+
+    rows = [(n, f"word{n} " * (n % 7 + 1), "abc"[n % 3]) for n in range(240)]
+    docs = frame(rows, clash=False)
+    monkeypatch.setattr(corpus_pipeline, "WINDOWS", {"window_slots": 4, "window_docs": 12})
+    packed = {}
+    for weights in ({"a": 1, "b": 1, "c": 1}, {"a": 6, "b": 1, "c": 1}, {"a": 1, "b": 1}):
+        monkeypatch.setattr(corpus_pipeline, "MIX", {"weights": weights, "block_docs": 2, "period": 8})
+        mixed = corpus_pipeline.mixing_stage(spark, docs, "")
+        slots = {r.doc_id: r._slot for r in mixing.mix(docs, **corpus_pipeline.MIX).collect()}
+        assert {r.doc_id for r in mixed.collect()} == set(slots)
+        found = corpus_pipeline.packing_stage(spark, mixed, "").collect()
+        sequences = check_packing(found, [(i, t) for i, t, s in rows if s in weights], packing.WIDTH)
+        assert sorted(sequences) == list(range(len(sequences)))
+        # Sequences go through the slots in order: none begins before the last slot of the one before its window.
+        spans = [(min(slots[r.doc_id] for r in own), max(slots[r.doc_id] for r in own)) for _, own in sorted(sequences.items())]
+        assert len(spans) > 5 and all(a[1] < b[0] or a[0] // 4 == b[0] // 4 for a, b in zip(spans, spans[1:]))
+        packed[tuple(weights.items())] = {(r.doc_id, r.sequence_id, r.offset) for r in found}
+    assert len(set(map(frozenset, packed.values()))) == 3
+    assert corpus_pipeline.packing_stage(spark, docs.limit(0), "").collect() == []

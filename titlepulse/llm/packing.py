@@ -7,6 +7,10 @@ only some of its packs get the length.  A pattern is a tuple of lengths with a c
 lengths and not of documents.  Then every piece gets its rank among the pieces of its length, and an interval of
 ranks belongs to each place in a pattern.
 
+``pack_mixed`` does this inside windows of the order of a mix (``mixing.mix``): consecutive slots with at least
+``WINDOW_DOCS`` documents are packed among themselves, and the sequences of earlier windows come first.  Inside a window, pieces of
+one length are ranked in the order of the mix.  A window's histogram is packed in its own task.
+
 Null texts are empty: one end token.  A null id stays null.  A text of any length is tokenized whole, in one
 call.  Rows with the same id and text are interchangeable.  An empty table gives an empty result.
 """
@@ -15,6 +19,7 @@ from __future__ import annotations
 
 import functools
 import heapq
+import itertools
 import json
 import zlib
 
@@ -26,6 +31,7 @@ from titlepulse.llm.common import arrow_map, rank_in_groups
 from titlepulse.sources.shared import stage
 
 WIDTH, END = 2048, 1
+WINDOW_SLOTS, WINDOW_DOCS = 16, 16_384
 
 
 def tokenizer_path() -> str:
@@ -61,9 +67,11 @@ def encoder(path: str):
     return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
-def pieces(docs: DataFrame, path: str | None = None, width: int = WIDTH, added: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, path: str | None = None, width: int = WIDTH, added: bool = False, carried: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens, order_key`` per piece; the key orders pieces of one length.
 
+    Whole numbers of the documents in the columns ``carried`` go with their pieces.
+
     With ``added``, an added token of the file that a text spells out has the id of that token, as in
     ``Tokenizer.encode``; without it is text like any other, as with ``encode_special_tokens``.
     """
@@ -79,8 +87,9 @@ def pieces(docs: DataFrame, path: str | None = None, width: int = WIDTH, added:
                 return own.encode_ordinary(text)
             return own.encode(text, allowed_special="all", disallowed_special=())
 
-        out = {name: [] for name in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "order_key")}
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+        out = {name: [] for name in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "order_key", *carried)}
+        others = [(name, batch.column(name).to_pylist()) for name in carried]
+        for row, (doc_id, text) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("text"))):
             ids = np.array([*encode(text.as_py() or ""), END], dtype="<u4")
             data = ids.tobytes()
             for start in range(0, len(ids), width):
@@ -92,10 +101,13 @@ def pieces(docs: DataFrame, path: str | None = None, width: int = WIDTH, added:
                 out["ids_crc32"].append(crc)
                 out["doc_tokens"].append(len(ids))
                 out["order_key"].append(f"{zlib.crc32(f'{doc_id}:{start}:{crc}'.encode()):08x}:{doc_id}:{start}:{crc}")
+                for name, values in others:
+                    out[name].append(values[row])
         yield out
 
-    bare = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return arrow_map(bare, cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, order_key string")
+    bare = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carried)
+    further = "".join(f", {name} long" for name in carried)
+    return arrow_map(bare, cut, f"doc_id long, start long, length long, ids_crc32 long, doc_tokens long, order_key string{further}")
 
 
 def pack_histogram(counts: dict[int, int], width: int = WIDTH) -> list[tuple[tuple[int, ...], int]]:
@@ -175,3 +187,59 @@ def pack(docs: DataFrame, path: str | None = None, width: int = WIDTH, added: bo
         F.expr("p.sequence + _rank - p.first").alias("sequence_id"),
         F.col("p.offset").alias("offset"),
     )
+
+
+def windows(mixed: DataFrame, window_slots: int = WINDOW_SLOTS, window_docs: int = WINDOW_DOCS) -> list[tuple[int, int, int, int]]:
+    """``(part, window, first slot, slots)``: parts of ``window_slots`` slots, joined to windows of ``window_docs`` documents or more.
+
+    The driver sees one count for each part, at most one for every slot in use.
+    """
+    part = F.expr(f"_slot div {window_slots}")
+    counts = sorted(tuple(r) for r in mixed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
+    grouped: list[list[int]] = [[]]
+    held = 0
+    for found, n in counts:
+        if held >= window_docs:
+            grouped.append([])
+            held = 0
+        grouped[-1].append(found)
+        held += n
+    return [(p, n, parts[0] * window_slots, (parts[-1] - parts[0] + 1) * window_slots) for n, parts in enumerate(grouped) for p in parts]
+
+
+def pack_mixed(mixed: DataFrame, path: str | None = None, width: int = WIDTH, added: bool = False, window_slots: int = WINDOW_SLOTS, window_docs: int = WINDOW_DOCS) -> DataFrame:
+    """The columns of ``pack`` for documents with ``_slot`` and ``_offset``, packed in windows of slots."""
+    spark = mixed.sparkSession
+    cut = stage(pieces(mixed, path, width, added, ("_slot", "_offset")).drop("order_key"), "pieces")
+    listed = spark.createDataFrame(windows(mixed, window_slots, window_docs), "_part long, _window long, _first long, _slots long")
+    placed = cut.withColumn("_part", F.expr(f"_slot div {window_slots}")).join(F.broadcast(listed), "_part")
+    placed = placed.withColumn("_group", F.concat_ws(":", "_window", "length"))
+    # Two hex digits for the place in the window, then slot, offset and start, all in one text that sorts like the numbers.
+    digits = lambda column, n: F.lpad(F.hex(column), n, "0")
+    order = F.concat(digits(F.expr("(_slot - _first) * 256 div _slots"), 2), digits(F.col("_slot"), 16), digits(F.col("_offset"), 8), digits(F.col("start"), 16))
+    ranked = rank_in_groups(placed, "_group", order, "_rank", digits=2)
+    histograms = placed.groupBy("_window", "length").agg(F.count(F.lit(1)).alias("n"))
+
+    def lay_out(key, table):
+        import pyarrow as pa
+
+        counts = dict(zip(table.column("length").to_pylist(), table.column("n").to_pylist()))
+        found = places(pack_histogram(counts, width))
+        names = ("length", "first", "packs", "sequence", "offset")
+        columns = [pa.array([p[n] for p in found], pa.int64()) for n in range(len(names))]
+        return pa.table([pa.array([key[0].as_py()] * len(found), pa.int64()), *columns], ["_window", *names])
+
+    laid = stage(histograms.groupBy("_window").applyInArrow(lay_out, "_window long, length long, first long, packs long, sequence long, offset long"), "places")
+    used = sorted(tuple(r) for r in laid.groupBy("_window").agg(F.max(F.expr("sequence + packs"))).collect())
+    starts = list(zip([window for window, _ in used], itertools.accumulate([n for _, n in used], initial=0)))
+    bases = spark.createDataFrame(starts, "_window long, _base long")
+    by_group = (
+        laid.join(F.broadcast(bases), "_window").withColumn("_group", F.concat_ws(":", "_window", "length")).groupBy("_group")
+        .agg(F.sort_array(F.collect_list(F.struct("first", "packs", (F.col("_base") + F.col("sequence")).alias("sequence"), "offset"))).alias("places"))
+    )
+    found = ranked.join(by_group, "_group").withColumn("p", F.expr("filter(places, p -> _rank >= p.first and _rank < p.first + p.packs)[0]"))
+    return found.select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens",
+        F.expr("p.sequence + _rank - p.first").alias("sequence_id"),
+        F.col("p.offset").alias("offset"),
+    )
