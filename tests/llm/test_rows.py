@@ -136,6 +136,19 @@ def test_link_graph_spreads_trust_and_distrust(spark):
         assert abs(ranks[host] - score) < 1e-12
 
 
+def test_every_blocked_page_makes_its_host_a_seed(spark):
+    link = lambda *hosts: " ".join(f"<a href='//{h}/x'>" for h in hosts)
+    pages = [*[("http://part.com/de/1", None)] * 9, *[("http://part.com/x", None)] * 11, ("http://farm.net/", link("part.com")), ("http://alone.net/", None)]
+    # As many pages blocked, but trusted hosts link to the one that links there.
+    pages += [*[("http://mixed.com/de/1", None)] * 9, *[("http://mixed.com/fr/1", None)] * 10, ("http://mixed.com/x", None), ("http://fan.net/", link("mixed.com")), ("http://good.org/", link("fan.net", "fan.net"))]
+    frame = spark.createDataFrame([(n, *p) for n, p in enumerate(pages)], "page_id long, url string, html string")
+    found = {(r.host, r.path): r.verdict for r in url_filter.judge(frame).collect()}
+    assert found == {
+        ("part.com", "/de/1"): "block", ("part.com", "/x"): "allow", ("farm.net", "/"): "block", ("alone.net", "/"): "allow",
+        ("mixed.com", "/de/1"): "block", ("mixed.com", "/fr/1"): "allow", ("mixed.com", "/x"): "allow", ("fan.net", "/"): "allow", ("good.org", "/"): "allow"}
+    assert {(r.src, r.dst): r.n for r in url_filter.host_edges(frame).collect()} == {("farm.net", "part.com"): 1, ("fan.net", "mixed.com"): 1, ("good.org", "fan.net"): 2}
+
+
 def rated(rng, n, kind):
     good = [f"word{k}" for k in range(200)]
     text = [rng.choice(good) for _ in range(rng.randint(40, 200))]

@@ -1,11 +1,12 @@
 """URL filter: rules first, then trust and distrust spread over the links between hosts.
 
 A rule names a host and the beginning of a path; it fits the host and its subdomains, and the longest that fits
-decides.  For every other url the method decides by its host: personalised PageRank from the hosts that rules mostly
-allow runs along links (who is linked from trusted hosts is trusted), and the same from the hosts that rules mostly
-block runs against them (who links to blocked hosts is distrusted).  A host is blocked where its distrust is at least
-``MIN_DISTRUST`` of the blocked seeds' mean and exceeds its trust ``RATIO`` times; otherwise, and without any links,
-it is allowed.
+decides.  For every other url the method decides by its host.  Every host with pages that rules allow is a seed of trust, weighted by
+their share of its pages, and every host with blocked pages one of distrust.  Personalised PageRank runs from the first
+along links (who is linked from trusted hosts is trusted), and from the others against them (who links to blocked
+hosts is distrusted), both on the scale of the weights.  A host is blocked where its distrust is at least ``MIN_DISTRUST`` of the
+blocked seeds' mean and exceeds its trust ``RATIO`` times; otherwise it is allowed.  A seed's own blocked pages count
+for its neighbours in any case, and for itself where they are more than half: one bad path condemns no host.
 
 Links are grouped to weighted host edges before anything else, so a host's number of pages does not matter; ranks are
 kept per host in written tables, one for each iteration.  A null url, or one without ``://``, has an empty host and
@@ -52,12 +53,13 @@ def fitting_rule(rules) -> Column:
 
 
 def host_edges(pages: DataFrame) -> DataFrame:
-    """``(src, dst, n)``: links between different hosts, from the absolute links of the pages."""
+    """``(src, dst, n)``: links between different hosts, from the links of the pages with ``scheme://`` or ``//`` before a host."""
     linked = pages.select(
         host_of(F.col("url")).alias("src"),
-        F.explode(F.regexp_extract_all(F.coalesce(F.col("html").cast("string"), F.lit("")), F.lit(r"(?i)href\s*=\s*[\"']?([a-z][a-z0-9+.-]*://[^\s\"'>]+)"), 1)).alias("link"),
+        F.explode(F.regexp_extract_all(F.coalesce(F.col("html").cast("string"), F.lit("")), F.lit(r"(?i)href\s*=\s*[\"']?((?:[a-z][a-z0-9+.-]*:)?//[^\s\"'>]+)"), 1)).alias("link"),
     )
-    ends = linked.select("src", host_of(F.col("link")).alias("dst"))
+    full = F.when(F.col("link").startswith("//"), F.concat(F.lit("http:"), "link")).otherwise(F.col("link"))
+    ends = linked.select("src", host_of(full).alias("dst"))
     return ends.where("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -84,7 +86,7 @@ def host_verdicts(pages: DataFrame, judged: DataFrame) -> DataFrame:
     along = edges.join(out, "src").select("src", "dst", (F.col("n") / F.col("all")).alias("share"))
     into = edges.groupBy("dst").agg(F.sum("n").alias("all"))
     against = edges.join(into, "dst").select(F.col("dst").alias("src"), F.col("src").alias("dst"), (F.col("n") / F.col("all")).alias("share"))
-    # Seeds are hosts that rules allow, or block, on more than half of their pages: one bad path condemns no host.
+    # A host can be a seed of both.
     shares = stage(
         judged.where("host <> ''").groupBy("host").agg(
             F.avg(F.when(F.col("r.verdict") == "allow", 1.0).otherwise(0.0)).alias("good"),
@@ -97,13 +99,17 @@ def host_verdicts(pages: DataFrame, judged: DataFrame) -> DataFrame:
         steps = 0
     else:
         steps = ITERATIONS
-    good = shares.where("2 * good > 1").select("host", F.col("good").alias("weight"))
-    bad = shares.where("2 * bad > 1").select("host", F.col("bad").alias("weight"))
-    trust = spread(good, along, "trust", steps).withColumnRenamed("score", "trust")
-    distrust = spread(bad, against, "distrust", steps).withColumnRenamed("score", "distrust")
-    seeds = bad.count()
-    both = distrust.join(trust, "host", "left").na.fill(0.0, ["trust"])
-    enough = F.col("distrust") * seeds >= MIN_DISTRUST
+    good = shares.where("good > 0").select("host", F.col("good").alias("weight"))
+    bad = shares.where("bad > 0").select("host", F.col("bad").alias("weight"))
+    all_good, all_bad, seeds = shares.agg(F.coalesce(F.sum("good"), F.lit(0.0)), F.coalesce(F.sum("bad"), F.lit(0.0)), F.count_if(F.col("bad") > 0)).first()
+    # Scores sum to 1 on either side; times the sum of the weights they are comparable.
+    trust = spread(good, along, "trust", steps).select("host", (F.col("score") * all_good).alias("trust"))
+    distrust = spread(bad, against, "distrust", steps).select("host", (F.col("score") * all_bad).alias("distrust"))
+    # Without links a seed's score is its weight, else its restart and what has come to it.
+    own = bad.select("host", F.when(2 * F.col("weight") > 1, 0.0).otherwise(F.col("weight") * (1 - DAMPING if steps else 1.0)).alias("own"))
+    both = distrust.join(trust, "host", "left").join(own, "host", "left").na.fill(0.0, ["trust", "own"])
+    both = both.withColumn("distrust", F.col("distrust") - F.col("own"))
+    enough = F.col("distrust") * seeds >= MIN_DISTRUST * all_bad
     return both.select("host", (enough & (F.col("distrust") > RATIO * F.col("trust"))).alias("blocked"))
 
 
