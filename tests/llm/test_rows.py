@@ -37,6 +37,22 @@ def test_quality_rules_keep_what_they_should(frame):
     assert kept == {1: True, 2: False, 3: False, 4: False, 5: False, 6: False, 7: False}
 
 
+def test_pipeline_keeps_clean_short_texts_with_numbers(spark, frame):
+    import corpus_pipeline
+
+    rows = [  # rated as good and not toxic in the generated table
+        (4895, "Erheit sich enachge die verlich enkeitzu +1 (372) 555-7739 einverte 9597024294303453 beung."),
+        (8558, "Raie ta.\nQue osra ostado ardo lo +1 (887) 555-2355 ciónóciue, 4407620926593142 del cióndoó."),
+        (9138, "4501042323994846 Anth heoron, it for +1 (984) 555-5227 ofonntndon 224.228.19.86 thon, ha oferesonble hain thing tionhaed erenouou."),
+    ]
+    line = "And therhean is the is esndha."
+    rows.append((30, "\n".join([line, " ".join(f"word{n}" for n in range(60)), line])))
+    bad = (1, " ".join("12 34 56 78 90".split() + [str(n) for n in range(50)]))
+    docs = frame([*rows, bad], clash=False)
+    assert sorted(r.doc_id for r in corpus_pipeline.quality_stage(spark, docs, "").collect()) == [30, 4895, 8558, 9138]
+    assert not any(r.judged.kept for r in quality_rules.judge(docs).collect())
+
+
 def test_cascade_order_is_by_rejections_per_cost(frame):
     rows = [(n, ("ABC DEF " if n < 8 else "abc def ") * 10 + str(n)) for n in range(10)]
     cheap = quality_rules.Rule("cheap", "n_words < 0")
