@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from titlepulse.llm import mixing, quality_rules, topk
+from titlepulse.llm import lexical_search, mixing, quality_rules, topk
 
 CHECKS: dict[str, str] = {}
 
@@ -125,3 +125,27 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR 5 * len(list_filter(w, lambda x: NOT regexp_matches(x, '\\p{L}'))) > n_words) AS kept
 FROM judged
 """
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+CHECKS["op12_lexical_search"] = f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS w FROM documents
+), asked AS (
+  SELECT row_number() OVER () AS item, item_id, {_TERMS} AS w FROM benchmark
+), wanted AS (
+  SELECT item, item_id, term, count(*) AS times FROM (SELECT item, item_id, unnest(w) AS term FROM asked) GROUP BY ALL
+), held AS (
+  SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(w) AS term FROM texts) GROUP BY ALL
+), total AS (
+  SELECT count(*) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM texts WHERE len(w) > 0
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n + 2) / (2 * df + 1))) AS BIGINT) AS weight FROM (SELECT term, count(*) AS df FROM held GROUP BY term), total
+), scored AS (
+  SELECT item, item_id, row, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * len(texts.w) * n) // l)))) AS BIGINT) AS score
+  FROM wanted JOIN weights USING (term) JOIN held USING (term) JOIN texts USING (row), total GROUP BY ALL
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0
+) WHERE rank <= {lexical_search.K}
+"""
