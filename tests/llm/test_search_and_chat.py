@@ -1,13 +1,16 @@
 """Ranked lexical search and chat formatting."""
 
+import hashlib
 import math
+import random
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests_llm_helpers import corpus, frame, ready  # noqa: F401
-from titlepulse.llm import lexical_search
+from titlepulse.llm import chat_format, lexical_search
 
 TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 
@@ -52,3 +55,68 @@ def test_search_without_rows(spark, frame):
     for docs in ([], [(1, None), (2, ""), (3, " .,")]):
         assert lexical_search.search(frame(docs), asked).collect() == []
     assert lexical_search.search(frame([(1, "a")]), asked.limit(0)).collect() == []
+
+
+def conversation_rows(seed=3):
+    rng = random.Random(seed)
+    bits = [*chat_format.INSTRUCTIONS.control, "\\", "\\\\", "[", "]", "<", "INST]", "[\\INST]", "s>", " ", "\n", "é", "x", "/", "|end|>", "$1", "𝄞"]
+    rows = []
+    for conv in range(40):
+        for turn in range(rng.randint(1, 7)):
+            rows.append((conv, turn, rng.choice(["user", "assistant", "system", "tool", "<|text|>\\", None]) if conv % 3 else ("assistant" if turn % 2 else "user"), "".join(rng.choice(bits) for _ in range(rng.randint(0, 9)))))
+    rows += [(50, 0, "user", None), (50, 1, "assistant", ""), (51, 0, "user", "a " * 100_000), (51, 0, "user", "a " * 100_000), (51, None, "system", "s")]
+    return rows + [(None, 1, "user", "u"), (None, 0, "system", "t"), (None, None, None, None)]
+
+
+def plain_conversations(rows):
+    held = defaultdict(list)
+    for conv, turn, role, text in rows:
+        held[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    return {conv: [(r, t) for _, _, r, t in sorted(own)] for conv, own in held.items()}
+
+
+def test_formatted_conversations_read_back(spark):
+    rows = conversation_rows()
+    held = spark.createDataFrame([(*r, 1, True) for r in rows], "conv_id long, turn long, role string, text string, position long, valid boolean")
+    formatted = chat_format.conversations(held)
+    found = formatted.select("*", chat_format.read_back(F.col("formatted")).alias("read"), chat_format.loss_text(F.col("segments")).alias("loss_text")).collect()
+    wanted = plain_conversations(rows)
+    assert {r.conv_id for r in found} == set(wanted) and len(found) == len(wanted)
+    for r in found:
+        own = wanted[r.conv_id]
+        assert [tuple(t) for t in r["read"]] == own
+        assert r.loss_text == "".join(t for role, t in own if role == "assistant")
+        assert r.formatted == "".join(s.text for s in r.segments)
+        steps = list(zip(["", *[role for role, _ in own]], [role for role, _ in own]))
+        bad = [n for n, (a, b) in enumerate(steps, 1) if b not in chat_format.INSTRUCTIONS.follows.get(a if n > 1 else "", ()) or (n > 1 and a == "")]
+        assert r.first_bad == (bad[0] if bad else None) and r.valid == (not bad) and r.complete == (own[-1][0] == "assistant")
+    again = {r.conv_id: r for r in chat_format.digest(formatted).collect()}
+    for conv, own in wanted.items():
+        assert again[conv].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in own).encode()).hexdigest()
+        assert again[conv].n_turns == len(own)
+
+
+def test_slices_of_long_conversations_fit_together(spark):
+    rows = [(7, n, "assistant" if n % 2 else "user", f"text {n} [INST]") for n in range(23)] + [(8, n * 5, "user", "x") for n in range(3)]
+    held = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    key = lambda r: (r.conv_id, r.position)
+    whole = sorted(chat_format.turns(held).collect(), key=key)
+    assert sorted(chat_format.turns(held, slice_turns=4).collect(), key=key) == whole
+    formatted = {r.conv_id: r.formatted for r in chat_format.conversations(held).collect()}
+    for r in whole:
+        assert formatted[r.conv_id][r.start :].startswith("".join(s.text for s in r.segments))
+    assert [r.allowed for r in whole] == [True] * 23 + [True, False, False]
+
+
+def test_templates_that_could_not_be_read_back_are_refused(spark):
+    good = chat_format.INSTRUCTIONS
+    marks = chat_format.Marks
+    for roles, control in (
+        ({"user": marks("[INST] ", " end")}, good.control),  # no control string after the text
+        ({"user": marks("[INST] ", "</s>"), "assistant": marks("[INST] a", "</s>")}, good.control),  # one begins the other
+        ({"user": marks("<", "</s>")}, good.control),  # with a text "s>" a control string
+        ({"user": marks("u:", "\\</s>")}, good.control),
+    ):
+        with pytest.raises(ValueError):
+            chat_format.Template(roles, good.other, good.follows, good.ends, control)
+    assert chat_format.conversations(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).collect() == []

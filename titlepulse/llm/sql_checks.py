@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from titlepulse.llm import lexical_search, mixing, quality_rules, topk
+from titlepulse.llm import chat_format, lexical_search, mixing, quality_rules, topk
 
 CHECKS: dict[str, str] = {}
 
@@ -149,3 +149,36 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0
 ) WHERE rank <= {lexical_search.K}
 """
+
+
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _escaped(column: str) -> str:
+    out = f"replace({column}, chr(92), repeat(chr(92), 2))"
+    for c in chat_format.INSTRUCTIONS.control:
+        out = f"replace({out}, {_sql_text(c)}, {_sql_text(c[0])} || chr(92) || {_sql_text(c[1:])})"
+    return out
+
+
+_MARK_CHARS = "CASE role " + " ".join(f"WHEN {_sql_text(role)} THEN {len(m.before) + len(m.after)}" for role, m in chat_format.INSTRUCTIONS.roles.items())
+
+CHECKS["op13_chat_format"] = f"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), stepped AS (
+  SELECT *, row_number() OVER o AS position, coalesce(lag(role) OVER o, '-') || '>' || role AS step,
+         length({_escaped("text")}) + {_MARK_CHARS} ELSE {sum(map(len, chat_format.INSTRUCTIONS.other))} + length({_escaped("role")}) END AS chars
+  FROM rows WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), gathered AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY position) AS turns,
+         coalesce(string_agg(text, '' ORDER BY position) FILTER (role = 'assistant'), '') AS loss, CAST(sum(chars) AS BIGINT) AS formatted_chars,
+         min(position) FILTER (step NOT IN ('->system', '->user', 'system>user', 'user>assistant', 'assistant>user')) AS first_bad,
+         arg_max(role, position) = 'assistant' AS complete
+  FROM stepped GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars,
+       first_bad IS NULL AS valid, first_bad, complete FROM gathered
+"""
