@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titlepulse.llm import chat_format, katz_lm, lexical_search, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, substring_dedup, topk, url_filter
+from titlepulse.llm import chat_format, katz_lm, lexical_search, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, substring_dedup, token_alignment, topk, url_filter
 from titlepulse.llm.common import prepare, table
 from titlepulse.llm.sql_checks import CHECKS
 
@@ -79,6 +79,11 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(table(spark, folder, "documents"))
 
 
+@query
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.documents(token_alignment.align(table(spark, folder, "documents")))
+
+
 @query
 def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
