@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
@@ -45,8 +45,7 @@ def safe_ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
-def _whole_parts(value: Column) -> tuple[Column, Column, Column]:
-    number = value.cast("double")
+def _whole_parts(number: Column) -> tuple[Column, Column, Column]:
     floor = F.floor(number)
     scaled = (number - floor) * F.lit(_HALF)
     upper = F.floor(scaled)
@@ -64,33 +63,53 @@ def _joined(floor: Column, upper: Column, lower: Column) -> Column:
 _WHOLE_LIMIT = float(2**60)
 
 
-def _beyond(value: Column) -> Column:
-    """Whether a double has bits the three parts do not hold: it is huge, not finite, or finer than 2**-60."""
+def exact_parts(value: Column) -> Column:
+    """A double as ``floor, upper, lower, value``, what :func:`exact_sum_of` adds up.
+
+    The three parts are NULL where they don't hold all bits: the value is huge, not finite, or finer than 2**-60.
+    """
     number = value.cast("double")
-    scaled = (number - F.floor(number)) * F.lit(_HALF)
-    finest = (scaled - F.floor(scaled)) * F.lit(_HALF)
-    return (F.abs(number) >= _WHOLE_LIMIT) | (finest != F.floor(finest))
+    floor, upper, lower = _whole_parts(number)
+    scaled = (number - floor) * F.lit(_HALF)
+    finest = (scaled - upper) * F.lit(_HALF)
+    held = (F.abs(number) < _WHOLE_LIMIT) & (finest == lower)
+    parts = {"floor": floor, "upper": upper, "lower": lower}
+    return F.struct(*[F.when(held, part).alias(name) for name, part in parts.items()], number.alias("value"))
 
 
-def exact_sum(value: Column, over: WindowSpec | None = None) -> Column:
-    """Aggregate: the sum of doubles, rounded once; NULLs ignored, NULL without values.
+def with_exact_parts(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """Add a column of parts for each value.  They come out of a generator: Catalyst copies no expression into the sums above."""
+    return df.select("*", F.inline(F.array(F.struct(*[exact_parts(value).alias(name) for name, value in values.items()]))))
+
+
+def exact_sum_of(parts: Column, over: WindowSpec | None = None) -> Column:
+    """Aggregate: the sum of doubles given as :func:`exact_parts`, rounded once; NULLs ignored, NULL without values.
 
     Exact, and the same in any order of rows, where all values are below 2**60, multiples of 2**-60 (as every
     double from 2**-8 up is) and their whole parts add up to a bigint.  In any other case it is the plain sum of
     doubles of the same rows.  With ``over`` it is a window function.
     """
     place = (lambda total: total) if over is None else (lambda total: total.over(over))
-    inside = F.when(_beyond(value), F.lit(0.0)).otherwise(value)
-    sums = [place(F.try_sum(part)) for part in _whole_parts(inside)]
-    beyond = F.coalesce(place(F.max(_beyond(value))), F.lit(False))
-    exact = ~beyond & sums[0].isNotNull() & sums[1].isNotNull() & sums[2].isNotNull()
-    return F.when(exact, _joined(*sums)).otherwise(place(F.sum(value.cast("double"))))
+    sums = [place(F.try_sum(parts[name])) for name in ("floor", "upper", "lower")]
+    all_held = place(F.count(parts["floor"])) == place(F.count(parts["value"]))
+    exact = all_held & sums[0].isNotNull() & sums[1].isNotNull() & sums[2].isNotNull()
+    return F.when(exact, _joined(*sums)).otherwise(place(F.sum(parts["value"])))
+
+
+def exact_mean_of(parts: Column, over: WindowSpec | None = None) -> Column:
+    """Aggregate: :func:`exact_sum_of` divided by the number of values."""
+    count = F.count(parts["value"])
+    return safe_ratio(exact_sum_of(parts, over), count if over is None else count.over(over))
+
+
+def exact_sum(value: Column, over: WindowSpec | None = None) -> Column:
+    """:func:`exact_sum_of` a column itself; for many sums, or windows, make the parts first."""
+    return exact_sum_of(exact_parts(value), over)
 
 
 def exact_mean(value: Column, over: WindowSpec | None = None) -> Column:
-    """Aggregate: :func:`exact_sum` divided by the number of values."""
-    count = F.count(value)
-    return safe_ratio(exact_sum(value, over), count if over is None else count.over(over))
+    """:func:`exact_mean_of` a column itself."""
+    return exact_mean_of(exact_parts(value), over)
 
 
 def whole_sum(value: Column, over: WindowSpec | None = None) -> Column:
@@ -105,10 +124,14 @@ def whole_mean(value: Column, over: WindowSpec | None = None) -> Column:
     return safe_ratio(whole_sum(value, over), count if over is None else count.over(over))
 
 
+def exact_total_of(parts: list[Column]) -> Column:
+    """Sum of several columns of a row, given as their parts; exact under the conditions of :func:`exact_sum_of`, NULLs count as zero."""
+    unheld = reduce(lambda a, b: a | b, [p["floor"].isNull() & p["value"].isNotNull() for p in parts])
+    added = [reduce(lambda a, b: a + b, [F.coalesce(p[name], F.lit(0)) for p in parts]) for name in ("floor", "upper", "lower")]
+    plain = reduce(lambda a, b: a + b, [F.coalesce(p["value"], F.lit(0.0)) for p in parts])
+    return F.when(unheld, plain).otherwise(_joined(*added))
+
+
 def exact_total(values: list[Column]) -> Column:
-    """Sum of several columns of a row, exact under the conditions of :func:`exact_sum`; NULLs count as zero."""
-    numbers = [F.coalesce(value.cast("double"), F.lit(0.0)) for value in values]
-    beyond = reduce(lambda a, b: a | b, [_beyond(number) for number in numbers])
-    parts = zip(*(_whole_parts(F.when(_beyond(number), F.lit(0.0)).otherwise(number)) for number in numbers))
-    exact = _joined(*(reduce(lambda a, b: a + b, part) for part in parts))
-    return F.when(beyond, reduce(lambda a, b: a + b, numbers)).otherwise(exact)
+    """:func:`exact_total_of` columns themselves."""
+    return exact_total_of([exact_parts(value) for value in values])

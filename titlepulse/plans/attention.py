@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from titlepulse.functions import exact_mean, exact_sum, exact_total, iso_day, round_even, safe_ratio, week_start, whole_mean
+from titlepulse.functions import exact_mean_of, exact_sum_of, exact_total_of, iso_day, round_even, safe_ratio, week_start, whole_mean, whole_sum, with_exact_parts
 from titlepulse.operators.lookup import lookup_join
 from titlepulse.operators.ranking import top_within
 from titlepulse.schemas import (
@@ -25,14 +25,20 @@ def _any_signal() -> Column:
     return reduce(lambda a, b: a | b, [F.col(s.column).isNotNull() for s in SIGNALS])
 
 
+def _rates() -> dict[str, Column]:
+    """The signals that are averaged, and so may be fractions, by the name of their exact parts."""
+    return {f"_parts_{s.column}": F.col(s.column) for s in SIGNALS if s.weekly == "mean"}
+
+
 def weekly_engagement(engagement: DataFrame) -> DataFrame:
     """Signals per title and Monday: counts summed, rates averaged; a week without any signal has no row."""
     weekly = {
-        s.column: (F.try_sum(s.column) if s.weekly == "sum" else exact_mean(F.col(s.column))).alias(s.column)
+        s.column: (F.try_sum(s.column) if s.weekly == "sum" else exact_mean_of(F.col(f"_parts_{s.column}"))).alias(s.column)
         for s in SIGNALS
     }
+    known = engagement.where(F.col("game_id").isNotNull() & F.col("date").isNotNull() & _any_signal())
     return (
-        engagement.where(F.col("game_id").isNotNull() & F.col("date").isNotNull() & _any_signal())
+        with_exact_parts(known.select("game_id", "date", *[s.column for s in SIGNALS]), _rates())
         .groupBy("game_id", week_start(F.col("date")).alias("week"))
         .agg(*weekly.values())
     )
@@ -49,7 +55,7 @@ def _baseline(signal: Signal, baseline_weeks: int) -> Column:
         Window.partitionBy("game_id", value.isNull()).orderBy("week").rowsBetween(-baseline_weeks, -1)
     )
     # The weekly sums of whole numbers are whole.
-    return whole_mean(value, earlier) if signal.weekly == "sum" else exact_mean(value, earlier)
+    return whole_mean(value, earlier) if signal.weekly == "sum" else exact_mean_of(F.col(f"_parts_{signal.column}"), earlier)
 
 
 def attention_index(weekly: DataFrame, baseline_weeks: int = BASELINE_WEEKS) -> DataFrame:
@@ -57,7 +63,7 @@ def attention_index(weekly: DataFrame, baseline_weeks: int = BASELINE_WEEKS) ->
 
     All windows lie within a title, which has one row per week of history: the rows move once.
     """
-    by_title = weekly.repartition("game_id")
+    by_title = with_exact_parts(weekly.repartition("game_id"), _rates())
     based = by_title.select("*", *[_baseline(s, baseline_weeks).alias(f"_base_{s.index}") for s in SIGNALS])
 
     def percent(signal: Signal) -> Column:
@@ -68,9 +74,10 @@ def attention_index(weekly: DataFrame, baseline_weeks: int = BASELINE_WEEKS) ->
     indexed = raw.select(
         *weekly.columns, *[round_even(F.col(f"_{s.index}"), 2).alias(s.index) for s in SIGNALS]
     )
-    total = exact_total([F.col(s.index) for s in SIGNALS])
+    parted = with_exact_parts(indexed, {f"_parts_{s.index}": F.col(s.index) for s in SIGNALS})
+    total = exact_total_of([F.col(f"_parts_{s.index}") for s in SIGNALS])
     present = reduce(lambda a, b: a + b, [F.col(s.index).isNotNull().cast("int") for s in SIGNALS])
-    mean = indexed.withColumn("_mean", safe_ratio(total, present)).withColumn(
+    mean = parted.withColumn("_mean", safe_ratio(total, present)).withColumn(
         "attention_index", round_even(F.col("_mean"), 2)
     )
     # The last earlier week that has an index, however long ago.
@@ -113,15 +120,18 @@ def cohort_split(titles: DataFrame, attention: DataFrame, k: int = TOP_TITLES) -
     )
     on, off = F.col("on_steam"), ~F.col("on_steam")
 
-    def sums(name: str) -> list[Column]:
-        value = F.coalesce(F.col(name).cast("double"), F.lit(0.0))
-        return [exact_sum(F.when(side, value)).alias(f"{label}_{name}") for label, side in (("on", on), ("off", off))]
+    viewers = F.coalesce(F.col("twitch_avg_viewers").cast("double"), F.lit(0.0))
+    parted = with_exact_parts(known, {"_viewers": viewers})
+
+    def sums(label: str, side: Column) -> list[Column]:
+        views = whole_sum(F.when(side, F.coalesce("wiki_pageviews", F.lit(0)))).cast("double")
+        return [exact_sum_of(F.when(side, F.col("_viewers"))).alias(f"{label}_twitch_avg_viewers"), views.alias(f"{label}_wiki_pageviews")]
 
-    weeks = known.groupBy("week").agg(
+    weeks = parted.groupBy("week").agg(
         F.count_if(on).alias("on_titles"),
         F.count_if(off).alias("off_titles"),
-        *sums("twitch_avg_viewers"),
-        *sums("wiki_pageviews"),
+        *sums("on", on),
+        *sums("off", off),
     )
     ranked = top_titles(known.select("week", "game_id", "attention_index", "on_steam"), k)
     tops = ranked.groupBy("week").agg(F.count_if(on).alias("on_top"), F.count_if(off).alias("off_top"))

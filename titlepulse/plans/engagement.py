@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from titlepulse.functions import exact_mean, round_even, round_half_even_int, whole_mean, with_json_fields
+from titlepulse.functions import exact_mean_of, round_even, round_half_even_int, whole_mean, with_exact_parts, with_json_fields
 from titlepulse.operators.lookup import lookup_join
 from titlepulse.operators.upsert import BATCH, COALESCE
 from titlepulse.schemas import ENGAGEMENT, SNAPSHOT_SOURCES, conform
@@ -70,16 +70,17 @@ def engagement_daily(bronze: DataFrame, seed: DataFrame) -> DataFrame:
     """Wide daily facts per title: one shuffle for all sources, combined per task before it."""
     values = snapshot_values(resolve_titles(bronze, seed, SNAPSHOT_SOURCES))
     signals = ["viewers", "players", "views", "index", "subscribers", "posts"]
+    said = values.where(F.coalesce(*[F.col(s).cast("double") for s in signals]).isNotNull())
     totals = (
-        values.where(F.coalesce(*[F.col(s).cast("double") for s in signals]).isNotNull())
+        with_exact_parts(said, {"_channels": F.col("channels"), "_index": F.col("index")})
         .groupBy("game_id", "date")
         .agg(
             whole_mean(F.col("viewers")).alias("viewers_mean"),
             F.max("viewers").alias("twitch_peak_viewers"),
-            exact_mean(F.col("channels")).alias("channels_mean"),
+            exact_mean_of(F.col("_channels")).alias("channels_mean"),
             F.max("players").alias("steam_ccu_peak"),
             F.max("views").alias("wiki_pageviews"),
-            exact_mean(F.col("index")).alias("index_mean"),
+            exact_mean_of(F.col("_index")).alias("index_mean"),
             whole_mean(F.col("subscribers")).alias("subscribers_mean"),
             F.max("posts").alias("reddit_posts"),
         )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from titlepulse.functions import exact_mean, iso_day, month_start, round_even
+from titlepulse.functions import exact_mean_of, iso_day, month_start, round_even, with_exact_parts
 from titlepulse.operators.ranking import rank_within
 from titlepulse.plans.estimates import latest_estimates
 from titlepulse.schemas import REVENUE_ENGAGEMENT, TITLE_MONTHLY, conform
@@ -13,11 +13,12 @@ from titlepulse.schemas import REVENUE_ENGAGEMENT, TITLE_MONTHLY, conform
 
 def monthly_viewers(engagement: DataFrame) -> DataFrame:
     """Per title and month: mean daily viewers, unrounded, and reviews; months without viewers have no row."""
+    known = engagement.where("game_id is not null and date is not null").select("game_id", "date", "twitch_avg_viewers", "reviews_posted")
     return (
-        engagement.where("game_id is not null and date is not null")
+        with_exact_parts(known, {"_viewers": F.col("twitch_avg_viewers")})
         .groupBy("game_id", month_start(F.col("date")).alias("month"))
         .agg(
-            exact_mean(F.col("twitch_avg_viewers")).alias("viewers"),
+            exact_mean_of(F.col("_viewers")).alias("viewers"),
             F.coalesce(F.sum("reviews_posted"), F.lit(0)).alias("reviews_posted"),
         )
         .where("viewers is not null")
