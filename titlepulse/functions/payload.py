@@ -16,10 +16,12 @@ def with_json_fields(df: DataFrame, text: Column, fields: str, keep: list[str] |
     field alone.  Broken text, a non-object or an object with anything after it gives NULL in every field.  The fields come out of a generator
     over a one-element array: a filter on them stays above it, so each text is parsed once.
     """
-    # ``from_json`` reads the first object and ignores what follows it; in brackets, that makes the text no array of one.
-    alone = text.rlike(r"(?s)^\s*\{.*\}\s*$") & (F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1)
-    parsed = F.from_json(F.when(alone, text), fields, {"allowSingleQuotes": "false"})
-    return df.select(*(df.columns if keep is None else keep), F.inline(F.array(parsed)))
+    # In brackets, and parsed as an array, what follows an object shows: broken text, or a second element.
+    framed = F.when(F.startswith(F.ltrim(F.translate(text, "\t\r\n", "   ")), F.lit("{")), F.concat(F.lit("["), text, F.lit("]")))
+    objects = F.from_json(framed, f"array<struct<{fields}>>", {"allowSingleQuotes": "false"})
+    kept = df.columns if keep is None else keep
+    parsed = df.select(*kept, F.inline(F.array(F.struct(objects.alias("_objects")))))
+    return parsed.select(*kept, F.inline(F.array(F.when(F.size("_objects") == 1, F.get("_objects", F.lit(0))))))
 
 
 def truthy(value: Column) -> Column:
