@@ -11,6 +11,8 @@ COALESCE = "coalesce"  # the batch's value unless NULL
 EITHER = "or"  # logical or
 NONEMPTY = "nonempty_array"  # the batch's array unless empty
 KEEP = "keep"  # the target's value
+ADD = "add"  # the sum of both; NULL, once a sum has overflowed, stays NULL
+MOST = "max"  # the larger one, NULLs aside
 
 _BATCH_SIDE = "_b_"
 
@@ -28,12 +30,19 @@ def _merged(name: str, rule: str, both: Column, in_batch: Column) -> Column:
         return F.when(both & (F.coalesce(F.size(new), F.lit(0)) <= 0), old).otherwise(one_side)
     if rule == KEEP:
         return F.when(both, old).otherwise(one_side)
+    if rule == ADD:
+        return F.when(both, F.try_add(old, new)).otherwise(one_side)
+    if rule == MOST:
+        return F.greatest(old, new)
     raise ValueError(f"unknown rule {rule!r} for column {name!r}")
 
 
-def upsert(target: DataFrame, batch: DataFrame, keys: list[str], rules: dict[str, str]) -> DataFrame:
+def upsert(target: DataFrame, batch: DataFrame, keys: list[str], rules: dict[str, str], unless_older: tuple[str, ...] = ()) -> DataFrame:
     """Target with the batch merged in, in the target's columns.
 
+    With ``unless_older``, a row of the batch changes nothing if the target's is larger in these columns, or, where they
+    are equal, in all others: of several rows of a key the same one wins, in whatever batches they come.
+
     Columns without a rule are kept; a column the batch lacks is NULL in inserted rows.  A key with a NULL part
     matches nothing, so such rows of either side are passed through.  A batch with two rows of one key fails
     the job.
@@ -63,6 +72,10 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], rules: dict[str
 
     in_batch = F.coalesce(F.col("_in_batch"), F.lit(False))
     both = in_batch & F.coalesce(F.col("_in_target"), F.lit(False))
+    if unless_older:
+        order = [*unless_older, *[n for n in new_columns if n not in (*keys, *unless_older)]]
+        older = both & (F.struct(*order) > F.struct(*[F.col(_BATCH_SIDE + n).alias(n) for n in order]))
+        in_batch, both = in_batch & ~older, both & ~older
     out = []
     for name in target.columns:
         if name in keys:

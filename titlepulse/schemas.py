@@ -90,6 +90,26 @@ PLATFORM_FLAGS = {"windows": "supports_windows", "mac": "supports_mac", "linux":
 BASELINE_WEEKS = 13
 TOP_TITLES = 20
 
+# Partial sums, counts and maxima of a title's day, from which its snapshot columns follow.
+ENGAGEMENT_STATE = (
+    "game_id string, date date, viewers_sum decimal(38,0), viewers_n bigint, viewers_max bigint, "
+    "channels_floor bigint, channels_upper bigint, channels_lower bigint, channels_held bigint, channels_n bigint, channels_plain double, "
+    "index_floor bigint, index_upper bigint, index_lower bigint, index_held bigint, index_n bigint, index_plain double, "
+    "subscribers_sum decimal(38,0), subscribers_n bigint, players_max bigint, views_max bigint, posts_max bigint"
+)
+
+# Days of a title whose facts have to be made anew, by what has changed them.
+CHANGED_DAYS = "game_id string, date date, feed string, fold string"
+
+# Tables kept in parts: partition columns, as expressions over the table's key.  Review ids grow with time.
+LAYOUTS = {
+    "silver_titles": {"p_bucket": "pmod(xxhash64(game_id), 16)"},
+    "silver_engagement_daily": {"p_month": "date_format(date, 'yyyy-MM')", "p_bucket": "pmod(xxhash64(game_id), 16)"},
+    "silver_engagement_state": {"p_month": "date_format(date, 'yyyy-MM')", "p_bucket": "pmod(xxhash64(game_id), 16)"},
+    "silver_reviews": {"p_range": "coalesce(floor(try_cast(review_id as bigint) / 5000000), -1 - pmod(xxhash64(review_id), 64))"},
+    "silver_sales_estimates": {"p_month": "date_format(snapshot_date, 'yyyy-MM')", "p_bucket": "pmod(xxhash64(game_id), 4)"},
+}
+
 # ---- end of fixed values -----------------------------------------------------------------------------------
 
 
