@@ -144,20 +144,29 @@ def _old_days(inputs):
     return inputs.engagement.where("day(date) % 3 <> 0")
 
 
-@query
-def m2_upsert_engagement(inputs):
+def _new_days(inputs):
     twice = {c: F.col(c) * 2 for c in engagement.SNAPSHOT_COLUMNS}
     batch = inputs.engagement.where("day(date) % 3 = 0 or day(date) % 2 = 0").withColumns(twice).withColumn("ingested_at", F.lit(NOW).cast("timestamp"))
     batch = batch.withColumn("twitch_avg_viewers", F.when(F.day("date") % 5 != 0, F.col("twitch_avg_viewers")))
-    return upsert(_old_days(inputs), batch, engagement.ENGAGEMENT_KEYS, engagement.SNAPSHOT_RULES)
+    return batch
 
 
-@query
-def m3_upsert_reviews(inputs):
+def _old_and_new_reviews(inputs):
     old = inputs.reviews.where("cast(review_id as bigint) % 3 <> 0")
     new = inputs.reviews.where("cast(review_id as bigint) % 3 = 0 or cast(review_id as bigint) % 2 = 0").withColumns(
         {"voted_up": ~F.col("voted_up"), "language": F.lit(None).cast("string")}
     )
+    return old, new
+
+
+@query
+def m2_upsert_engagement(inputs):
+    return upsert(_old_days(inputs), _new_days(inputs), engagement.ENGAGEMENT_KEYS, engagement.SNAPSHOT_RULES)
+
+
+@query
+def m3_upsert_reviews(inputs):
+    old, new = _old_and_new_reviews(inputs)
     return upsert(old, new, reviews.REVIEW_KEYS, reviews.REVIEW_RULES)
 
 
@@ -178,6 +187,47 @@ def m5_upsert_estimates(inputs):
     return upsert(old, new, estimates.ESTIMATE_KEYS, estimates.ESTIMATE_RULES)
 
 
+def _in_parts(inputs, name, ddl, old, batch, keys, rules):
+    """The same upsert on a table in parts: the batch's parts are rewritten, the others stay as they are."""
+    tables = Tables(inputs.spark, fresh_path(inputs.spark, "tables"))
+    tables.replace(name, schemas.conform(old, ddl))
+    return tables.upsert(name, batch, ddl, keys, rules)
+
+
+@query
+def m2_merge_in_parts(inputs):
+    return _in_parts(inputs, "silver_engagement_daily", schemas.ENGAGEMENT, _old_days(inputs), _new_days(inputs), engagement.ENGAGEMENT_KEYS, engagement.SNAPSHOT_RULES)
+
+
+@query
+def m3_merge_in_parts(inputs):
+    old, new = _old_and_new_reviews(inputs)
+    return _in_parts(inputs, "silver_reviews", schemas.REVIEWS, old, new, reviews.REVIEW_KEYS, reviews.REVIEW_RULES)
+
+
+@query
+def j11_engagement_by_batches(inputs):
+    """The daily facts out of states of three batches, merged one after the other."""
+    tables = Tables(inputs.spark, fresh_path(inputs.spark, "tables"))
+    tables.append_batch("bronze", inputs.snapshots.withColumn("batch_id", F.concat(F.lit("b"), F.pmod(F.xxhash64("payload"), F.lit(3)))), ("source", "batch_id"))
+    for batch in ("b0", "b1", "b2"):
+        rows = tables.read("bronze", schemas.BRONZE).where(F.col("batch_id") == batch)
+        states = engagement.engagement_states(rows, inputs.seed)
+        merged = tables.upsert("silver_engagement_state", states, schemas.ENGAGEMENT_STATE, engagement.ENGAGEMENT_KEYS, engagement.STATE_RULES)
+    return engagement.daily_of(merged)
+
+
+@query
+def j13_reviews_by_batches(inputs):
+    """Reviews of three batches of pages, of which the last landed row of a review wins in whatever batch it came."""
+    tables = Tables(inputs.spark, fresh_path(inputs.spark, "tables"))
+    for n in (2, 0, 1):
+        rows = inputs.review_pages.where(F.pmod(F.xxhash64("payload", "ingested_at"), F.lit(3)) == n)
+        landed = reviews.reviews_landed(rows, inputs.seed)
+        tables.upsert("silver_reviews", landed, reviews.REVIEWS_KEPT, reviews.REVIEW_KEYS, reviews.REVIEW_RULES, reviews.REVIEW_ORDER)
+    return tables.read("silver_reviews", schemas.REVIEWS)
+
+
 # ---- column expressions --------------------------------------------------------------------------------------
 
 

@@ -564,3 +564,11 @@ check("d7_first_attention_rows", "attention", "select * from attention order by
 check("d7_cohorts_in_order", "cohorts", "select * from cohorts order by week, cohort")
 check("d7_leaders", "monthly", "select * from monthly order by month, rank nulls last limit 20")
 check("d7_best_revenue_ratios", "revenue", "select * from revenue order by revenue_per_avg_viewer desc nulls last, game_id, month limit 20")
+
+# ---- the same rows by another way ------------------------------------------------------------------------------
+
+for _name, _same in {
+    "m2_merge_in_parts": "m2_upsert_engagement", "m3_merge_in_parts": "m3_upsert_reviews",
+    "j11_engagement_by_batches": "j11_engagement_daily", "j13_reviews_by_batches": "j13_reviews",
+}.items():
+    CHECKS[_name] = CHECKS[_same]

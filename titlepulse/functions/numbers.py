@@ -102,6 +102,25 @@ def exact_mean_of(parts: Column, over: WindowSpec | None = None) -> Column:
     return safe_ratio(exact_sum_of(parts, over), count if over is None else count.over(over))
 
 
+def exact_state(parts: Column, name: str) -> list[Column]:
+    """Aggregates that hold a sum of parts so that two of them can be added up; a sum of no values is 0, an overflow NULL."""
+    sums = [
+        F.coalesce(F.try_sum(parts[part]), F.when(F.count(parts[part]) == 0, F.lit(0).cast("bigint"))).alias(f"{name}_{part}")
+        for part in ("floor", "upper", "lower")
+    ]
+    return [
+        *sums, F.count(parts["floor"]).alias(f"{name}_held"), F.count(parts["value"]).alias(f"{name}_n"),
+        F.coalesce(F.sum(parts["value"]), F.lit(0.0)).alias(f"{name}_plain"),
+    ]
+
+
+def exact_state_mean(name: str) -> Column:
+    """The mean of the values in columns of :func:`exact_state`, as :func:`exact_mean_of` has it."""
+    sums = [F.col(f"{name}_{part}") for part in ("floor", "upper", "lower")]
+    exact = (F.col(f"{name}_held") == F.col(f"{name}_n")) & sums[0].isNotNull() & sums[1].isNotNull() & sums[2].isNotNull()
+    return safe_ratio(F.when(exact, _joined(*sums)).otherwise(F.col(f"{name}_plain")), F.col(f"{name}_n"))
+
+
 def exact_sum(value: Column, over: WindowSpec | None = None) -> Column:
     """:func:`exact_sum_of` a column itself; for many sums, or windows, make the parts first."""
     return exact_sum_of(exact_parts(value), over)

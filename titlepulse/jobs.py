@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from titlepulse import schemas
 from titlepulse.plans import attention, catalogue, engagement, estimates, leaderboard, reviews, titles
 from titlepulse.sources.landing import landing_files, read_landing, type_envelopes
-from titlepulse.sources.shared import staging_root
+from titlepulse.sources.seed import crosswalk
+from titlepulse.sources.shared import delete_folder, stage, staging_root
 from titlepulse.sources.tables import Tables
 
 BRONZE_PARTITIONS = ("source", "batch_id")
@@ -38,6 +39,22 @@ def register_views(tables: Tables) -> None:
     tables.register_views(TABLES)
 
 
+def unread_files(tables: Tables, there: DataFrame, batch_id: str) -> DataFrame:
+    """Of the files in the column ``path``, those that no other batch has read."""
+    others = tables.read("bronze_landing_files", LANDING_FILES).where(F.col("batch_id") != batch_id)
+    # Listings and streams write the slashes after the scheme differently.
+    named = lambda df: df.withColumn("_name", F.regexp_replace("path", "^(\\w+):/+", "$1:/"))
+    return named(there).join(named(others), "_name", "left_anti").select("path")
+
+
+def append_landed(tables: Tables, rows: DataFrame, files: DataFrame, batch_id: str) -> None:
+    """Append a batch's typed rows, then the note of its files: a batch that failed between the two is read again."""
+    with staging_root(tables.spark):
+        noted = stage(files.select("path", F.lit(batch_id).alias("batch_id")), "files")
+        tables.append_batch("bronze_game_events", rows, BRONZE_PARTITIONS, ("extract_date",))
+        tables.append_batch("bronze_landing_files", noted, ("batch_id",))
+
+
 def ingest(tables: Tables, landing_folder: str, batch_id: str | None = None) -> str:
     """Append the landing files that no other batch has read; returns the batch id, which a retry should pass again.
 
@@ -47,13 +64,10 @@ def ingest(tables: Tables, landing_folder: str, batch_id: str | None = None) ->
     batch_id = batch_id or str(uuid4())
     spark = tables.spark
     there = spark.createDataFrame([(path,) for path in landing_files(spark, landing_folder)], "path string")
-    others = tables.read("bronze_landing_files", LANDING_FILES).where(F.col("batch_id") != batch_id)
-    new = there.join(others, "path", "left_anti").withColumn("batch_id", F.lit(batch_id))
-    paths = [row["path"] for row in new.select("path").toLocalIterator()]
+    new = unread_files(tables, there, batch_id)
+    paths = [row["path"] for row in new.toLocalIterator()]
     if paths:
-        rows = type_envelopes(read_landing(spark, paths), batch_id)
-        tables.append_batch("bronze_game_events", rows, BRONZE_PARTITIONS, ("extract_date",))
-        tables.append_batch("bronze_landing_files", new, ("batch_id",))
+        append_landed(tables, type_envelopes(read_landing(spark, paths), batch_id), new, batch_id)
     return batch_id
 
 
@@ -66,31 +80,108 @@ def build_titles(tables: Tables, seed: DataFrame, now: Column) -> DataFrame:
     return tables.upsert("silver_titles", batch, schemas.TITLES, titles.TITLE_KEYS, titles.TITLE_RULES)
 
 
+def _seed_note(seed: DataFrame, sources: tuple[str, ...]) -> str:
+    """A note that changes with what the seed says about the sources' keys."""
+    found = crosswalk(seed, sources).agg(F.count(F.lit(1)), F.sum(F.xxhash64("source", "entity_key", "game_id").cast("decimal(38,0)"))).first()
+    return f"seed:{found[0]}:{found[1]}"
+
+
+def _new_batches(tables: Tables, name: str, seed_note: str) -> tuple[list[str], bool]:
+    """Raw batches that are not part of a table yet, and whether it has to start anew, as the seed has changed.
+
+    Which batches there are, the folders of the raw table tell; a batch counts as complete once a job has seen it.
+    """
+    applied = tables.applied(name)
+    anew = seed_note not in applied
+    there = tables.partition_values("bronze_game_events", "batch_id")
+    return sorted(there if anew else there - {note.removeprefix("batch:") for note in applied if note.startswith("batch:")}), anew
+
+
+def _notes(batches: list[str], seed_note: str) -> tuple[str, ...]:
+    return (seed_note, *[f"batch:{b}" for b in batches])
+
+
+def _note_days(tables: Tables, days: DataFrame, feed: str) -> None:
+    """Write down which days of titles are about to change; done before the change, so that none is lost on the way."""
+    rows = days.select("game_id", "date", F.lit(feed).alias("feed"), F.lit(uuid4().hex).alias("fold"))
+    tables.append_batch("silver_changed_days", rows, ("feed", "fold"))
+
+
+def _pending_days(tables: Tables, feed: str) -> tuple[DataFrame, list[str]]:
+    """Days noted in a feed that the daily facts do not have yet, and the names of the notes."""
+    applied = tables.applied("silver_engagement_daily")
+    folds = sorted(f.removeprefix("fold=") for f in tables._folders(f"silver_changed_days/rows/feed={feed}") if f.startswith("fold="))
+    pending = [fold for fold in folds if f"{feed}:{fold}" not in applied]
+    noted = tables.read("silver_changed_days", schemas.CHANGED_DAYS)
+    return noted.where((F.col("feed") == feed) & F.col("fold").isin(pending)).select("game_id", "date").distinct(), pending
+
+
+def _forget_days(tables: Tables, feed: str, folds: list[str]) -> None:
+    for fold in folds:
+        delete_folder(tables.spark, f"{tables.base}/silver_changed_days/rows/feed={feed}/fold={fold}")
+
+
 def build_engagement(tables: Tables, seed: DataFrame, now: Column) -> DataFrame:
-    batch = engagement.engagement_batch(bronze(tables), seed, now)
-    return tables.upsert(
-        "silver_engagement_daily", batch, schemas.ENGAGEMENT, engagement.ENGAGEMENT_KEYS, engagement.SNAPSHOT_RULES
-    )
+    """Fold new raw batches into the states of their days, and make the facts of these days anew.
+
+    Other batches are not read; other months, and other buckets of titles, are neither read nor written.
+    """
+    keys, note = engagement.ENGAGEMENT_KEYS, _seed_note(seed, schemas.SNAPSHOT_SOURCES)
+    batches, anew = _new_batches(tables, "silver_engagement_state", note)
+    if batches or anew:
+        fresh = bronze(tables).where(F.col("batch_id").isin(batches))
+        states = stage(engagement.engagement_states(fresh, seed), "states")
+        _note_days(tables, states, "snapshots")
+        if anew:
+            tables.replace("silver_engagement_state", states, applied=_notes(batches, note))
+        else:
+            tables.upsert("silver_engagement_state", states, schemas.ENGAGEMENT_STATE, keys, engagement.STATE_RULES, applied=_notes(batches, note))
+    days, folds = _pending_days(tables, "snapshots")
+    if folds:
+        days = stage(days, "days")
+        states = tables.read_near("silver_engagement_state", schemas.ENGAGEMENT_STATE, days).join(days, keys, "left_semi")
+        facts = schemas.conform(engagement.daily_of(states).withColumn("ingested_at", now.cast("timestamp")), schemas.ENGAGEMENT)
+        done = tuple(f"snapshots:{fold}" for fold in folds)
+        tables.upsert("silver_engagement_daily", facts, schemas.ENGAGEMENT, keys, engagement.SNAPSHOT_RULES, applied=done)
+        _forget_days(tables, "snapshots", folds)
+    return tables.read("silver_engagement_daily", schemas.ENGAGEMENT)
 
 
 def build_reviews(tables: Tables, seed: DataFrame) -> DataFrame:
-    """Merge reviews, then the rollup of the merged table into the daily facts."""
-    batch = reviews.reviews_batch(bronze(tables), seed)
-    merged = tables.upsert("silver_reviews", batch, schemas.REVIEWS, reviews.REVIEW_KEYS, reviews.REVIEW_RULES)
-    return tables.upsert(
-        "silver_engagement_daily",
-        reviews.reviews_daily(merged),
-        schemas.ENGAGEMENT,
-        engagement.ENGAGEMENT_KEYS,
-        reviews.REVIEW_DAY_RULES,
-    )
+    """Merge the reviews of new raw batches, then count the days of titles that they have changed anew."""
+    note = _seed_note(seed, ("steam_reviews",))
+    batches, anew = _new_batches(tables, "silver_reviews", note)
+    if batches or anew:
+        fresh = bronze(tables).where(F.col("batch_id").isin(batches))
+        landed = stage(reviews.reviews_landed(fresh, seed), "reviews")
+        before = tables.read_near("silver_reviews", reviews.REVIEWS_KEPT, landed)
+        _note_days(tables, reviews.changed_days(before, landed), "reviews")
+        tables.upsert(
+            "silver_reviews", landed, reviews.REVIEWS_KEPT, reviews.REVIEW_KEYS, reviews.REVIEW_RULES, reviews.REVIEW_ORDER, _notes(batches, note)
+        )
+    days, folds = _pending_days(tables, "reviews")
+    if folds:
+        days = stage(days, "days")
+        changed = reviews.reviews_of_days(tables.read("silver_reviews", schemas.REVIEWS), days)
+        done = tuple(f"reviews:{fold}" for fold in folds)
+        tables.upsert(
+            "silver_engagement_daily", reviews.reviews_daily(changed), schemas.ENGAGEMENT, engagement.ENGAGEMENT_KEYS, reviews.REVIEW_DAY_RULES, applied=done
+        )
+        _forget_days(tables, "reviews", folds)
+    return tables.read("silver_engagement_daily", schemas.ENGAGEMENT)
 
 
 def build_estimates(tables: Tables, seed: DataFrame) -> DataFrame:
-    batch = estimates.estimates_batch(bronze(tables), seed)
-    return tables.upsert(
-        "silver_sales_estimates", batch, schemas.ESTIMATES, estimates.ESTIMATE_KEYS, estimates.ESTIMATE_RULES
-    )
+    """Merge the estimates of new raw batches."""
+    note = _seed_note(seed, schemas.ESTIMATE_SOURCES)
+    batches, anew = _new_batches(tables, "silver_sales_estimates", note)
+    if batches or anew:
+        fresh = estimates.estimates_landed(bronze(tables).where(F.col("batch_id").isin(batches)), seed)
+        tables.upsert(
+            "silver_sales_estimates", fresh, estimates.ESTIMATES_KEPT, estimates.ESTIMATE_KEYS, estimates.ESTIMATE_RULES,
+            estimates.ESTIMATE_ORDER, _notes(batches, note),
+        )
+    return tables.read("silver_sales_estimates", schemas.ESTIMATES)
 
 
 def build_catalogue(tables: Tables) -> None:
@@ -121,7 +212,7 @@ def run_all(tables: Tables, seed: DataFrame, landing_folder: str, batch_id: str
         build_estimates(tables, seed)
         build_catalogue(tables)
         build_attention(tables)
-    for name in TABLES:
+    for name in (*TABLES, "silver_engagement_state"):
         if name.startswith(("silver", "gold")):
             tables.expire(name, keep_versions)
     return batch_id

@@ -12,7 +12,10 @@ from titlepulse.plans.engagement import resolve_titles
 from titlepulse.schemas import ESTIMATE_SOURCES, ESTIMATES, columns
 
 ESTIMATE_KEYS = ["game_id", "snapshot_date", "est_source"]
-ESTIMATE_RULES = {name: BATCH for name in columns(ESTIMATES) if name not in ESTIMATE_KEYS}
+
+ESTIMATE_ORDER = ("landed_at",)
+ESTIMATES_KEPT = ESTIMATES + ", landed_at timestamp"
+ESTIMATE_RULES = {name: BATCH for name in columns(ESTIMATES_KEPT) if name not in ESTIMATE_KEYS}
 
 _ESTIMATE_PAYLOAD = "owners string, revenue variant, copiesSold variant"
 
@@ -53,14 +56,20 @@ def parse_estimates(rows: DataFrame) -> DataFrame:
     return parsed.where(modelled | F.col("est_owners_low").isNotNull())
 
 
-def estimates_batch(bronze: DataFrame, seed: DataFrame) -> DataFrame:
-    """Estimates of seeded titles, one row per title, day and source: the last landed one."""
+def estimates_landed(bronze: DataFrame, seed: DataFrame) -> DataFrame:
+    """Estimates of seeded titles, one row per title, day and source: the last landed one, with when it was landed."""
     rows = (
         resolve_titles(bronze, seed, ESTIMATE_SOURCES)
         .where("extract_date is not null")
         .select("source", "game_id", F.col("extract_date").alias("snapshot_date"), "ingested_at", "payload")
     )
-    return latest_by(parse_estimates(rows).drop("source"), ESTIMATE_KEYS, [F.col("ingested_at")]).select(columns(ESTIMATES))
+    last = latest_by(parse_estimates(rows).drop("source"), ESTIMATE_KEYS, [F.col("ingested_at")])
+    return last.withColumnRenamed("ingested_at", "landed_at").select(columns(ESTIMATES_KEPT))
+
+
+def estimates_batch(bronze: DataFrame, seed: DataFrame) -> DataFrame:
+    """Estimates of seeded titles, one row per title, day and source: the last landed one."""
+    return estimates_landed(bronze, seed).select(columns(ESTIMATES))
 
 
 def latest_estimates(estimates: DataFrame) -> DataFrame:

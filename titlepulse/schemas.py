@@ -101,11 +101,12 @@ ENGAGEMENT_STATE = (
 # Days of a title whose facts have to be made anew, by what has changed them.
 CHANGED_DAYS = "game_id string, date date, feed string, fold string"
 
-# Tables kept in parts: partition columns, as expressions over the table's key.  Review ids grow with time.
+# Tables kept in parts: partition columns, as expressions over the table's key.  Review ids grow with time.  A lake of many
+# titles gets layouts with more buckets (an argument of ``Tables``): a part is what a merge rewrites at least.
 LAYOUTS = {
-    "silver_titles": {"p_bucket": "pmod(xxhash64(game_id), 16)"},
-    "silver_engagement_daily": {"p_month": "date_format(date, 'yyyy-MM')", "p_bucket": "pmod(xxhash64(game_id), 16)"},
-    "silver_engagement_state": {"p_month": "date_format(date, 'yyyy-MM')", "p_bucket": "pmod(xxhash64(game_id), 16)"},
+    "silver_titles": {"p_bucket": "pmod(xxhash64(game_id), 4)"},
+    "silver_engagement_daily": {"p_month": "date_format(date, 'yyyy-MM')", "p_bucket": "pmod(xxhash64(game_id), 4)"},
+    "silver_engagement_state": {"p_month": "date_format(date, 'yyyy-MM')", "p_bucket": "pmod(xxhash64(game_id), 4)"},
     "silver_reviews": {"p_range": "coalesce(floor(try_cast(review_id as bigint) / 5000000), -1 - pmod(xxhash64(review_id), 64))"},
     "silver_sales_estimates": {"p_month": "date_format(snapshot_date, 'yyyy-MM')", "p_bucket": "pmod(xxhash64(game_id), 4)"},
 }

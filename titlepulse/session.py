@@ -21,6 +21,7 @@ LOCAL_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8",
     "spark.sql.shuffle.partitions": "8",
     "spark.sql.files.maxPartitionBytes": "32m",
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "8",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "8g",
