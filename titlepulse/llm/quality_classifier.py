@@ -116,7 +116,8 @@ def train(docs: DataFrame, grades: DataFrame, rows: int = TRAIN_ROWS):
             weights, thresholds = fit([lists[n] for n in order], np.array([grades_seen[n] for n in order]))
             yield pa.RecordBatch.from_pydict({"w": [weights.astype("<f4").tobytes()], "t": [thresholds.tolist()]}, schema=pa.schema([("w", pa.binary()), ("t", pa.list_(pa.float64()))]))
 
-    model = arrow_map(rated, extract, "grade int, f array<int>").coalesce(1).mapInArrow(learn, "w binary, t array<double>").collect()
+    # repartition, not coalesce: only the features of at most ``rows`` documents come together, the texts are read in parallel
+    model = arrow_map(rated, extract, "grade int, f array<int>").repartition(1).mapInArrow(learn, "w binary, t array<double>").collect()
     return (np.frombuffer(model[0]["w"], "<f4").astype(float), np.array(model[0]["t"])) if model else None
 
 
