@@ -81,14 +81,14 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(m, doc_id) AS comp
 
 CHECKS["op5_exact_topk"] = f"""
 WITH usable AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor({topk.SCALE} * CAST(x AS DOUBLE))) AS v FROM embeddings
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor({topk.SCALE} * CAST(x AS DOUBLE))) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  SELECT q.row, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
   FROM usable AS q JOIN usable AS c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % {topk.EVERY} = 0
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+  SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS rank FROM scored
 ) WHERE rank <= {topk.K}
 """
 

@@ -11,7 +11,8 @@ Queries are a stated set and meet all rows in blocks: a shard is sent to each bl
 shard returns its k best for each query, from which the k best of all are ranked.  Ties go to the smaller id.
 
 Vectors that are null, or hold a null or non-finite component, and rows without an id take no part.  Vectors of
-different lengths do not meet.  A query's own id is never its result; repeated ids are ranked as rows of their own.
+different lengths do not meet.  A query's own id is never its result; repeated ids are ranked as rows of their own,
+and a repeated query has a list for each of its rows.
 Empty tables give an empty result.
 """
 
@@ -32,9 +33,10 @@ POSSIBLE = 64  # members left at which a query stops
 
 
 def quantised(embeddings: DataFrame) -> DataFrame:
-    """``vec_id, v``: components as floor(256 x), of the rows that take part."""
+    """``row, vec_id, v``: components as floor(256 x), of the rows that take part."""
     usable = F.expr("vec_id is not null and embedding is not null and forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))")
     return embeddings.where(usable).select(
+        F.monotonically_increasing_id().alias("row"),
         F.col("vec_id").cast("long").alias("vec_id"),
         F.expr(f"transform(embedding, x -> cast(floor({SCALE} * cast(x as double)) as bigint))").alias("v"),
     )
@@ -109,27 +111,28 @@ def top_k(embeddings: DataFrame, k: int = K, every: int = EVERY, shard_rows: int
     # A hash of id and vector deals repeated ids apart; a block of queries is small enough to be held by every task.
     indexed = rows.select(
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).alias("shard"),
-        width, F.lit(False).alias("asks"), "vec_id", "v",
+        width, F.lit(False).alias("asks"), "row", "vec_id", "v",
     )
     asking = rows.where(F.col("vec_id") % every == 0).select(
         F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"),
-        width, F.lit(True).alias("asks"), "vec_id", "v",
+        width, F.lit(True).alias("asks"), "row", "vec_id", "v",
     )
 
     def search(key: tuple[pa.Scalar, ...], held: pa.Table) -> pa.Table:
-        ids = held.column("vec_id").to_numpy()
+        ids, rows = held.column("vec_id").to_numpy(), held.column("row").to_numpy()
         asks = held.column("asks").to_numpy(zero_copy_only=False)
         vectors = held.column("v").combine_chunks()
         x = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
-        out = {"query_id": [], "vec_id": [], "score": []}
+        out = {"row": [], "query_id": [], "vec_id": [], "score": []}
         if (~asks).any():
             shard = Shard(ids[~asks], x[~asks])
-            for query_id, (found, scores) in zip(ids[asks], shard.best(ids[asks], x[asks], k)):
+            for row, query_id, (found, scores) in zip(rows[asks], ids[asks], shard.best(ids[asks], x[asks], k)):
+                out["row"] += [row] * len(found)
                 out["query_id"] += [query_id] * len(found)
                 out["vec_id"] += found.tolist()
                 out["score"] += scores.tolist()
         return pa.table({name: pa.array(values, pa.int64()) for name, values in out.items()})
 
-    met = indexed.unionAll(asking).groupBy("block", "shard", "width").applyInArrow(search, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    met = indexed.unionAll(asking).groupBy("block", "shard", "width").applyInArrow(search, "row long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("row").orderBy(F.col("score").desc(), "vec_id")
     return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
