@@ -87,12 +87,17 @@ class Kind:
     context: re.Pattern | None = None
     raised: float = 0.0
     ends: Callable[[str, int, int], int | None] | None = None  # for kinds with retries: where the span in a match ends
+    resumes: re.Pattern | None = None  # tried first right after a match, where ``pattern`` would not start
 
 
-# The first four kinds, their patterns and limits are given.
+# The first four kinds, their patterns and limits are given.  A run of characters that can't lead to an email, or to an
+# ip, from its start can't from any place inside it: so they start at the start of a run and don't give characters back, which
+# finds the same matches in a time linear in the text.
+_LOCAL = "[A-Za-z0-9._%+-]"
+_EMAIL = rf"{_LOCAL}++@[A-Za-z0-9-]++(\.[A-Za-z0-9-]++)++"
 KINDS = (
-    Kind("email", re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), lambda m: True, "@"),
-    Kind("ip", re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), lambda m: all(len(p.lstrip("0")) < 4 and int(p.lstrip("0") or 0) <= 255 for p in m.split(".")), "."),
+    Kind("email", re.compile(rf"(?<!{_LOCAL}){_EMAIL}"), lambda m: True, "@", resumes=re.compile(_EMAIL)),
+    Kind("ip", re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++){3}"), lambda m: all(len(p.lstrip("0")) < 4 and int(p.lstrip("0") or 0) <= 255 for p in m.split(".")), "."),
     Kind("card", re.compile(r"[0-9]([\x20-]?[0-9])+"), lambda m: 14 <= digit_count(m) <= 19 and luhn(m), ""),
     Kind("phone", re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"), lambda m: 10 <= digit_count(m) <= 15, "+"),
     # Further kinds of this method.
@@ -112,10 +117,13 @@ HAS_DIGIT = re.compile("[0-9]")
 
 def confirmed(kind: Kind, text: str):
     """``(start, end)`` of every match that passes its check."""
+    at = 0
     if kind.ends is None:
-        yield from (match.span() for match in kind.pattern.finditer(text) if kind.check(match.group()))
+        while match := (kind.resumes and at and kind.resumes.match(text, at)) or kind.pattern.search(text, at):
+            at = match.end()
+            if kind.check(match.group()):
+                yield match.span()
         return
-    at = 0
     while match := kind.pattern.search(text, at):
         start, end = match.start(), kind.ends(text, *match.span())
         if end is not None:
