@@ -15,34 +15,87 @@ from titlepulse.llm import katz_lm, mixing, packing, topk
 from titlepulse.llm.common import components
 
 
+def plain_slots(parts, need):
+    """Earliest deadline first, slot after slot from the first: {(source, block): slot}."""
+    whole, done, out = sum(parts), [0] * len(parts), {}
+    for t in range(min(whole, max(-(-n * whole // p) for p, n in zip(parts, need)))):
+        i = min((-(-(done[i] + 1) * whole // p), i) for i, p in enumerate(parts) if done[i] * whole // p <= t)[1]
+        out[i, done[i]] = t
+        done[i] += 1
+    return {(i, j): t for (i, j), t in out.items() if j < need[i]}
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_spans_of_slots_meet_in_one_schedule(spark, seed):
+    rng = random.Random(seed)
+    parts = [rng.choice([rng.randint(1, 9), rng.randint(1, 400), 50]) for _ in range(rng.randint(2, 7))]
+    need = [rng.randint(1, p) for p in parts]
+    frame = spark.createDataFrame([(f"={n:03}", p, k) for n, (p, k) in enumerate(zip(parts, need))], "_key string, parts long, need long")
+    found = mixing.block_slots(frame, span=8, fold=4).collect()
+    assert len(found) == sum(need) and {(r.i, r.j): r.t for r in found} == plain_slots(parts, need)
+
+
+@pytest.mark.parametrize("weights", [{"a": 0.0001, "b": 0.9999}, {"a": math.sqrt(2), "b": math.pi, "c": 1, "d": math.sqrt(3) / 10}, {"a": 3, "b": 1}])
+def test_mixing_holds_the_given_weights(spark, weights):
+    from fractions import Fraction
+
+    parts = mixing.whole_parts(weights)
+    exact = {s: Fraction(str(w)) / sum(Fraction(str(w)) for w in weights.values()) for s, w in weights.items()}
+    count = 12_000
+    frame = spark.createDataFrame([(f"={s}", p, min(p, count)) for s, p in parts.items()], "_key string, parts long, need long")
+    slots = {(r.i, r.j): r.t for r in mixing.block_slots(frame).collect()}
+    whole, names = sum(parts.values()), sorted(weights)
+    taken = {}
+    for i, source in enumerate(names):
+        for j in range(count):
+            t = j // parts[source] * whole + slots[i, j % parts[source]]
+            if t < count:
+                taken[t] = source
+    got = Counter()
+    for t in range(count):
+        got[taken[t]] += 1
+        assert all(abs(got[s] - w * (t + 1)) < 1 for s, w in exact.items())
+
+
 def test_mixing_deviates_by_less_than_a_block(frame):
     sizes = {"a": 400, "b": 90, None: 60, "": 30}
     rows = [(n * 10 + k, "t", s) for k, (s, c) in enumerate(sizes.items()) for n in range(c)]
-    found = mixing.mix(frame(rows), period=50, block_docs=4).collect()
+    found = mixing.mix(frame(rows), block_docs=4).collect()
     assert Counter((r.doc_id, r.source) for r in found) == Counter((i, s) for i, _, s in rows)
     slots = defaultdict(list)
     for r in found:
         slots[r._slot].append(r)
         assert r._release <= r._slot < r._due
     assert all(len({r.source for r in own}) == 1 and sorted(r._offset for r in own) == list(range(len(own))) for own in slots.values())
-    parts = {r["_key"]: r["parts"] for r in mixing.target_parts(frame(rows), period=50).collect()}
-    whole = sum(parts.values())
+    weights = {s: math.floor(math.sqrt(c) * 1000) for s, c in sizes.items()}
     last = {s: max(r._slot for r in found if r.source == s) for s in sizes}
     got = Counter()
     for slot in range(min(last.values())):
-        got["null" if slots[slot][0].source is None else "=" + slots[slot][0].source] += 1
-        for key, p in parts.items():
-            assert abs(got[key] * whole - (slot + 1) * p) < whole
+        got[slots[slot][0].source] += 1
+        for source, weight in weights.items():
+            assert abs(got[source] * sum(weights.values()) - (slot + 1) * weight) < sum(weights.values())
 
 
 def test_mixing_to_given_weights_and_edges(frame):
     rows = [(n, None, "ab"[n % 2]) for n in range(40)] + [(7, None, "b"), (7, None, "b"), (None, None, "a"), (9, "x", "c")]
-    found = mixing.mix(frame(rows), {"a": 3, "b": 1}, period=4, block_docs=1).collect()
+    found = mixing.mix(frame(rows), {"a": 3, "b": 1, "c": 0}, block_docs=1).collect()
     assert sorted(r.source for r in found) == ["a"] * 21 + ["b"] * 22
     order = [r.source for r in sorted(found, key=lambda r: r._slot)][:16]
     assert Counter(order) == {"a": 12, "b": 4} and len({r._slot for r in found}) == len(found)
+    assert all(r._release <= r._slot < r._due for r in found)
     assert mixing.mix(frame([])).collect() == []
     assert [r.doc_id for r in mixing.in_mixed_order(frame(rows), weights={"c": 1}).collect()] == [9]
+    assert mixing.mix(frame(rows), {"z": 1}).collect() == []
+    with pytest.raises(ValueError):
+        mixing.whole_parts({"a": -1})
+
+
+def test_mixing_orders_equal_hashes_within_a_source(frame):
+    """Rows with equal ids have equal hashes: they take neighbouring places, each its own."""
+    rows = [(5, f"t{n}", "a") for n in range(10)] + [(n, "u", "a") for n in range(100, 105)]
+    found = sorted(mixing.mix(frame(rows), block_docs=3).collect(), key=lambda r: (r._slot, r._offset))
+    places = [n for n, r in enumerate(found) if r.doc_id == 5]
+    assert len(found) == 15 and places == list(range(places[0], places[0] + 10)) and {r.text for r in found} == {t for _, t, _ in rows}
 
 
 def test_histogram_packing():
@@ -289,7 +342,7 @@ def test_packing_follows_the_mix(spark, frame, monkeypatch):
     monkeypatch.setattr(corpus_pipeline, "WINDOWS", {"window_slots": 4, "window_docs": 12})
     packed = {}
     for weights in ({"a": 1, "b": 1, "c": 1}, {"a": 6, "b": 1, "c": 1}, {"a": 1, "b": 1}):
-        monkeypatch.setattr(corpus_pipeline, "MIX", {"weights": weights, "block_docs": 2, "period": 8})
+        monkeypatch.setattr(corpus_pipeline, "MIX", {"weights": weights, "block_docs": 2})
         mixed = corpus_pipeline.mixing_stage(spark, docs, "")
         slots = {r.doc_id: r._slot for r in mixing.mix(docs, **corpus_pipeline.MIX).collect()}
         assert {r.doc_id for r in mixed.collect()} == set(slots)

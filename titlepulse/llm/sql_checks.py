@@ -27,20 +27,19 @@ CHECKS["op3_source_mixing"] = f"""
 WITH RECURSIVE counted AS (
   SELECT coalesce('=' || source, 'null') AS k, count(*) AS n FROM documents GROUP BY 1
 ), sized AS (
-  SELECT k, CAST(floor(sqrt(n) * 1000) AS BIGINT) AS size FROM counted
-), total AS (
-  SELECT CAST(sum(size) AS BIGINT) AS total FROM sized
+  SELECT k, n, CAST(floor(sqrt(n) * 1000) AS BIGINT) AS size, CAST(sum(floor(sqrt(n) * 1000)) OVER () AS BIGINT) AS total FROM counted
 ), parts AS (
-  SELECT k, greatest(1, (size * {mixing.PERIOD} + total // 2) // total) AS parts, row_number() OVER (ORDER BY k) AS i FROM sized, total
+  SELECT k, n, CASE WHEN total <= {mixing.MOST_PARTS} THEN size ELSE greatest(1, size * {mixing.MOST_PARTS} // total) END AS parts, row_number() OVER (ORDER BY k) AS i FROM sized
 ), whole AS (
-  SELECT list(parts ORDER BY i) AS p, CAST(sum(parts) AS BIGINT) AS w FROM parts
+  SELECT list(parts ORDER BY i) AS p, CAST(sum(parts) AS BIGINT) AS w,
+         max(CAST(ceil(least(parts, (n + {mixing.BLOCK_DOCS} - 1) // {mixing.BLOCK_DOCS}) * (SELECT sum(parts) FROM parts) / parts) AS BIGINT)) AS last FROM parts
 ), steps AS (
-  SELECT CAST(-1 AS BIGINT) AS t, list_transform(p, lambda x: CAST(0 AS BIGINT)) AS c, CAST(NULL AS BIGINT) AS pick, p, w FROM whole
+  SELECT CAST(-1 AS BIGINT) AS t, list_transform(p, lambda x: CAST(0 AS BIGINT)) AS c, CAST(NULL AS BIGINT) AS pick, p, w, last FROM whole
   UNION ALL
-  SELECT t, list_transform(c, lambda v, i: CASE WHEN i = best THEN v + 1 ELSE v END), best, p, w FROM (
-    SELECT t + 1 AS t, c, p, w, list_aggregate(list_filter(list_transform(p, lambda x, i:
-        CASE WHEN c[i] < x AND (c[i] * w) // x <= t + 1 THEN ((c[i] + 1) * w + x - 1) // x * 1000000 + i END), lambda y: y IS NOT NULL), 'min') % 1000000 AS best
-    FROM steps WHERE t + 1 < w)
+  SELECT t, list_transform(c, lambda v, i: CASE WHEN i = best THEN v + 1 ELSE v END), best, p, w, last FROM (
+    SELECT t + 1 AS t, c, p, w, last, list_aggregate(list_filter(list_transform(p, lambda x, i:
+        CASE WHEN (c[i] * w) // x <= t + 1 THEN ((c[i] + 1) * w + x - 1) // x * 1000000 + i END), lambda y: y IS NOT NULL), 'min') % 1000000 AS best
+    FROM steps WHERE t < least(w, last))
 ), template AS (
   SELECT parts.k, parts.parts, s.w, s.t, row_number() OVER (PARTITION BY s.pick ORDER BY s.t) - 1 AS j
   FROM steps AS s JOIN parts ON parts.i = s.pick
