@@ -107,9 +107,9 @@ def _note_days(tables: Tables, days: DataFrame, feed: str) -> None:
     tables.append_batch("silver_changed_days", rows, ("feed", "fold"))
 
 
-def _pending_days(tables: Tables, feed: str) -> tuple[DataFrame, list[str]]:
-    """Days noted in a feed that the daily facts do not have yet, and the names of the notes."""
-    applied = tables.applied("silver_engagement_daily")
+def _pending_days(tables: Tables, feed: str, name: str = "silver_engagement_daily") -> tuple[DataFrame, list[str]]:
+    """Days noted in a feed that a table does not have yet, and the names of the notes."""
+    applied = tables.applied(name)
     folds = sorted(f.removeprefix("fold=") for f in tables._folders(f"silver_changed_days/rows/feed={feed}") if f.startswith("fold="))
     pending = [fold for fold in folds if f"{feed}:{fold}" not in applied]
     noted = tables.read("silver_changed_days", schemas.CHANGED_DAYS)
@@ -142,6 +142,7 @@ def build_engagement(tables: Tables, seed: DataFrame, now: Column) -> DataFrame:
         states = tables.read_near("silver_engagement_state", schemas.ENGAGEMENT_STATE, days).join(days, keys, "left_semi")
         facts = schemas.conform(engagement.daily_of(states).withColumn("ingested_at", now.cast("timestamp")), schemas.ENGAGEMENT)
         done = tuple(f"snapshots:{fold}" for fold in folds)
+        _note_days(tables, days, "attention")
         tables.upsert("silver_engagement_daily", facts, schemas.ENGAGEMENT, keys, engagement.SNAPSHOT_RULES, applied=done)
         _forget_days(tables, "snapshots", folds)
     return tables.read("silver_engagement_daily", schemas.ENGAGEMENT)
@@ -190,12 +191,45 @@ def build_catalogue(tables: Tables) -> None:
     tables.replace("gold_genre_trends", catalogue.genre_trends(dimension), ("release_year",))
 
 
+def build_trends(tables: Tables) -> DataFrame:
+    """The attention table: weeks of changed days, and what follows them in their titles.
+
+    A title's new weeks, and its last one, follow from its carried state: no earlier day is read.  Only titles whose
+    earlier weeks have changed are worked out from all their days, and written from the first changed week on.  The state, with the notes of what
+    it holds, is committed last: a run that breaks before it is repeated from the same state, with the same rows.
+    """
+    daily = tables.read("silver_engagement_daily", schemas.ENGAGEMENT)
+    days, folds = _pending_days(tables, "attention", "gold_attention_state")
+    done = ("whole", *[f"attention:{fold}" for fold in folds])
+    if "whole" not in tables.applied("gold_attention_state"):
+        indexed = stage(attention.attention_index(attention.weekly_engagement(daily)), "indexed")
+        tables.replace("gold_attention_trends", attention.as_trends(indexed))
+        tables.replace("gold_attention_state", attention.carried_state(indexed), applied=done)
+    elif folds:
+        weeks = stage(attention.changed_weeks(days), "weeks")
+        held = tables.read_near("gold_attention_state", schemas.ATTENTION_STATE, weeks)
+        starts = stage(attention.week_starts(weeks, held), "starts")
+        late, in_time = starts.where("late").select("game_id"), starts.where("not late").select("game_id", "start")
+        own = weeks.join(in_time, "game_id", "left_semi").select("game_id", F.explode(F.sequence("week", F.date_add("week", 6))).alias("date"))
+        read = tables.read_near("silver_engagement_daily", schemas.ENGAGEMENT, own).join(own, ["game_id", "date"], "left_semi")
+        if not late.isEmpty():
+            read = read.unionByName(daily.join(late, "game_id", "left_semi"))
+        carried = held.join(in_time, "game_id")
+        indexed = stage(attention.attention_index(attention.weekly_engagement(read), carried=carried), "indexed")
+        state = stage(attention.carried_state(indexed, carried), "state")
+        changed = indexed.join(starts, "game_id").where("week >= start")
+        tables.upsert("gold_attention_trends", attention.as_trends(changed), schemas.ATTENTION_TRENDS, attention.ATTENTION_KEYS, attention.ATTENTION_RULES)
+        tables.upsert("gold_attention_state", state, schemas.ATTENTION_STATE, ["game_id"], attention.STATE_RULES, applied=done)
+    _forget_days(tables, "attention", folds)
+    return tables.read("gold_attention_trends", schemas.ATTENTION_TRENDS)
+
+
 def build_attention(tables: Tables) -> None:
     """The four tables of attention and revenue; each later one starts from what an earlier one wrote."""
     dimension = tables.read("silver_titles", schemas.TITLES)
     daily = tables.read("silver_engagement_daily", schemas.ENGAGEMENT)
     sales = tables.read("silver_sales_estimates", schemas.ESTIMATES)
-    trends = tables.replace("gold_attention_trends", attention.attention_trends(daily))
+    trends = build_trends(tables)
     tables.replace("gold_steam_vs_offsteam", attention.cohort_split(dimension, trends))
     monthly = tables.replace("gold_title_monthly", leaderboard.title_monthly(daily, sales))
     tables.replace("gold_revenue_engagement", leaderboard.revenue_engagement(dimension, monthly, sales))
@@ -212,7 +246,7 @@ def run_all(tables: Tables, seed: DataFrame, landing_folder: str, batch_id: str
         build_estimates(tables, seed)
         build_catalogue(tables)
         build_attention(tables)
-    for name in (*TABLES, "silver_engagement_state"):
+    for name in (*TABLES, "silver_engagement_state", "gold_attention_state"):
         if name.startswith(("silver", "gold")):
             tables.expire(name, keep_versions)
     return batch_id

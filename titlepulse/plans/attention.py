@@ -10,17 +10,25 @@ from pyspark.sql import functions as F
 from titlepulse.functions import exact_mean_of, exact_sum_of, exact_total_of, iso_day, round_even, safe_ratio, week_start, whole_mean, whole_sum, with_exact_parts
 from titlepulse.operators.lookup import lookup_join
 from titlepulse.operators.ranking import top_within
+from titlepulse.operators.upsert import BATCH
 from titlepulse.schemas import (
+    ATTENTION_STATE,
     ATTENTION_TRENDS,
     BASELINE_WEEKS,
     COHORT_SPLIT,
     SIGNALS,
     TOP_TITLES,
     Signal,
+    columns,
     conform,
 )
 
 
+ATTENTION_KEYS = ["game_id", "week"]
+ATTENTION_RULES = {name: BATCH for name in columns(ATTENTION_TRENDS) if name not in ATTENTION_KEYS}
+STATE_RULES = {name: BATCH for name in columns(ATTENTION_STATE) if name != "game_id"}
+
+
 def _any_signal() -> Column:
     return reduce(lambda a, b: a | b, [F.col(s.column).isNotNull() for s in SIGNALS])
 
@@ -58,40 +66,95 @@ def _baseline(signal: Signal, baseline_weeks: int) -> Column:
     return whole_mean(value, earlier) if signal.weekly == "sum" else exact_mean_of(F.col(f"_parts_{signal.column}"), earlier)
 
 
-def attention_index(weekly: DataFrame, baseline_weeks: int = BASELINE_WEEKS) -> DataFrame:
+def attention_index(weekly: DataFrame, baseline_weeks: int = BASELINE_WEEKS, carried: DataFrame | None = None) -> DataFrame:
     """Per title and week: an index per signal (100 = the title's normal), their mean, and its change.
 
-    All windows lie within a title, which has one row per week of history: the rows move once.
+    All windows lie within a title, which has one row per week of history: the rows move once.  With ``carried`` (rows of
+    the state and a ``start``), weeks before the start come from it, as far as later weeks depend on them.
     """
-    by_title = with_exact_parts(weekly.repartition("game_id"), _rates())
+    lead = {"_lead": F.lit(False), "_index": F.lit(None).cast("double")}
+    rows = weekly.withColumns(lead)
+    if carried is not None:
+        rows = rows.unionByName(_lead_rows(carried))
+    by_title = with_exact_parts(rows.repartition("game_id"), _rates())
     based = by_title.select("*", *[_baseline(s, baseline_weeks).alias(f"_base_{s.index}") for s in SIGNALS])
 
     def percent(signal: Signal) -> Column:
         value, base = F.col(signal.column), F.col(f"_base_{signal.index}")
         return F.when(value.isNotNull() & (base > 0), value / base * 100).alias(f"_{signal.index}")
 
-    raw = based.select(*weekly.columns, *[percent(s) for s in SIGNALS])
+    raw = based.select(*weekly.columns, *lead, *[percent(s) for s in SIGNALS])
     indexed = raw.select(
-        *weekly.columns, *[round_even(F.col(f"_{s.index}"), 2).alias(s.index) for s in SIGNALS]
+        *weekly.columns, *lead, *[round_even(F.col(f"_{s.index}"), 2).alias(s.index) for s in SIGNALS]
     )
     parted = with_exact_parts(indexed, {f"_parts_{s.index}": F.col(s.index) for s in SIGNALS})
     total = exact_total_of([F.col(f"_parts_{s.index}") for s in SIGNALS])
     present = reduce(lambda a, b: a + b, [F.col(s.index).isNotNull().cast("int") for s in SIGNALS])
     mean = parted.withColumn("_mean", safe_ratio(total, present)).withColumn(
-        "attention_index", round_even(F.col("_mean"), 2)
+        "attention_index", F.when(F.col("_lead"), F.col("_index")).otherwise(round_even(F.col("_mean"), 2))
     )
     # The last earlier week that has an index, however long ago.
     before = Window.partitionBy("game_id").orderBy("week").rowsBetween(Window.unboundedPreceding, -1)
     previous = F.last("attention_index", ignorenulls=True).over(before)
-    return mean.withColumn("_change", F.col("attention_index") - previous).withColumn(
+    return mean.withColumn("_change", F.col("attention_index") - previous).where(~F.col("_lead")).withColumn(
         "attention_wow_delta", round_even(F.col("_change"), 2)
     )
 
 
+def _lead_rows(carried: DataFrame) -> DataFrame:
+    """A row for each carried week before the title's start, with its signals and the last index before the start."""
+    before = {s.index: F.filter(f"seen_{s.index}", lambda seen: seen["week"] < F.col("start")) for s in SIGNALS}
+    indices = F.filter("indices", lambda seen: seen["week"] < F.col("start"))
+    weeks = F.array_distinct(F.concat(*[F.transform(seen, lambda x: x["week"]) for seen in before.values()]))
+    rows = carried.select("*", F.get(indices, F.size(indices) - 1)["value"].alias("_index"), F.explode(weeks).alias("_week"))
+
+    def value(signal: Signal) -> Column:
+        return F.get(F.filter(f"seen_{signal.index}", lambda seen: seen["week"] == F.col("_week")), F.lit(0))["value"].alias(signal.column)
+
+    return rows.select("game_id", F.col("_week").alias("week"), *[value(s) for s in SIGNALS], F.lit(True).alias("_lead"), "_index")
+
+
+def carried_state(indexed: DataFrame, carried: DataFrame | None = None, baseline_weeks: int = BASELINE_WEEKS) -> DataFrame:
+    """What later weeks need to know of each title of ``indexed``, the rows of :func:`attention_index`.
+
+    These are the last observations of each signal and the last indices: one more than a week needs, so that the last
+    week itself can still change.  ``carried`` is the state that these rows were made from.
+    """
+    kept = {f"seen_{s.index}": (s.column, baseline_weeks + 1) for s in SIGNALS} | {"indices": ("attention_index", 2)}
+    observed = [
+        F.collect_list(F.when(F.col(column).isNotNull(), F.struct("week", F.col(column).alias("value")))).alias(name)
+        for name, (column, _) in kept.items()
+    ]
+    new = indexed.groupBy("game_id").agg(F.max("week").alias("week"), *observed)
+    if carried is None:
+        lists = {name: F.col(name) for name in kept}
+    else:
+        old = carried.select("game_id", *[F.filter(n, lambda seen: seen["week"] < F.col("start")).alias(f"_{n}") for n in kept])
+        new = new.join(old, "game_id", "left")
+        lists = {name: F.concat(F.coalesce(f"_{name}", F.array()), name) for name in kept}
+    newest = [F.slice(F.sort_array(all_, asc=False), 1, kept[name][1]) for name, all_ in lists.items()]
+    return conform(new.select("game_id", "week", *[F.sort_array(x).alias(n) for n, x in zip(kept, newest)]), ATTENTION_STATE)
+
+
+def changed_weeks(days: DataFrame) -> DataFrame:
+    """``game_id, week`` of days of titles."""
+    return days.select("game_id", week_start(F.col("date")).alias("week")).distinct()
+
+
+def week_starts(weeks: DataFrame, state: DataFrame) -> DataFrame:
+    """``game_id, start, late``: the first changed week of each title, and whether it lies before its last week."""
+    first = weeks.groupBy("game_id").agg(F.min("week").alias("start"))
+    last = state.select("game_id", F.col("week").alias("_last"))
+    return first.join(last, "game_id", "left").select("game_id", "start", F.coalesce(F.col("start") < F.col("_last"), F.lit(False)).alias("late"))
+
+
+def as_trends(indexed: DataFrame) -> DataFrame:
+    return conform(indexed.withColumn("week", iso_day(F.col("week"))), ATTENTION_TRENDS)
+
+
 def attention_trends(engagement: DataFrame, baseline_weeks: int = BASELINE_WEEKS) -> DataFrame:
     """The attention table: see :func:`attention_index`."""
-    rows = attention_index(weekly_engagement(engagement), baseline_weeks)
-    return conform(rows.withColumn("week", iso_day(F.col("week"))), ATTENTION_TRENDS)
+    return as_trends(attention_index(weekly_engagement(engagement), baseline_weeks))
 
 
 def top_titles(attention: DataFrame, k: int = TOP_TITLES) -> DataFrame:

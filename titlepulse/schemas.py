@@ -55,6 +55,14 @@ ATTENTION_TRENDS = (
     "attention_index double, attention_wow_delta double, twitch_avg_viewers double, wiki_pageviews bigint"
 )
 
+# Per title: its last week with a row, the last observations of each signal, and the last indices, oldest first.
+ATTENTION_STATE = (
+    "game_id string, week date, "
+    "seen_twitch_idx array<struct<week:date,value:double>>, seen_wiki_idx array<struct<week:date,value:bigint>>, "
+    "seen_trends_idx array<struct<week:date,value:double>>, seen_reddit_idx array<struct<week:date,value:bigint>>, "
+    "indices array<struct<week:date,value:double>>"
+)
+
 COHORT_SPLIT = (
     "week string, cohort string, title_count bigint, twitch_viewer_share double, wiki_pageview_share double, "
     "top20_attention_titles bigint"
@@ -107,6 +115,8 @@ LAYOUTS = {
     "silver_titles": {"p_bucket": "pmod(xxhash64(game_id), 4)"},
     "silver_engagement_daily": {"p_month": "date_format(date, 'yyyy-MM')", "p_bucket": "pmod(xxhash64(game_id), 4)"},
     "silver_engagement_state": {"p_month": "date_format(date, 'yyyy-MM')", "p_bucket": "pmod(xxhash64(game_id), 4)"},
+    "gold_attention_trends": {"p_year": "substring(week, 1, 4)", "p_bucket": "pmod(xxhash64(game_id), 4)"},
+    "gold_attention_state": {"p_bucket": "pmod(xxhash64(game_id), 4)"},
     "silver_reviews": {"p_range": "coalesce(floor(try_cast(review_id as bigint) / 5000000), -1 - pmod(xxhash64(review_id), 64))"},
     "silver_sales_estimates": {"p_month": "date_format(snapshot_date, 'yyyy-MM')", "p_bucket": "pmod(xxhash64(game_id), 4)"},
 }
