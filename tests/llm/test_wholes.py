@@ -187,56 +187,6 @@ def test_topk_of_an_empty_table(spark):
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
 
 
-def plain_lm(rows, size, min_count):
-    tokens = lambda t: [*(w.encode().translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")) for w in re.findall(r"[^\x20\x09-\x0D]+", t or "")), b""]
-    training = [tokens(t) for i, t in rows if not katz_lm.held_out(i)]
-    count = Counter(w for x in training for w in x)
-    total, types = sum(count.values()), len(count)
-    own = set(sorted(count, key=lambda w: (len(w) > 0, -count[w], w))[:size])
-    of = lambda w: w if w in own else None
-    pairs = Counter(p for x in training for p in zip(["^", *map(of, x)], map(of, x)))
-    context = Counter()
-    for (h, _), n in pairs.items():
-        context[h] += n
-    factors = katz_lm.discounts(Counter(pairs.values()))
-    others, once = sum(count[w] for w in count if w not in own), sum(n == 1 for n in count.values())
-    spare = total + max(1, once)
-    p = {w: count[w] / spare for w in own} | {None: (others + max(1, once)) / spare}
-    stored = defaultdict(dict)
-    for (h, w), n in pairs.items():
-        if n >= min_count:
-            stored[h][w] = n * (factors[n] if n <= katz_lm.DISCOUNTED else 1)
-    model = {}
-    for h in ["^", None, *own]:
-        n, mass = max(1, context[h]), sum(stored[h].values()) / max(1, context[h])
-        if mass > 1 - 1e-9:
-            mass, n = mass * n / (n + 1), n + 1
-        rest = 1 - sum(p[w] for w in stored[h])
-        if rest < 1e-12:  # everything is stored: the stored ones share all
-            n, mass, rest = n * mass, 1, 1
-        back = (1 - mass) / rest
-        model[h] = {w: stored[h][w] / n if w in stored[h] else back * p[w] for w in p}
-        assert abs(sum(model[h].values()) - 1) < 1e-9
-    out = []
-    for i, t in rows:
-        x, h, score = tokens(t), "^", 0.0
-        for w in x:
-            score += math.log10(model[h][of(w)]) + (0 if w in own else math.log10((count[w] + 1) / (others + types - len(own) + 1)))
-            h = of(w)
-        out.append((i, katz_lm.held_out(i), len(x), sum(count[w] > 0 for w in x), total, sum(math.log10((count[w] + 1) / (total + types + 1)) for w in x), score))
-    return out
-
-
-@pytest.mark.parametrize("size, frequent, min_count", [(120, 40, 2), (20, 0, 1), (10_000, 10_000, 1)])
-def test_language_model_equals_brute_force(frame, size, frequent, min_count):
-    rows = corpus(11, docs=40)
-    found = katz_lm.score(frame(rows).repartition(3), vocabulary=size, frequent=frequent, min_count=min_count).collect()
-    order = lambda r: (str(r[0]), r[2], round(r[6], 6))
-    for mine, other in zip(sorted(map(tuple, found), key=order), sorted(plain_lm(rows, size, min_count), key=order), strict=True):
-        assert mine[:5] == other[:5]
-        assert mine[5] == pytest.approx(other[5], rel=1e-9) and mine[6] == pytest.approx(other[6], rel=1e-9)
-
-
 def plain_katz(rows, order):
     """Scores by recursion over every n-gram, and for each held-out context met the sum of its probabilities."""
     tokens = lambda t: [*(w.encode().lower() for w in re.findall(r"[^\x20\x09-\x0D]+", t or "")), b""]
@@ -270,29 +220,25 @@ def plain_katz(rows, order):
 
     for h in [h for h in list(after) if len(h) == order - 1][:20]:
         assert abs(sum(p((*h, w)) for (w,) in count[1]) + p((*h, "never")) - 1) < 1e-9
-    return [(i, katz_lm.held_out(i), len(tokens(t)), sum(map(math.log10, map(p, grams(tokens(t)))))) for i, t in rows]
-
-
-@pytest.mark.parametrize("order, frequent, words_held", [(2, 0, 0), (2, 40, 30)])
-def test_language_model_over_every_word_and_bigram(frame, order, frequent, words_held):
-    rows = corpus(11, docs=40)
-    found = katz_lm.score(frame(rows).repartition(3), order=order, frequent=frequent, words_held=words_held).collect()
-    classed = katz_lm.score(frame(rows).repartition(3), vocabulary=10_000, min_count=1).collect()
-    key = lambda r: (str(r[0]), r[2], round(r[-1], 6))
-    for mine, other in zip(sorted(map(tuple, found), key=key), sorted(plain_katz(rows, order), key=key), strict=True):
-        assert mine[:3] == other[:3] and mine[-1] == pytest.approx(other[-1], rel=1e-9)
-    same = lambda r: (str(r[0]), r[2], round(r[5], 6))
-    for mine, other in zip(sorted(map(tuple, found), key=same), sorted(map(tuple, classed), key=same), strict=True):
-        assert mine[:5] == other[:5] and mine[5] == pytest.approx(other[5], rel=1e-9)
+    out = []
+    for i, t in rows:
+        seen, total = [count[1][(w,)] for w in tokens(t)], whole - spare
+        base = sum(math.log10((n + 1) / (total + len(count[1]) + 1)) for n in seen)
+        out.append((i, katz_lm.held_out(i), len(seen), sum(n > 0 for n in seen), total, base, sum(map(math.log10, map(p, grams(tokens(t)))))))
+    return out
 
 
-@pytest.mark.parametrize("options, order", [({}, 3), ({"frequent": 0, "words_held": 5}, 3), ({"order": 4, "frequent": 20}, 4)])
-def test_language_model_backs_off_recursively_with_singletons(frame, options, order):
+@pytest.mark.parametrize(
+    "options, order",
+    [({}, 3), ({"order": 2}, 2), ({"order": 4, "block_tokens": 300}, 4), ({"hot_tokens": 2, "block_tokens": 50}, 3), ({"order": 2, "hot_tokens": 5, "block_tokens": 1}, 2)],
+)
+def test_language_model_equals_recursion_over_every_ngram(frame, options, order):
     rows = corpus(11, docs=40)
     found = katz_lm.score(frame(rows).repartition(3), **options).collect()
     key = lambda r: (str(r[0]), r[2], round(r[-1], 6))
     for mine, other in zip(sorted(map(tuple, found), key=key), sorted(plain_katz(rows, order), key=key), strict=True):
-        assert mine[:3] == other[:3] and mine[-1] == pytest.approx(other[-1], rel=1e-9)
+        assert mine[:5] == other[:5]
+        assert mine[5] == pytest.approx(other[5], rel=1e-9) and mine[6] == pytest.approx(other[6], rel=1e-9)
 
 
 def test_language_model_edges(frame):

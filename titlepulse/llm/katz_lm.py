@@ -1,46 +1,25 @@
 """A Katz backoff language model, counted over the training documents, and the scores of all documents.
 
-Tokens are lower-cased words and one end.  ``score`` is over every word and n-gram (``katz_whole``).  Only if a
-``vocabulary`` is asked for, it is the smaller model of this module: so many of the most frequent words have a class of
-their own; all others share one class, inside which a word has its own add-one probability:
+Tokens are lower-cased words and one end.  ``score`` is over every word and n-gram; ``katz_whole`` says how.
 
-    P(w | h) = P(class of w | class of h) * P(w | its class)
-
-Class bigrams seen at least ``MIN_COUNT`` times are stored (Katz's cutoff) and Good-Turing discounted up to a count of
-``DISCOUNTED``:  P(c | h) = d(n) * n / n(h).  What they leave of a context's mass is shared by the classes that
-are not stored after h in proportion to their unigram probability: P(c | h) = backoff(h) * P(c).  The backoff
-weights follow from exact sums over the stored table, so that every context sums to 1, whatever discounts are.
-
-Counts are tables in the shared folder.  Only what a fixed number bounds goes to the tasks as a whole: the classes,
-a backoff weight for each, and the ``FREQUENT`` most frequent bigrams.  A document's other bigrams and words go to the
-tables by a shuffle on what is looked up, summed up by document afterwards.
-
-Null and empty texts are scored as one end.  Rows with equal ids and texts get equal rows in the result.  Without
-training documents all counts are 0 and only unigram and class probabilities are left.  An empty table gives an
-empty result.
+Null and empty texts are scored as one end.  Repeated rows, with equal ids or texts, count and are scored as often as
+they come.  Without training documents all counts are 0, and a token not seen has all the mass.  An empty table gives
+an empty result.  A null id counts as the empty text for the choice of training documents.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from titlepulse.llm.common import least_count, lower_words_of
-from titlepulse.sources.shared import stage
+from titlepulse.llm.common import lower_words_of
 
-VOCABULARY = 1 << 18
 ORDER = 3
-FREQUENT = 1_000_000
-MIN_COUNT, DISCOUNTED = 2, 5
+DISCOUNTED = 5
 HELD_OUT_OF, HELD_OUT = 7, 2
-SHIFT = 20
 END = b""
-BLOCK_TOKENS = 4_000_000
 
 
 def held_out(doc_id) -> bool:
@@ -48,85 +27,13 @@ def held_out(doc_id) -> bool:
 
 
 def bare(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("key"), F.col("text").cast("string").alias("text")
-    )
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
 def documents(batches):
     for batch in batches:
-        for doc_id, key, text in zip(batch.column("doc_id").to_pylist(), batch.column("key").to_pylist(), batch.column("text")):
-            yield doc_id, key, [*lower_words_of(text.as_py()), END]
-
-
-def word_counts(docs: DataFrame) -> DataFrame:
-    def run(batches):
-        counts, size = Counter(), 0
-
-        def rows():
-            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
-
-        for doc_id, _, words in documents(batches):
-            if not held_out(doc_id):
-                counts.update(words)
-                size += len(words)
-            if size >= BLOCK_TOKENS:
-                yield rows()
-                counts, size = Counter(), 0
-        if counts:
-            yield rows()
-
-    return bare(docs).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-class Classes:
-    """The classes: 0 the beginning, 1 all other words, from 2 on one word each; with counts in training."""
-
-    def __init__(self, words: list[bytes], counts: list[int], total: int, types: int, once: int, documents: int):
-        self.of = {word: n + 2 for n, word in enumerate(words)}
-        self.count = np.array([0, total - sum(counts), *counts], np.int64)
-        self.total, self.types = total, types
-        # The words of the shared class: their probability inside it is (count + 1) / other_size.
-        self.other_size = int(self.count[1]) + types - len(words) + 1
-        # As many tokens as there are words seen once are held for words not seen: the Good-Turing estimate.
-        unigram = self.count.astype(float)
-        unigram[1] += max(1, once)
-        self.p = unigram / unigram.sum()
-        self.context = self.count.copy()
-        self.context[0] = documents
-        self.log_p = np.log10(np.maximum(self.p, 1e-300))
-
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        get = self.of.get
-        return np.fromiter((get(w, 1) for w in words), np.int64, len(words))
-
-    def base(self, count):
-        return np.log10((count + 1) / (self.total + self.types + 1))
-
-
-def grams(ids: np.ndarray) -> np.ndarray:
-    return (np.concatenate([[0], ids[:-1]]) << SHIFT) | ids
-
-
-def bigram_counts(docs: DataFrame, classes) -> DataFrame:
-    def run(batches):
-        held, size = [], 0
-
-        def rows():
-            values, counts = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts.astype(np.int64))], ["gram", "n"])
-
-        for doc_id, _, words in documents(batches):
-            if not held_out(doc_id):
-                held.append(grams(classes.value.ids(words)))
-                size += len(words)
-            if size >= BLOCK_TOKENS:
-                yield rows()
-                held, size = [], 0
-        if held:
-            yield rows()
-
-    return bare(docs).mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+            yield doc_id, [*lower_words_of(text.as_py()), END]
 
 
 def discounts(histogram: dict[int, int]) -> list[float]:
@@ -143,184 +50,11 @@ def discounts(histogram: dict[int, int]) -> list[float]:
     return out
 
 
-class Model:
-    """What every task holds: classes, a weight for each context, the frequent bigrams, and the discounts."""
-
-    def __init__(self, classes: Classes, factors: list[float], stats, frequent):
-        self.classes, self.factors = classes, np.array(factors)
-        context = np.maximum(classes.context, 1).astype(float)
-        taken, seen = np.zeros(len(context)), np.zeros(len(context))
-        taken[stats["h"]] = stats["mass"] / context[stats["h"]]
-        seen[stats["h"]] = stats["seen"]
-        # A context that would leave nothing is given one more, unseen.
-        self.context = np.where(taken > 1 - 1e-9, context + 1, context)
-        taken *= context / self.context
-        rest = 1 - seen
-        # A context that has everything after it stored: there is nothing to back off to, and the stored share all.
-        full = rest < 1e-12
-        self.scale = np.where(full & (taken > 0), 1 / np.maximum(taken, 1e-300), 1.0)
-        self.log_backoff = np.log10(np.where(full, 1e-300, (1 - taken) / np.where(full, 1, rest)))
-        order = np.argsort(frequent["gram"])
-        self.frequent = frequent["gram"][order]
-        self.frequent_log = self.stored_log(self.frequent, frequent["n"][order])
-
-    def stored_log(self, gram: np.ndarray, n: np.ndarray) -> np.ndarray:
-        h = gram >> SHIFT
-        factor = np.where(n <= DISCOUNTED, self.factors[np.minimum(n, DISCOUNTED)], 1.0)
-        return np.log10(factor * n / self.context[h] * self.scale[h])
-
-    def backed_off(self, gram: np.ndarray) -> np.ndarray:
-        return self.log_backoff[gram >> SHIFT] + self.classes.log_p[gram & ((1 << SHIFT) - 1)]
-
-
-def columns(table: pa.Table) -> dict[str, np.ndarray]:
-    return {name: table.column(name).to_numpy() for name in table.column_names}
-
-
-def train(docs: DataFrame, vocabulary: int = VOCABULARY, frequent: int = FREQUENT, min_count: int = MIN_COUNT):
-    """``(model, words, rare)``: what tasks hold, the table of word counts, and the gains of the bigrams not held."""
-    spark = docs.sparkSession
-    words = stage(word_counts(docs), "words")
-    total, types, once = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.count_if(F.col("n") == 1)).first()
-    trained = words.where(F.col("word") == F.lit(END)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    first = words.orderBy((F.length("word") > 0).cast("int"), F.col("n").desc(), "word").limit(vocabulary).toArrow()
-    listed = [bytes(w) for w in first.column("word").to_pylist()]
-    classes = Classes(listed, first.column("n").to_pylist(), total, types, once, trained)
-    held = spark.sparkContext.broadcast(classes)
-    counted = stage(bigram_counts(docs, held), "bigrams-all")
-    histogram = {r["n"]: r["k"] for r in counted.where(F.col("n") <= DISCOUNTED + 1).groupBy("n").agg(F.count(F.lit(1)).alias("k")).collect()}
-    factors = discounts(histogram)
-    stored = counted.where(F.col("n") >= min_count)
-    # The mass that stored bigrams take, and the unigram probability of what is stored, for every context.
-    p = F.broadcast(spark.createDataFrame(pa.table({"c": np.arange(len(classes.p)), "p": classes.p})))
-    factor = F.element_at(F.array(*[F.lit(f) for f in factors]), F.least(F.col("n"), F.lit(DISCOUNTED)).cast("int") + 1)
-    mass = F.when(F.col("n") <= DISCOUNTED, factor * F.col("n")).otherwise(F.col("n").cast("double"))
-    stats = (
-        stored.select(F.shiftright("gram", SHIFT).alias("h"), F.col("gram").bitwiseAND(F.lit((1 << SHIFT) - 1)).alias("c"), mass.alias("mass"))
-        .join(p, "c").groupBy("h").agg(F.sum("mass").alias("mass"), F.sum("p").alias("seen"))
-    )
-    limit = least_count(stored, frequent)
-    often = columns(stored.where(F.col("n") >= limit).toArrow())
-    model = Model(classes, factors, columns(stats.toArrow()), often)
-    # What a stored bigram's probability is above the backed-off one.
-    sides = spark.createDataFrame(pa.table({"x": np.arange(len(classes.p)), "own": np.log10(model.scale / model.context) - model.log_backoff, "log_p": classes.log_p}))
-    rare = (
-        stored.where(F.col("n") < limit)
-        .select("gram", F.shiftright("gram", SHIFT).alias("h"), F.col("gram").bitwiseAND(F.lit((1 << SHIFT) - 1)).alias("c"), F.log10(mass).alias("log_mass"))
-        .join(F.broadcast(sides.select(F.col("x").alias("h"), "own")), "h").join(F.broadcast(sides.select(F.col("x").alias("c"), "log_p")), "c")
-        .select("gram", (F.col("log_mass") + F.col("own") - F.col("log_p")).alias("gain"))
-    )
-    return model, words, rare
-
-
-def score(docs: DataFrame, vocabulary: int | None = None, order: int = ORDER, frequent: int = FREQUENT, words_held: int = VOCABULARY, **options) -> DataFrame:
+def score(docs: DataFrame, order: int = ORDER, **options) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every document.
 
-    ``frequent`` and ``words_held`` are the sizes of caches.  ``min_count`` goes with a ``vocabulary`` only.
+    ``options`` are the sizes of blocks and buckets, and the one from which contexts are split; the scores are the same with any.
     """
-    if vocabulary is not None:
-        return score_classed(docs, vocabulary=vocabulary, frequent=frequent, **options)
     from titlepulse.llm import katz_whole
 
-    return katz_whole.score(docs, order, frequent, words_held, **options)
-
-
-def score_classed(docs: DataFrame, **options) -> DataFrame:
-    """The same columns, with a class for each of ``vocabulary`` words and one for all others."""
-    spark = docs.sparkSession
-    model, words, rare = train(docs, **options)
-    held = spark.sparkContext.broadcast(model)
-
-    def emit_grams(batches):
-        """A row for each bigram that is not frequent, scored as if not stored, and one for the document."""
-        model = held.value
-        block, size = [], 0
-
-        def rows():
-            ids = [model.classes.ids(words) for _, _, words in block]
-            doc = np.repeat(np.arange(len(block)), [len(i) for i in ids])
-            gram = np.concatenate([grams(i) for i in ids])
-            at = np.minimum(np.searchsorted(model.frequent, gram), max(0, len(model.frequent) - 1))
-            known = model.frequent[at] == gram if len(model.frequent) else np.zeros(len(gram), bool)
-            value = model.backed_off(gram)
-            if len(model.frequent):
-                value = np.where(known, model.frequent_log[at], value)
-            sums = np.bincount(doc, value, len(block))
-            doc, gram = doc[~known], gram[~known]
-            order = np.lexsort((gram, doc))
-            doc, gram = doc[order], gram[order]
-            new = np.ones(len(gram), bool)
-            new[1:] = (gram[1:] != gram[:-1]) | (doc[1:] != doc[:-1])
-            heads = np.flatnonzero(new)
-            times = np.diff(np.append(heads, len(gram)))
-            doc, gram = doc[heads], gram[heads]
-            count = len(block)
-            # A document's own row looks for a gram that there can't be, another one each.
-            keys = np.array([b[1] for b in block], np.int64)
-            doc = np.concatenate([doc, np.arange(count)])
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([gram, -1 - (keys & 0xFFFFFFFF)])), pa.array([b[0] for b in block], pa.int64()).take(pa.array(doc)), pa.array(keys[doc]),
-                    pa.array(np.concatenate([times, np.zeros(count, np.int64)])), pa.array(np.concatenate([np.zeros(len(gram)), sums])),
-                ],
-                ["gram", "doc_id", "key", "times", "value"],
-            )
-
-        for entry in documents(batches):
-            block.append(entry)
-            size += len(entry[2])
-            if size >= BLOCK_TOKENS // 8:
-                yield rows()
-                block, size = [], 0
-        if block:
-            yield rows()
-
-    def emit_words(batches):
-        """A row for each word of the shared class, and one for the document with what the other words give."""
-        classes = held.value.classes
-        # For every class: how many tokens it adds to the known ones, and its part of the base score.
-        known, base = (classes.count > 0).astype(np.int64), classes.base(classes.count)
-        known[1], base[1] = 0, 0.0
-        out = {n: [] for n in ("word", "doc_id", "key", "times", "n_tokens", "known", "base")}
-        kinds = dict(zip(out, (pa.binary(), *[pa.int64()] * 5, pa.float64())))
-
-        def batch_of():
-            return pa.RecordBatch.from_arrays([pa.array(v, kinds[n]) for n, v in out.items()], list(out))
-
-        for number, (doc_id, key, words) in enumerate(documents(batches)):
-            ids = classes.ids(words)
-            others = Counter(words[n] for n in np.flatnonzero(ids == 1))
-            # No word holds a blank.
-            out["word"] += [*others, b" " + str(key).encode()]
-            out["doc_id"] += [doc_id] * (len(others) + 1)
-            out["key"] += [key] * (len(others) + 1)
-            out["times"] += [*others.values(), 0]
-            out["n_tokens"] += [*[0] * len(others), len(words)]
-            out["known"] += [*[0] * len(others), int(known[ids].sum())]
-            out["base"] += [*[0.0] * len(others), float(base[ids].sum())]
-            if len(out["word"]) >= 100_000:
-                yield batch_of()
-                for column in out.values():
-                    column.clear()
-        if out["word"]:
-            yield batch_of()
-
-    c = model.classes
-    rows = bare(docs)
-    first = rows.mapInArrow(emit_grams, "gram long, doc_id long, key long, times long, value double").join(rare, "gram", "left")
-    by_gram = first.select("doc_id", "key", (F.col("times") == 0).cast("long").alias("rows"), F.lit(0).cast("long").alias("n_tokens"), F.lit(0).cast("long").alias("known"), F.lit(0.0).alias("base"),
-        (F.col("value") + F.col("times") * F.coalesce("gain", F.lit(0.0))).alias("value"))
-    second = rows.mapInArrow(emit_words, "word binary, doc_id long, key long, times long, n_tokens long, known long, base double").join(words, "word", "left")
-    n = F.coalesce(F.col("n"), F.lit(0))
-    by_word = second.select(
-        "doc_id", "key", F.lit(0).cast("long").alias("rows"), "n_tokens", (F.col("known") + F.when(n > 0, F.col("times")).otherwise(0)).alias("known"),
-        (F.col("base") + F.col("times") * F.log10((n + 1) / F.lit(float(c.total + c.types + 1)))).alias("base"),
-        (F.col("times") * F.log10((n + 1) / F.lit(float(c.other_size)))).alias("value"),
-    )
-    sums = by_gram.unionAll(by_word).groupBy("doc_id", "key").agg(*[F.sum(x).alias(x) for x in ("rows", "n_tokens", "known", "base", "value")])
-    each = lambda x: (F.col(x) / F.col("rows"))  # noqa: E731  equal rows have been summed up together
-    crc = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    return sums.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), "rows"))).select(
-        "doc_id", (crc % HELD_OUT_OF == HELD_OUT).alias("held_out"), each("n_tokens").cast("long").alias("n_tokens"), each("known").cast("long").alias("n_known"),
-        F.lit(c.total).cast("long").alias("train_tokens"), each("base").alias("base_score"), each("value").alias("score"),
-    )
+    return katz_whole.score(docs, order, **options)

@@ -1,229 +1,353 @@
 """Katz backoff over every word and every n-gram of the training documents, up to a given order.
 
 Tokens are those of ``katz_lm``; a document is led in by ``order - 1`` beginnings.  Every n-gram of every length is
-counted and stored, with no cutoff by count and no bound on words.  With a context h, h' its words but the first, and n(h)
-the occurrences of h before a token:
+counted, with no cutoff by count and no bound on words.  With a context h, h' its words but the first, and n(h) the
+occurrences of h before a token:
 
     P(w | h) = d(n) * n(h w) / n(h)     where h w was counted, else
     P(w | h) = backoff(h) * P(w | h')   with backoff(h) = 1 where h was not counted
 
 and so on down to single words, where tokens never counted share the mass that Good and Turing estimate for them.  The
-discounts d are found for each length apart.  The backoff weights follow from exact sums over the tables, so that every
-context sums to 1.
-
-N-grams are keyed by 64-bit hashes of their words.  Counts, probabilities and backoff weights are tables in the shared
-folder; a training document's n-grams are found by one join, a held-out document's by one join for each length and
-context.  What goes to all tasks is a cache: the most frequent words and longest n-grams, up to fixed numbers.
+discounts d are found for each length apart.  The backoff weights follow from exact sums over everything counted after a
+context, so that every context sums to 1.
+
+Documents are tokenized once, into blocks of some two million tokens that are written to the shared folder.  Length after
+length, each block deals its different n-grams, sorted and packed, to buckets by context.  A bucket sees all that follows
+its contexts: it adds up counts and sends each block, in the order of what came, the counts of its n-grams and the sums of
+its contexts.  These answers are the model's tables, kept in parts by length, bucket and block.  From those of the shorter
+lengths a block knows what the next one needs; from all of them it scores its documents, recursively for each token.
+
+What a block sends has each n-gram once, however often and in however many documents it occurs.  A context with more than
+``HOT_TOKENS`` tokens after it (or a 100,000th of all, if that is more) is split over several buckets by what follows it;
+the sums of its slices, less than three for each 100,000th of the corpus, are added up and sent to all tasks.
 """
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import xxhash
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from titlepulse.llm import katz_lm
-from titlepulse.llm.common import least_count, window_hashes, word_hashes
+from titlepulse.llm.common import word_hashes
 from titlepulse.sources.shared import stage
 
-BLOCK_TOKENS = 1_000_000
-BEGIN = xxhash.xxh3_64_intdigest(b" ")  # no word holds a blank
+BLOCK_TOKENS = 2_000_000
+BUCKET_TOKENS = 2_000_000
+LEAST_BUCKETS = 24
+HOT_TOKENS = 1_000_000
+HOT_SHARE = 100_000
 NO_BACKOFF = 1e-300
-
-
-def grams_of(words: list[bytes], order: int) -> list[np.ndarray]:
-    """``[contexts, grams of one word, grams of two, ...]``: entry k has one hash for each token, of the k words that end there.
-
-    Entry 0 is all zeros.  The context of a token's gram of k words is in ``contexts_of``.
-    """
-    padded = np.concatenate([np.full(order - 1, BEGIN, np.uint64), word_hashes(words)])
-    out = [np.zeros(len(words), np.int64)]
-    for k in range(1, order + 1):
-        out.append(window_hashes(padded, k)[order - k :].view(np.int64))
+RARE = katz_lm.DISCOUNTED
+BLOCKS = "block long, size long, about binary, words binary, tokens binary"
+SENT = "bucket long, block long, payload binary"
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays in the narrowest type, bytes of equal weight together, compressed."""
+    parts = []
+    for array in arrays:
+        if array.dtype.kind in "iu":
+            low, high = (int(array.min()), int(array.max())) if len(array) else (0, 0)
+            array = array.astype(np.min_scalar_type(high) if low >= 0 else np.int64)
+        parts.append((array.dtype.str, array.view(np.uint8).reshape(len(array), array.itemsize).T.tobytes()))
+    return zstandard.ZstdCompressor(level=6).compress(pickle.dumps(parts))
+
+
+def unpack(data: bytes) -> list[np.ndarray]:
+    out = []
+    for kind, raw in pickle.loads(zstandard.ZstdDecompressor().decompress(data)):
+        size = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).reshape(-1).view(kind))
     return out
 
 
-def contexts_of(words: list[bytes], order: int) -> list[np.ndarray]:
-    """Entry k: the hash of the k - 1 words before each token; zeros for k of 0 and 1."""
-    padded = np.concatenate([np.full(order - 1, BEGIN, np.uint64), word_hashes(words)])
-    out = [np.zeros(len(words), np.int64)] * 2
-    for k in range(2, order + 1):
-        out.append(window_hashes(padded, k - 1)[order - k : order - k + len(words)].view(np.int64))
+def mixed(*columns: np.ndarray) -> np.ndarray:
+    """A hash of each row of whole numbers, the same in all tasks."""
+    out = np.zeros(len(columns[0]), np.uint64)
+    for column in columns:
+        out = (out ^ column.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
     return out
 
 
-def gram_counts(docs: DataFrame, order: int) -> DataFrame:
-    """``level, gram, context, lower, n`` of the training documents; ``lower`` is the gram without its first word."""
+def numbered(left: np.ndarray, right: np.ndarray):
+    """``(first, number)``: a row of each different pair, in order, and which pair each row is.  Both below 2^32."""
+    _, first, number = np.unique(left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64), return_index=True, return_inverse=True)
+    return first, number
+
 
+def write_blocks(docs: DataFrame, size: int) -> DataFrame:
     def run(batches):
-        held, size = [], 0
-
-        def rows():
-            for k in range(1, order + 1):
-                gram, context, lower = (np.concatenate([part[k][n] for part in held]) for n in range(3))
-                gram, first, n = np.unique(gram, return_index=True, return_counts=True)
-                arrays = [pa.array(np.full(len(gram), k, np.int32)), pa.array(gram), pa.array(context[first]), pa.array(lower[first]), pa.array(n.astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(arrays, ["level", "gram", "context", "lower", "n"])
-
-        for doc_id, _, words in katz_lm.documents(batches):
-            if not katz_lm.held_out(doc_id):
-                grams, contexts = grams_of(words, order), contexts_of(words, order)
-                held.append([None, *[(grams[k], contexts[k], grams[k - 1]) for k in range(1, order + 1)]])
-                size += len(words)
-            if size >= BLOCK_TOKENS:
-                yield from rows()
-                held, size = [], 0
+        held, tokens, count = [], 0, 0
+
+        def row():
+            ids, out, hashes = zip(*held)
+            words, at = np.unique(np.concatenate(hashes), return_inverse=True)
+            null = np.array([i is None for i in ids])
+            about = pack(np.array([i or 0 for i in ids], np.int64), null, np.array(out), np.array([len(h) for h in hashes]))
+            values = [(TaskContext.get().partitionId() << 32) + count, tokens, about, pack(words), pack(at)]
+            return pa.RecordBatch.from_arrays([pa.array([v]) for v in values], ["block", "size", "about", "words", "tokens"])
+
+        for doc_id, words in katz_lm.documents(batches):
+            held.append((doc_id, katz_lm.held_out(doc_id), word_hashes(words)))
+            tokens += len(words)
+            if tokens >= size:
+                yield row()
+                held, tokens, count = [], 0, count + 1
         if held:
-            yield from rows()
-
-    counted = katz_lm.bare(docs).mapInArrow(run, "level int, gram long, context long, lower long, n long")
-    return counted.groupBy("level", "gram", "context", "lower").agg(F.sum("n").alias("n"))
-
-
-def train(docs: DataFrame, order: int):
-    """``(words, levels, sizes)``: the table of words, ``(grams, contexts)`` for each length from 2 on, and totals.
-
-    ``grams`` is ``gram, n, log_p``; ``contexts`` is ``context, log_backoff``.
-    """
-    counted = stage(gram_counts(docs, order), "grams")
-    single = counted.where("level = 1")
-    total, types, once = single.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.count_if(F.col("n") == 1)).first()
-    # As many tokens as there are words seen once are held for words not seen.
-    spare = max(1, once)
-    histograms = counted.where(F.col("n") <= katz_lm.DISCOUNTED + 1).groupBy("level", "n").agg(F.count(F.lit(1)).alias("k")).collect()
-    words = single.select("gram", "n", F.log10(F.col("n") / F.lit(float(total + spare))).alias("log_p"))
-    levels, below = [], words
-    for k in range(2, order + 1):
-        own = counted.where(F.col("level") == k)
-        factors = katz_lm.discounts({r["n"]: r["k"] for r in histograms if r["level"] == k})
-        factor = F.element_at(F.array(*[F.lit(f) for f in factors]), F.least(F.col("n"), F.lit(katz_lm.DISCOUNTED)).cast("int") + 1)
-        mass = F.when(F.col("n") <= katz_lm.DISCOUNTED, factor * F.col("n")).otherwise(F.col("n").cast("double"))
-        lower = below.select(F.col("gram").alias("lower"), F.pow(F.lit(10.0), "log_p").alias("p"))
-        sums = (
-            own.withColumn("mass", mass).join(lower, "lower").groupBy("context")
-            .agg(F.sum("n").cast("double").alias("all"), F.sum("mass").alias("mass"), F.sum("p").alias("seen"))
-        )
-        # A context that would leave nothing is given one more, unseen.
-        sums = sums.withColumn("size", F.col("all") + (F.col("mass") > F.col("all") * (1 - 1e-9)).cast("int"))
-        # One that has everything after it stored: there is nothing to back off to, and the stored share all.
-        full = 1 - F.col("seen") < 1e-12
-        contexts = stage(
-            sums.select(
-                "context",
-                F.log10(F.when(full, F.col("mass")).otherwise(F.col("size"))).alias("log_size"),
-                F.log10(F.when(full, F.lit(NO_BACKOFF)).otherwise((1 - F.col("mass") / F.col("size")) / (1 - F.col("seen")))).alias("log_backoff"),
-            ),
-            f"contexts-{k}",
-        )
-        grams = own.select("gram", "context", "n", F.log10(mass).alias("log_mass")).join(contexts, "context")
-        below = stage(grams.select("gram", "n", (F.col("log_mass") - F.col("log_size")).alias("log_p")), f"grams-{k}")
-        levels.append((below, contexts.select("context", "log_backoff")))
-    return words, levels, (total, types, spare)
-
-
-class Cache:
-    """The most frequent words and longest n-grams, for look-ups without a join."""
-
-    def __init__(self, words: pa.Table, grams: pa.Table, total: int, types: int):
-        self.words, self.counts = self.by_key(words, "n")
-        self.grams, self.log_p = self.by_key(grams, "log_p")
-        self.total, self.types = total, types
-
-    @staticmethod
-    def by_key(table: pa.Table, value: str) -> tuple[np.ndarray, np.ndarray]:
-        keys, values = table.column("gram").to_numpy(), table.column(value).to_numpy()
-        order = np.argsort(keys)
-        return keys[order], values[order]
-
-    @staticmethod
-    def find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which are there, and their values (0 for the others)."""
-        if not len(keys):
-            return np.zeros(len(wanted), bool), np.zeros(len(wanted))
-        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        known = keys[at] == wanted
-        return known, np.where(known, values[at], 0)
-
-
-def score(docs: DataFrame, order: int, frequent: int, words_held: int) -> DataFrame:
+            yield row()
+
+    return stage(katz_lm.bare(docs).mapInArrow(run, BLOCKS), "blocks")
+
+
+class Totals:
+    """What all tasks know: the sums over all words, and for each longer length the discounts and the sums of split contexts."""
+
+    def __init__(self, buckets: int, hot: int):
+        self.buckets, self.hot = buckets, hot
+        self.total = self.types = self.once = self.documents = 0
+        self.factors: dict[int, np.ndarray] = {}
+        self.split: dict[int, dict[tuple, np.ndarray]] = {}
+
+    @property
+    def spare(self) -> int:
+        """As many tokens as there are words seen once are held for words not seen."""
+        return max(1, self.once)
+
+    def mass(self, k: int, n: np.ndarray) -> np.ndarray:
+        return np.where(n <= RARE, self.factors[k][np.minimum(n, RARE)] * n, n)
+
+
+def words_sent(rows: pd.DataFrame, totals: Totals):
+    """A block's words, with the times they occur in its training documents."""
+    for row in rows.itertuples():
+        (words,), (tokens,) = unpack(row.words), unpack(row.tokens)
+        _, _, out, lengths = unpack(row.about)
+        n = np.bincount(tokens[np.repeat(~out, lengths)], minlength=len(words))
+        bucket = (mixed(words) % np.uint64(totals.buckets)).astype(np.int64)
+        for b in np.unique(bucket):
+            yield int(b), int(row.block), pack(words[bucket == b], n[bucket == b])
+
+
+def words_answered(bucket: int, sent: pd.DataFrame, totals: Totals):
+    """Counts, and a number for each word: different ones in all buckets, small ones for frequent words, 0 for none."""
+    parts = [unpack(p) for p in sent["payload"]]
+    words, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    n = np.bincount(at, np.concatenate([p[1] for p in parts]), len(words)).astype(np.int64)
+    ids = np.empty(len(words), np.int64)
+    ids[np.lexsort((words, -n))] = np.arange(len(words)) * totals.buckets + bucket + 1
+    ends = np.cumsum([len(p[0]) for p in parts])
+    for block, mine in zip(sent["block"], np.split(at, ends[:-1])):
+        yield block, pack(n[mine], ids[mine])
+    end = n[words == word_hashes([katz_lm.END])[0]].sum()
+    yield -1, pack(np.array([n.sum(), (n > 0).sum(), (n == 1).sum(), end]))
+
+
+class Block:
+    """A block's tokens, and for each length its different n-grams and contexts with what has been answered about them."""
+
+    def __init__(self, row, totals: Totals, answers: dict[int, list[bytes]]):
+        self.totals = totals
+        (words,), (tokens,) = unpack(row.words), unpack(row.tokens)
+        self.doc_ids, self.null, self.out, self.lengths = unpack(row.about)
+        self.training = np.repeat(~self.out, self.lengths)
+        bucket = (mixed(words) % np.uint64(totals.buckets)).astype(np.int64)
+        n, ids = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        for b, payload in zip(np.unique(bucket), answers[1]):
+            n[bucket == b], ids[bucket == b] = unpack(payload)
+        order = np.argsort(ids)
+        place = np.empty(len(words), np.int64)
+        place[order] = np.arange(len(words)) + 1
+        # Words by their number; 0 is the beginning.
+        self.ids = np.concatenate([[0], ids[order]])
+        self.word = place[tokens]
+        starts = np.cumsum(self.lengths) - self.lengths
+        self.at = np.arange(len(tokens)) - np.repeat(starts, self.lengths)
+        n = np.concatenate([[totals.documents], n[order]])
+        p = np.where(n > 0, n, totals.spare) / (totals.total + totals.spare)
+        # For the length reached: its grams, which of them each token ends, counts, probabilities, and what these are made of.
+        self.context = np.zeros(len(tokens), np.int64)
+        self.context_words = np.zeros((1, 0), np.int64)
+        self.gram, self.n, self.p = self.word, n, p
+        self.lower = n, np.full(len(n), float(totals.total + totals.spare))
+        self.known = n[self.word]
+        self.k = 1
+        while self.k + 1 in answers:
+            self.lengthen()
+            self.read(answers[self.k])
+
+    def lengthen(self) -> None:
+        """On to the n-grams with one word more."""
+        self.k += 1
+        earlier = np.where(self.at >= self.k - 1, np.roll(self.word, self.k - 1), 0)
+        first, context = numbered(self.context, earlier)
+        self.context_words = np.column_stack([self.context_words[self.context[first]], earlier[first]])
+        # How often a context comes before a token: as often as it ends, as a gram, one token before.
+        before = np.where(self.at > 0, self.n[np.roll(self.gram, 1)], self.totals.documents)
+        self.follow = before[first]
+        self.context = context
+        self.first, gram = numbered(context, self.word)
+        self.shorter, self.gram = self.gram[self.first], gram
+        self.of = context[self.first]
+        self.count = np.bincount(gram[self.training], minlength=len(self.first))
+        self.hot = self.follow > self.totals.hot
+        base = mixed(*(self.ids[c] for c in self.context_words.T))
+        slices = np.where(self.hot, 2 * self.follow // self.totals.hot, 1).astype(np.uint64)
+        slice_ = mixed(self.ids[self.word[self.first]]) % slices[self.of]
+        self.bucket = ((base[self.of] + slice_) % np.uint64(self.totals.buckets)).astype(np.int64)
+        order = np.argsort(self.bucket, kind="stable")
+        self.pieces = np.split(order, np.flatnonzero(np.diff(self.bucket[order])) + 1)
+
+    def send(self):
+        """The n-grams of the length reached, by bucket: contexts, how many words follow each, the words, their counts, and the shorter grams'."""
+        for rows in self.pieces:
+            heads = np.flatnonzero(np.diff(self.of[rows], prepend=-1))
+            contexts = self.of[rows[heads]]
+            columns = [self.ids[c] for c in self.context_words[contexts].T]
+            columns[0] = np.diff(columns[0], prepend=0)
+            n, size = self.lower
+            runs = np.diff(np.append(heads, len(rows)))
+            short = self.shorter[rows]
+            payload = pack(*columns, self.hot[contexts], runs, self.ids[self.word[self.first[rows]]], self.count[rows], n[short], size[short[heads]])
+            yield int(self.bucket[rows[0]]), payload
+
+    def read(self, answers: list[bytes]) -> None:
+        """Take in what the buckets have answered."""
+        totals, k = self.totals, self.k
+        total = np.zeros(len(self.first), np.int64)
+        sums = np.zeros((len(self.context_words), RARE + 3))
+        full = np.zeros(len(self.context_words), bool)
+        for rows, payload in zip(self.pieces, answers, strict=True):
+            contexts = self.of[rows[np.flatnonzero(np.diff(self.of[rows], prepend=-1))]]
+            total[rows], *parts, full[contexts], asked, seen = unpack(payload)
+            sums[contexts, : RARE + 2] = np.column_stack(parts)
+            sums[contexts[asked], RARE + 2] = seen
+        for c in np.flatnonzero(self.hot):
+            sums[c] = totals.split[k].get(tuple(self.ids[self.context_words[c]].tolist()), 0)
+            full[c] = 1 - sums[c, RARE + 2] < 1e-12
+        all_, counts, big, seen = sums[:, 0], sums[:, 1 : RARE + 1], sums[:, RARE + 1], sums[:, RARE + 2]
+        mass = counts @ (totals.factors[k][1:] * np.arange(1, RARE + 1)) + big
+        # A context that would leave nothing is given one more, unseen; one that has everything after it stored has
+        # nothing to back off to, and the stored share all.
+        size = all_ + (mass > all_ * (1 - 1e-9))
+        there = all_ > 0
+        divisor = np.where(there, np.where(full, mass, size), 1.0)
+        rest = np.where(full | ~there, 1.0, 1 - seen)
+        backoff = np.where(there, np.where(full, NO_BACKOFF, (1 - mass / np.where(there, size, 1)) / rest), 1.0)
+        own = totals.mass(k, total) / divisor[self.of]
+        self.p = np.where(total > 0, own, backoff[self.of] * self.p[self.shorter])
+        self.n, self.lower = total, (total, divisor[self.of])
+
+    def scores(self) -> pd.DataFrame:
+        totals, n = self.totals, self.known
+        document = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        add = lambda values: np.bincount(document, values, len(self.lengths))
+        return pd.DataFrame({
+            "doc_id": pd.array([None if none else int(i) for i, none in zip(self.doc_ids, self.null)], "Int64"),
+            "held_out": self.out, "n_tokens": self.lengths.astype(np.int64), "n_known": add(n > 0).astype(np.int64),
+            "base_score": add(np.log10((n + 1) / (totals.total + totals.types + 1))), "score": add(np.log10(self.p)[self.gram]),
+        })
+
+
+def grams_answered(k: int, sent: pd.DataFrame, totals: Totals):
+    """A bucket's counts and sums of length ``k``, for each block in the order of what it sent."""
+    parts = [unpack(p) for p in sent["payload"]]
+    for part in parts:
+        part[0] = np.cumsum(part[0])
+    *columns, hot, runs, words, counts, short, size = map(np.concatenate, zip(*parts))
+    context = np.zeros(len(hot), np.int64)
+    for column in columns:
+        first, context = numbered(context, np.unique(column, return_inverse=True)[1])
+    of = np.repeat(context, runs)
+    shown, gram = numbered(of, np.unique(words, return_inverse=True)[1])
+    n = np.bincount(gram, counts, len(shown)).astype(np.int64)
+    p = totals.mass(k - 1, short[shown]) / np.repeat(size, runs)[shown]
+    of = of[shown]
+    add = lambda values: np.bincount(of, values, len(first))
+    seen = add(np.where(n > 0, p, 0))
+    sums = [x.astype(np.int64) for x in (add(n), *[add(n == r) for r in range(1, RARE + 1)], add(np.where(n > RARE, n, 0)))]
+    full = 1 - seen < 1e-12
+    contexts = np.split(context, np.cumsum([len(part[0]) for part in parts])[:-1])
+    grams = np.split(gram, np.cumsum([len(part[k + 1]) for part in parts])[:-1])
+    for block, part, c, g in zip(sent["block"], parts, contexts, grams):
+        # What a context has seen is asked for where it has to back off.
+        asked = np.bincount(np.repeat(np.arange(len(c)), part[k]), n[g] == 0, len(c)) > 0
+        yield block, pack(n[g], *[x[c] for x in sums], full[c], asked, seen[c[asked]])
+    cut = first[hot[first]]
+    yield -1, pack(np.bincount(np.minimum(n, RARE + 2), minlength=RARE + 3)[: RARE + 2], *[x[cut] for x in columns], *[x[context[cut]] for x in sums], seen[context[cut]])
+
+
+def learn(k: int, blocks: DataFrame, answers: DataFrame | None, totals: Totals, tasks: int) -> DataFrame:
+    """The answers of length ``k``, as a table; ``totals`` takes in the sums over all of them."""
+    known = blocks.sparkSession.sparkContext.broadcast(totals)
+
+    def send_words(batches):
+        for rows in batches:
+            yield pd.DataFrame(list(words_sent(rows, known.value)), columns=["bucket", "block", "payload"])
+
+    def send(rows, answered):
+        block = opened(rows, answered, known.value)
+        block.lengthen()
+        return pd.DataFrame([(bucket, rows["block"][0], payload) for bucket, payload in block.send()], columns=["bucket", "block", "payload"])
+
+    def answer(key, sent):
+        sent = sent.sort_values("block", ignore_index=True)
+        found = words_answered(key[0], sent, known.value) if k == 1 else grams_answered(k, sent, known.value)
+        return pd.DataFrame([(k, key[0], block, payload) for block, payload in found], columns=["level", "bucket", "block", "payload"])
+
+    sent = blocks.mapInPandas(send_words, SENT) if k == 1 else beside(blocks, answers, tasks).applyInPandas(send, SENT)
+    found = sent.repartition(totals.buckets, "bucket").groupBy("bucket").applyInPandas(answer, f"level int, {SENT}")
+    found = stage(found, f"answers-{k}")
+    own = [unpack(r["payload"]) for r in found.where("block = -1").select("payload").collect()]
+    if k == 1:
+        for (part,) in own:
+            totals.total, totals.types, totals.once, totals.documents = (int(a) + int(b) for a, b in zip((totals.total, totals.types, totals.once, totals.documents), part))
+        totals.factors[1] = np.ones(RARE + 1)
+        return found
+    histogram = sum((part[0].astype(np.int64) for part in own), np.zeros(RARE + 2, np.int64))
+    totals.factors[k] = np.array(katz_lm.discounts({r: int(histogram[r]) for r in range(1, RARE + 2)}))
+    split: dict[tuple, np.ndarray] = {}
+    for part in own:
+        for row in zip(*part[1:]):
+            context = tuple(int(x) for x in row[: k - 1])
+            split[context] = split.get(context, 0) + np.array(row[k - 1 :], float)
+    totals.split[k] = split
+    return found
+
+
+def beside(blocks: DataFrame, answers: DataFrame, tasks: int):
+    """Each block with its answers."""
+    mine = answers.where("block >= 0").repartition(tasks, "block").groupBy("block")
+    return blocks.repartition(tasks, "block").groupBy("block").cogroup(mine)
+
+
+def opened(rows: pd.DataFrame, answered: pd.DataFrame, totals: Totals) -> Block:
+    answered = answered.sort_values(["level", "bucket"])
+    return Block(next(rows.itertuples()), totals, {k: list(part) for k, part in answered.groupby("level")["payload"]})
+
+
+def score(docs: DataFrame, order: int, block_tokens: int = BLOCK_TOKENS, bucket_tokens: int = BUCKET_TOKENS, hot_tokens: int = HOT_TOKENS) -> DataFrame:
     """The columns of ``katz_lm.score``."""
-    spark = docs.sparkSession
-    words, levels, (total, types, spare) = train(docs, order)
-    top = levels[-1][0]
-    often = top.where(F.col("n") >= least_count(top, frequent)).select("gram", "log_p").toArrow()
-    common = words.where(F.col("n") >= least_count(words, words_held)).select("gram", "n").toArrow()
-    cache = spark.sparkContext.broadcast(Cache(common, often, total, types))
-
-    def emit(batches):
-        """A row for each word that is not cached, for each longest n-gram of a training document that is not, and for the document."""
-        held = cache.value
-        kinds = {"gram": pa.int64(), "doc_id": pa.int64(), "key": pa.int64(), "times": pa.int64(), "kind": pa.int32(), "n_tokens": pa.int64(), "known": pa.int64(), "base": pa.float64(), "value": pa.float64()}
-        block, rows = [], 0
-
-        def part(doc_id, key, gram, times, kind, n_tokens=0, known=0, base=0.0, value=0.0):
-            size = len(gram)
-            values = (gram, [doc_id] * size, np.full(size, key), times, np.full(size, kind), np.full(size, n_tokens), np.full(size, known), np.full(size, base), np.full(size, value))
-            return pa.RecordBatch.from_arrays([pa.array(v, type) for v, type in zip(values, kinds.values())], list(kinds))
-
-        for doc_id, key, tokens in katz_lm.documents(batches):
-            grams = grams_of(tokens, order)
-            there, n = held.find(held.words, held.counts, grams[1])
-            base = float(np.log10((n[there] + 1) / (held.total + held.types + 1)).sum())
-            cached, log_p = held.find(held.grams, held.log_p, grams[order])
-            # A document's own row has a key that leads nowhere, kind 0.
-            block.append(part(doc_id, key, np.array([key]), np.array([0]), 0, len(tokens), int(there.sum()), base, float(log_p.sum())))
-            block.append(part(doc_id, key, *np.unique(grams[1][~there], return_counts=True), 1))
-            if not katz_lm.held_out(doc_id):
-                block.append(part(doc_id, key, *np.unique(grams[order][~cached], return_counts=True), 2))
-            rows += len(tokens)
-            if rows >= 200_000:
-                yield pa.Table.from_batches(block).combine_chunks().to_batches()[0]
-                block, rows = [], 0
-        if block:
-            yield pa.Table.from_batches(block).combine_chunks().to_batches()[0]
-
-    names = [*[f"g{k}" for k in range(1, order + 1)], *[f"h{k}" for k in range(2, order + 1)]]
-
-    def emit_held_out(batches):
-        """The n-grams and contexts of a held-out document's tokens, by different longest n-gram, cached ones left out."""
-        held = cache.value
-        for doc_id, key, tokens in katz_lm.documents(batches):
-            grams, contexts = grams_of(tokens, order), contexts_of(tokens, order)
-            cached, _ = held.find(held.grams, held.log_p, grams[order])
-            where = np.flatnonzero(~cached)
-            _, first, times = np.unique(grams[order][where], return_index=True, return_counts=True)
-            where = where[first]
-            values = [pa.array([doc_id] * len(where), pa.int64()), pa.array(np.full(len(where), key)), pa.array(times.astype(np.int64))]
-            values += [pa.array(grams[k][where]) for k in range(1, order + 1)] + [pa.array(contexts[k][where]) for k in range(2, order + 1)]
-            yield pa.RecordBatch.from_arrays(values, ["doc_id", "key", "times", *names])
-
-    crc = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    is_held_out = crc % katz_lm.HELD_OUT_OF == katz_lm.HELD_OUT
-    rows = katz_lm.bare(docs)
-    zero, none = F.lit(0).cast("long"), F.lit(0.0)
-    # Hashes of different lengths do not meet, so one table answers both kinds; the kind keeps a document's own row out.
-    answers = words.select(F.lit(1).alias("kind"), "gram", "n", none.alias("log_p")).unionAll(top.select(F.lit(2).alias("kind"), "gram", "n", "log_p"))
-    looked_up = rows.mapInArrow(emit, "gram long, doc_id long, key long, times long, kind int, n_tokens long, known long, base double, value double").join(answers, ["kind", "gram"], "left")
-    is_word, n = F.col("kind") == 1, F.coalesce(F.col("n"), zero)
-    plain = looked_up.select(
-        "doc_id", "key", (F.col("kind") == 0).cast("long").alias("rows"), "n_tokens",
-        (F.col("known") + F.when(is_word & (n > 0), F.col("times")).otherwise(zero)).alias("known"),
-        (F.col("base") + F.when(is_word, F.col("times") * F.log10((n + 1) / F.lit(float(total + types + 1)))).otherwise(none)).alias("base"),
-        (F.col("value") + F.when(F.col("kind") == 2, F.col("times") * F.col("log_p")).otherwise(none)).alias("value"),
-    )
-    chain = rows.where(is_held_out).mapInArrow(emit_held_out, "doc_id long, key long, times long, " + ", ".join(f"{x} long" for x in names))
-    chain = chain.join(words.select(F.col("gram").alias("g1"), F.col("log_p").alias("p1")), "g1", "left")
-    log_p = F.coalesce(F.col("p1"), F.lit(float(np.log10(spare / (total + spare)))))
-    for k, (grams, contexts) in enumerate(levels, 2):
-        chain = chain.join(grams.select(F.col("gram").alias(f"g{k}"), F.col("log_p").alias(f"p{k}")), f"g{k}", "left")
-        chain = chain.join(contexts.select(F.col("context").alias(f"h{k}"), F.col("log_backoff").alias(f"b{k}")), f"h{k}", "left")
-        log_p = F.coalesce(F.col(f"p{k}"), F.coalesce(F.col(f"b{k}"), none) + log_p)
-    backed_off = chain.select("doc_id", "key", zero.alias("rows"), zero.alias("n_tokens"), zero.alias("known"), none.alias("base"), (F.col("times") * log_p).alias("value"))
-    sums = plain.unionAll(backed_off).groupBy("doc_id", "key").agg(*[F.sum(x).alias(x) for x in ("rows", "n_tokens", "known", "base", "value")])
-    each = lambda x: (F.col(x) / F.col("rows"))  # noqa: E731  equal rows have been summed up together
-    return sums.withColumn("_row", F.explode(F.sequence(F.lit(1).cast("long"), "rows"))).select(
-        "doc_id", is_held_out.alias("held_out"), each("n_tokens").cast("long").alias("n_tokens"), each("known").cast("long").alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"), each("base").alias("base_score"), each("value").alias("score"),
-    )
+    blocks = write_blocks(docs, block_tokens)
+    count, size = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    tasks = max(LEAST_BUCKETS, 2 * count)
+    totals = Totals(max(LEAST_BUCKETS, size // bucket_tokens), max(hot_tokens, size // HOT_SHARE))
+    answers = None
+    for k in range(1, order + 1):
+        found = learn(k, blocks, answers, totals, tasks)
+        answers = found if answers is None else answers.unionAll(found)
+    known = docs.sparkSession.sparkContext.broadcast(totals)
+
+    def run(rows, answered):
+        return opened(rows, answered, known.value).scores()
+
+    scored = beside(blocks, answers, tasks).applyInPandas(run, SCORES)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(totals.total).cast("long").alias("train_tokens"), "base_score", "score")
