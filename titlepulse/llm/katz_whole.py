@@ -25,6 +25,7 @@ the sums of its slices, less than three for each 100,000th of the corpus, are ad
 from __future__ import annotations
 
 import pickle
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 
 from titlepulse.llm import katz_lm
 from titlepulse.llm.common import word_hashes
-from titlepulse.sources.shared import stage
+from titlepulse.sources.shared import fresh_path, stage, staging_root
 
 BLOCK_TOKENS = 2_000_000
 BUCKET_TOKENS = 2_000_000
@@ -80,8 +81,19 @@ def mixed(*columns: np.ndarray) -> np.ndarray:
 
 def numbered(left: np.ndarray, right: np.ndarray):
     """``(first, number)``: a row of each different pair, in order, and which pair each row is.  Both below 2^32."""
-    _, first, number = np.unique(left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64), return_index=True, return_inverse=True)
-    return first, number
+    pairs = left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64)
+    order = np.argsort(pairs)
+    pairs = pairs[order]
+    new = np.ones(len(pairs), bool)
+    new[1:] = pairs[1:] != pairs[:-1]
+    number = np.empty(len(pairs), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
+
+
+def below_32_bits(values: np.ndarray) -> np.ndarray:
+    """The values themselves if they are, or else their places in order."""
+    return values if not len(values) or values.max() < 1 << 32 else np.unique(values, return_inverse=True)[1]
 
 
 def write_blocks(docs: DataFrame, size: int) -> DataFrame:
@@ -151,34 +163,41 @@ def words_answered(bucket: int, sent: pd.DataFrame, totals: Totals):
     yield -1, pack(np.array([n.sum(), (n > 0).sum(), (n == 1).sum(), end]))
 
 
+def number_words(row, answers: list[bytes], buckets: int):
+    """The block with the words' numbers and counts in place of their hashes, frequent words first."""
+    (words,), (tokens,) = unpack(row.words), unpack(row.tokens)
+    bucket = (mixed(words) % np.uint64(buckets)).astype(np.int64)
+    n, ids = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+    for b, payload in zip(np.unique(bucket), answers, strict=True):
+        n[bucket == b], ids[bucket == b] = unpack(payload)
+    order = np.argsort(ids)
+    place = np.empty(len(words), np.int64)
+    place[order] = np.arange(len(words)) + 1
+    return row.block, row.size, row.about, pack(np.diff(ids[order], prepend=0), n[order]), pack(place[tokens])
+
+
 class Block:
     """A block's tokens, and for each length its different n-grams and contexts with what has been answered about them."""
 
     def __init__(self, row, totals: Totals, answers: dict[int, list[bytes]]):
         self.totals = totals
-        (words,), (tokens,) = unpack(row.words), unpack(row.tokens)
+        ids, n = unpack(row.words)
+        (tokens,) = unpack(row.tokens)
         self.doc_ids, self.null, self.out, self.lengths = unpack(row.about)
         self.training = np.repeat(~self.out, self.lengths)
-        bucket = (mixed(words) % np.uint64(totals.buckets)).astype(np.int64)
-        n, ids = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
-        for b, payload in zip(np.unique(bucket), answers[1]):
-            n[bucket == b], ids[bucket == b] = unpack(payload)
-        order = np.argsort(ids)
-        place = np.empty(len(words), np.int64)
-        place[order] = np.arange(len(words)) + 1
         # Words by their number; 0 is the beginning.
-        self.ids = np.concatenate([[0], ids[order]])
-        self.word = place[tokens]
-        starts = np.cumsum(self.lengths) - self.lengths
-        self.at = np.arange(len(tokens)) - np.repeat(starts, self.lengths)
-        n = np.concatenate([[totals.documents], n[order]])
-        p = np.where(n > 0, n, totals.spare) / (totals.total + totals.spare)
-        # For the length reached: its grams, which of them each token ends, counts, probabilities, and what these are made of.
-        self.context = np.zeros(len(tokens), np.int64)
-        self.context_words = np.zeros((1, 0), np.int64)
-        self.gram, self.n, self.p = self.word, n, p
-        self.lower = n, np.full(len(n), float(totals.total + totals.spare))
+        self.ids = np.concatenate([[0], np.cumsum(ids, dtype=np.int64)])
+        self.word = tokens.astype(np.int64)
+        starts = np.cumsum(self.lengths, dtype=np.int64) - self.lengths
+        self.later = np.ones(len(tokens), bool)
+        self.later[starts] = False
+        n = np.concatenate([[totals.documents], n.astype(np.int64)])
         self.known = n[self.word]
+        # For the length reached: the grams by their words, last one first, which of them each token ends, counts,
+        # probabilities, and what these are made of.
+        self.gram, self.gram_words = self.word, np.arange(len(n))[:, None]
+        self.n, self.p = n, np.where(n > 0, n, totals.spare) / (totals.total + totals.spare)
+        self.lower = n, np.full(len(n), float(totals.total + totals.spare))
         self.k = 1
         while self.k + 1 in answers:
             self.lengthen()
@@ -187,24 +206,25 @@ class Block:
     def lengthen(self) -> None:
         """On to the n-grams with one word more."""
         self.k += 1
-        earlier = np.where(self.at >= self.k - 1, np.roll(self.word, self.k - 1), 0)
-        first, context = numbered(self.context, earlier)
-        self.context_words = np.column_stack([self.context_words[self.context[first]], earlier[first]])
-        # How often a context comes before a token: as often as it ends, as a gram, one token before.
-        before = np.where(self.at > 0, self.n[np.roll(self.gram, 1)], self.totals.documents)
-        self.follow = before[first]
-        self.context = context
-        self.first, gram = numbered(context, self.word)
-        self.shorter, self.gram = self.gram[self.first], gram
-        self.of = context[self.first]
-        self.count = np.bincount(gram[self.training], minlength=len(self.first))
+        # The context of a token is the gram that ends one before it; number 0 is that of a document's first token.
+        context = np.where(self.later, np.roll(self.gram, 1) + 1, 0)
+        self.context_words = np.concatenate([np.zeros((1, self.k - 1), np.int64), self.gram_words])
+        self.follow = np.concatenate([[self.totals.documents], self.n])
+        first, gram = numbered(self.word, context)
+        self.shorter, self.gram = self.gram[first], gram
+        self.of, self.last = context[first], self.word[first]
+        self.gram_words = np.column_stack([self.last, self.context_words[self.of]])
+        self.count = np.bincount(gram[self.training], minlength=len(first))
         self.hot = self.follow > self.totals.hot
         base = mixed(*(self.ids[c] for c in self.context_words.T))
         slices = np.where(self.hot, 2 * self.follow // self.totals.hot, 1).astype(np.uint64)
-        slice_ = mixed(self.ids[self.word[self.first]]) % slices[self.of]
-        self.bucket = ((base[self.of] + slice_) % np.uint64(self.totals.buckets)).astype(np.int64)
-        order = np.argsort(self.bucket, kind="stable")
-        self.pieces = np.split(order, np.flatnonzero(np.diff(self.bucket[order])) + 1)
+        slice_ = mixed(self.ids[self.last]) % slices[self.of]
+        bucket = ((base[self.of] + slice_) % np.uint64(self.totals.buckets)).astype(np.min_scalar_type(self.totals.buckets))
+        # By bucket, context and last word.
+        order = np.argsort(self.of, kind="stable")
+        order = order[np.argsort(bucket[order], kind="stable")]
+        self.bucket = bucket
+        self.pieces = np.split(order, np.flatnonzero(np.diff(bucket[order].astype(np.int64))) + 1)
 
     def send(self):
         """The n-grams of the length reached, by bucket: contexts, how many words follow each, the words, their counts, and the shorter grams'."""
@@ -216,13 +236,13 @@ class Block:
             n, size = self.lower
             runs = np.diff(np.append(heads, len(rows)))
             short = self.shorter[rows]
-            payload = pack(*columns, self.hot[contexts], runs, self.ids[self.word[self.first[rows]]], self.count[rows], n[short], size[short[heads]])
+            payload = pack(*columns, self.hot[contexts], runs, self.ids[self.last[rows]], self.count[rows], n[short], size[short[heads]])
             yield int(self.bucket[rows[0]]), payload
 
     def read(self, answers: list[bytes]) -> None:
         """Take in what the buckets have answered."""
         totals, k = self.totals, self.k
-        total = np.zeros(len(self.first), np.int64)
+        total = np.zeros(len(self.of), np.int64)
         sums = np.zeros((len(self.context_words), RARE + 3))
         full = np.zeros(len(self.context_words), bool)
         for rows, payload in zip(self.pieces, answers, strict=True):
@@ -265,9 +285,9 @@ def grams_answered(k: int, sent: pd.DataFrame, totals: Totals):
     *columns, hot, runs, words, counts, short, size = map(np.concatenate, zip(*parts))
     context = np.zeros(len(hot), np.int64)
     for column in columns:
-        first, context = numbered(context, np.unique(column, return_inverse=True)[1])
+        first, context = numbered(context, below_32_bits(column))
     of = np.repeat(context, runs)
-    shown, gram = numbered(of, np.unique(words, return_inverse=True)[1])
+    shown, gram = numbered(of, below_32_bits(words))
     n = np.bincount(gram, counts, len(shown)).astype(np.int64)
     p = totals.mass(k - 1, short[shown]) / np.repeat(size, runs)[shown]
     of = of[shown]
@@ -303,7 +323,10 @@ def learn(k: int, blocks: DataFrame, answers: DataFrame | None, totals: Totals,
         found = words_answered(key[0], sent, known.value) if k == 1 else grams_answered(k, sent, known.value)
         return pd.DataFrame([(k, key[0], block, payload) for block, payload in found], columns=["level", "bucket", "block", "payload"])
 
-    sent = blocks.mapInPandas(send_words, SENT) if k == 1 else beside(blocks, answers, tasks).applyInPandas(send, SENT)
+    if k == 1:
+        sent = blocks.mapInPandas(send_words, SENT)
+    else:
+        sent = with_answers(blocks, answers, tasks, send, SENT)
     found = sent.repartition(totals.buckets, "bucket").groupBy("bucket").applyInPandas(answer, f"level int, {SENT}")
     found = stage(found, f"answers-{k}")
     own = [unpack(r["payload"]) for r in found.where("block = -1").select("payload").collect()]
@@ -323,25 +346,49 @@ def learn(k: int, blocks: DataFrame, answers: DataFrame | None, totals: Totals,
     return found
 
 
-def beside(blocks: DataFrame, answers: DataFrame, tasks: int):
-    """Each block with its answers."""
-    mine = answers.where("block >= 0").repartition(tasks, "block").groupBy("block")
-    return blocks.repartition(tasks, "block").groupBy("block").cogroup(mine)
+def with_answers(blocks: DataFrame, answers: DataFrame | None, tasks: int, function, schema: str) -> DataFrame:
+    """``function(block, its answers)`` for each block, which is read where it lies if the table is bucketed."""
+    blocks = blocks.groupBy("block")
+    if answers is None:
+        return blocks.applyInPandas(lambda rows: function(rows, None), schema)
+    return blocks.cogroup(answers.where("block >= 0").repartition(tasks, "block").groupBy("block")).applyInPandas(function, schema)
+
+
+def opened(rows: pd.DataFrame, answered: pd.DataFrame | None, totals: Totals) -> Block:
+    answers = {}
+    if answered is not None:
+        answers = {k: list(part) for k, part in answered.sort_values(["level", "bucket"]).groupby("level")["payload"]}
+    return Block(next(rows.itertuples()), totals, answers)
+
+
+def numbered_blocks(docs: DataFrame, block_tokens: int, bucket_tokens: int, hot_tokens: int):
+    """``(blocks, totals, tasks)``: the blocks as a table bucketed by block, so that later lengths do not move them.
+
+    The blocks with hashes and the answers about words are deleted once it is written.
+    """
+    spark = docs.sparkSession
+    path, name = fresh_path(spark, "numbered"), f"katz_blocks_{uuid.uuid4().hex}"
+    with staging_root(spark, "hashed"):
+        blocks = write_blocks(docs, block_tokens)
+        count, size = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+        tasks = max(LEAST_BUCKETS, 2 * count)
+        totals = Totals(max(LEAST_BUCKETS, size // bucket_tokens), max(hot_tokens, size // HOT_SHARE))
+        answers = learn(1, blocks, None, totals, tasks)
+        buckets = totals.buckets
 
+        def run(rows, answered):
+            row = number_words(next(rows.itertuples()), list(answered.sort_values("bucket")["payload"]), buckets)
+            return pd.DataFrame([row], columns=list(rows.columns))
 
-def opened(rows: pd.DataFrame, answered: pd.DataFrame, totals: Totals) -> Block:
-    answered = answered.sort_values(["level", "bucket"])
-    return Block(next(rows.itertuples()), totals, {k: list(part) for k, part in answered.groupby("level")["payload"]})
+        with_answers(blocks.repartition(tasks, "block"), answers, tasks, run, BLOCKS).write.bucketBy(tasks, "block").option("path", path).saveAsTable(name)
+    return spark.table(name), totals, tasks
 
 
 def score(docs: DataFrame, order: int, block_tokens: int = BLOCK_TOKENS, bucket_tokens: int = BUCKET_TOKENS, hot_tokens: int = HOT_TOKENS) -> DataFrame:
     """The columns of ``katz_lm.score``."""
-    blocks = write_blocks(docs, block_tokens)
-    count, size = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
-    tasks = max(LEAST_BUCKETS, 2 * count)
-    totals = Totals(max(LEAST_BUCKETS, size // bucket_tokens), max(hot_tokens, size // HOT_SHARE))
+    blocks, totals, tasks = numbered_blocks(docs, block_tokens, bucket_tokens, hot_tokens)
     answers = None
-    for k in range(1, order + 1):
+    for k in range(2, order + 1):
         found = learn(k, blocks, answers, totals, tasks)
         answers = found if answers is None else answers.unionAll(found)
     known = docs.sparkSession.sparkContext.broadcast(totals)
@@ -349,5 +396,5 @@ def score(docs: DataFrame, order: int, block_tokens: int = BLOCK_TOKENS, bucket_
     def run(rows, answered):
         return opened(rows, answered, known.value).scores()
 
-    scored = beside(blocks, answers, tasks).applyInPandas(run, SCORES)
+    scored = with_answers(blocks, answers, tasks, run, SCORES)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(totals.total).cast("long").alias("train_tokens"), "base_score", "score")
