@@ -26,8 +26,9 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "
 
     A lookup table of checked size is broadcast, so the facts do not move.  A larger one is joined by shuffle, where
     adaptive execution splits the part of the facts that one key has made large; no lookup row is copied for keys
-    that are not.  The lookup's plan runs twice, for the check and for the join: stage one that is costly to derive.
+    that are not.  The hint keeps Spark from sending it to all tasks nevertheless: it guesses a frame's size from the files
+    at its start, and takes millions of rows out of a few packed megabytes, or the facts themselves, for small.  The lookup's plan runs twice, for the check and for the join: stage one that is costly to derive.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"lookup_join cannot do a {how} join")
-    return facts.join(F.broadcast(lookup) if fits_broadcast(lookup, max_rows) else lookup, on, how)
+    return facts.join(F.broadcast(lookup) if fits_broadcast(lookup, max_rows) else lookup.hint("merge"), on, how)
