@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from titlepulse import schemas
 from titlepulse.operators.lookup import lookup_join
+from titlepulse.sources.seed import crosswalk
 
 
 def plan(frame):
@@ -16,3 +18,9 @@ def test_a_lookup_beyond_the_bound_is_not_sent_to_all_tasks(spark):
     assert "Broadcast" not in plan(joined)
     assert joined.where("name is null").count() == 14 and joined.count() == 50
     assert "BroadcastHashJoin" in plan(lookup_join(facts, lookup, ["key"], "left"))
+
+
+def test_crosswalk_pairs_are_not_sorted_before_they_move(spark, seed):
+    text = plan(crosswalk(seed, list(schemas.SOURCE_KEYS)))
+    assert text.count("Exchange hashpartitioning") == 1
+    assert "Aggregate" not in text[text.index("Exchange hashpartitioning") :]

@@ -60,7 +60,8 @@ def seed_rank(seed: DataFrame) -> Column:
 def crosswalk(seed: DataFrame, sources: tuple[str, ...] | list[str]) -> DataFrame:
     """Long form ``(source, entity_key, game_id)`` of the seed, unique on the first two.
 
-    A key listed for several titles goes to the one listed last; blank keys map to nothing.
+    A key listed for several titles goes to the one listed last; blank keys map to nothing.  Nearly every key is listed
+    once, so the pairs are dealt out as they are: combining them before would sort each task's share for nothing.
     """
     used = sorted({SOURCE_KEYS[source] for source in sources})
     pairs = [F.struct(F.lit(s).alias("source"), F.col(SOURCE_KEYS[s]).cast("string").alias("entity_key")) for s in sources]
@@ -70,7 +71,7 @@ def crosswalk(seed: DataFrame, sources: tuple[str, ...] | list[str]) -> DataFram
         .select("game_id", "_rank", F.inline(F.array(*pairs)))
         .where(F.coalesce(F.col("entity_key"), F.lit("")) != "")
     )
-    return long.groupBy("source", "entity_key").agg(F.max_by("game_id", "_rank").alias("game_id"))
+    return long.repartition("source", "entity_key").groupBy("source", "entity_key").agg(F.max_by("game_id", "_rank").alias("game_id"))
 
 
 def tracked_keys(seed: DataFrame) -> DataFrame:
