@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from titlepulse import schemas
 from titlepulse.operators.lookup import lookup_join
+from titlepulse.plans import titles
 from titlepulse.sources.seed import crosswalk
 
 
@@ -24,3 +25,12 @@ def test_crosswalk_pairs_are_not_sorted_before_they_move(spark, seed):
     text = plan(crosswalk(seed, list(schemas.SOURCE_KEYS)))
     assert text.count("Exchange hashpartitioning") == 1
     assert "Aggregate" not in text[text.index("Exchange hashpartitioning") :]
+
+
+def test_store_payloads_are_dealt_out_before_they_are_parsed(spark):
+    body = '{{"{0}":{{"success":true,"data":{{"steam_appid":{0},"name":"t{0}"}}}}}}'
+    rows = spark.createDataFrame([(body.format(n),) for n in range(1, 6)], "payload string").withColumn("ingested_at", F.timestamp_seconds(F.lit(0)))
+    parsed = titles.store_titles(rows.coalesce(1))
+    text = plan(parsed)
+    assert text.index("from_json") < text.index("Exchange hashpartitioning(payload")
+    assert sorted(row["appid"] for row in parsed.collect()) == [1, 2, 3, 4, 5]
