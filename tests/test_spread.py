@@ -1,17 +1,46 @@
 """How many rows meet in one task, and what is sent to all of them, where sizes of files mislead."""
 
+import os
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
+from testbed.bindings import Inputs
 from titlepulse import schemas
 from titlepulse.operators.lookup import lookup_join
-from titlepulse.plans import titles
+from titlepulse.operators.spread import TASKS_PER_CORE, by_rows
+from titlepulse.plans import attention, titles
 from titlepulse.sources.seed import crosswalk
 
+FOLDER = "/root/testdata/sf0.001"
+needs_data = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="generated tables are absent")
+
 
 def plan(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
+def test_titles_of_the_attention_table_are_dealt_to_many_tasks(spark):
+    weekly = attention.weekly_engagement(spark.createDataFrame([], schemas.ENGAGEMENT))
+    tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert re.search(rf"hashpartitioning\(game_id#\d+, {tasks}\), REPARTITION_BY_NUM", plan(attention.attention_index(weekly)))
+
+
+@needs_data
+def test_engagement_is_grouped_after_one_exchange_of_bounded_tasks(spark):
+    text = plan(Inputs(spark, FOLDER).engagement)
+    assert text.count("Exchange ") == 1
+    assert text.index("HashAggregate") < text.index("REPARTITION_BY_NUM")
+    assert "HashAggregate" not in text[text.index("REPARTITION_BY_NUM") :]
+
+
+def test_by_rows_bounds_the_rows_of_a_task(spark):
+    rows = by_rows(spark.range(1000), "id", rows=100)
+    assert rows.rdd.getNumPartitions() == 10
+    assert by_rows(spark.range(0), "id").count() == 0
+
+
 def test_a_lookup_beyond_the_bound_is_not_sent_to_all_tasks(spark):
     facts = spark.range(50).withColumn("key", F.col("id") % 7)
     lookup = spark.range(5).select(F.col("id").alias("key"), F.col("id").cast("string").alias("name"))

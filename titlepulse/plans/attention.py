@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from titlepulse.functions import exact_mean_of, exact_sum_of, exact_total_of, iso_day, round_even, safe_ratio, week_start, whole_mean, whole_sum, with_exact_parts
 from titlepulse.operators.lookup import lookup_join
 from titlepulse.operators.ranking import top_within
+from titlepulse.operators.spread import over_cores
 from titlepulse.operators.upsert import BATCH
 from titlepulse.schemas import (
     ATTENTION_STATE,
@@ -69,14 +70,15 @@ def _baseline(signal: Signal, baseline_weeks: int) -> Column:
 def attention_index(weekly: DataFrame, baseline_weeks: int = BASELINE_WEEKS, carried: DataFrame | None = None) -> DataFrame:
     """Per title and week: an index per signal (100 = the title's normal), their mean, and its change.
 
-    All windows lie within a title, which has one row per week of history: the rows move once.  With ``carried`` (rows of
+    All windows lie within a title, which has one row per week of history: the rows move once, to many small tasks, as
+    each window holds a sorted copy of its task's rows.  With ``carried`` (rows of
     the state and a ``start``), weeks before the start come from it, as far as later weeks depend on them.
     """
     lead = {"_lead": F.lit(False), "_index": F.lit(None).cast("double")}
     rows = weekly.withColumns(lead)
     if carried is not None:
         rows = rows.unionByName(_lead_rows(carried))
-    by_title = with_exact_parts(rows.repartition("game_id"), _rates())
+    by_title = with_exact_parts(over_cores(rows, "game_id"), _rates())
     based = by_title.select("*", *[_baseline(s, baseline_weeks).alias(f"_base_{s.index}") for s in SIGNALS])
 
     def percent(signal: Signal) -> Column:
