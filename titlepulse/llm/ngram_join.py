@@ -300,8 +300,13 @@ def compare_blocks(docs: DataFrame, tasks: DataFrame) -> DataFrame:
     return dealt.mapInArrow(compare, "a long, b long")
 
 
+def as_links(found: DataFrame, of: str) -> DataFrame:
+    """The stars ``(a, b)`` of components found earlier."""
+    return found.select(F.col("id").alias("a"), F.col(of).alias("b"))
+
+
 def cluster_links(docs: DataFrame, clusters: DataFrame, links: DataFrame) -> DataFrame:
-    """Links inside clusters ``(id, cluster)`` that connect all that is linked there, given the links so far."""
+    """Links that connect what ``links`` do and all that is linked inside clusters ``(id, cluster)``."""
     sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / CLUSTER_BLOCK).cast("int").alias("blocks"))
     placed = stage(clusters.join(sizes, "cluster").select("id", "cluster", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block")), "clusters")
     # Each block with itself and the next.
@@ -318,7 +323,7 @@ def cluster_links(docs: DataFrame, clusters: DataFrame, links: DataFrame) -> Dat
     rest = minor.join(parts, "cluster").select("id", "cluster", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
     all_ = open_.join(parts, "cluster").select("id", "cluster", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"), F.col("block").alias("j"))
     tasks = stage(rest.unionAll(all_).distinct(), "far-blocks")
-    return near.unionAll(compare_blocks(docs, tasks))
+    return as_links(groups, "component_id").unionAll(compare_blocks(docs, tasks))
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -355,7 +360,7 @@ def groups(docs: DataFrame) -> DataFrame:
     straying = placed.join(largest, "token").where("cluster <> best.cluster and 5 * least(n, best.n) >= 2 * greatest(n, best.n)").select(F.col("id").alias("a"), F.col("best.id").alias("b"), "n")
     again = stage(verify(docs, stage(most_shared(straying), "straying")), "compared-again")
     links = links.unionAll(again.where(is_link).select("a", "b"))
-    close = close.unionAll(again.where(is_close).select("a", "b"))
+    close = as_links(clusters, "cluster").unionAll(again.where(is_close).select("a", "b"))
     clusters = stage(components(close, "cluster-edges").withColumnRenamed("component_id", "cluster"), "clusters")
     inside = stage(cluster_links(docs, clusters, links), "cluster-links")
 
@@ -370,7 +375,7 @@ def groups(docs: DataFrame) -> DataFrame:
         .select(F.col("id").alias("a"), F.col("id1").alias("b")).distinct()
     )
     across = stage(verify(docs, stage(likely(sets, pairs, 4, 5), "across")), "across-compared").where(is_link).select("a", "b")
-    found = components(links.unionAll(inside).unionAll(across), "groups")
+    found = components(inside.unionAll(across), "groups")
     return (
         sets.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
         .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
