@@ -2,8 +2,10 @@
 
 import functools
 import math
+import pathlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -13,6 +15,7 @@ import pytest
 from tests_llm_helpers import corpus, frame, ready  # noqa: F401
 from titlepulse.llm import katz_lm, mixing, packing, topk
 from titlepulse.llm.common import components
+from titlepulse.sources.shared import SHUFFLE_CLEANUP
 
 
 def plain_slots(parts, need):
@@ -257,6 +260,21 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long"), "t").collect() == []
 
 
+def test_katz_leaves_no_shuffle_files_of_finished_lengths(spark, frame):
+    def shuffle_files():
+        disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {path.name for folder in disk.localDirsString() for path in pathlib.Path(folder).glob("*/shuffle_*")}
+
+    before, setting = shuffle_files(), spark.conf.get(SHUFFLE_CLEANUP)
+    scored = katz_lm.score(frame(corpus(3)).repartition(3), block_tokens=500)
+    until = time.monotonic() + 20  # the files are deleted in the background
+    while shuffle_files() - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not shuffle_files() - before
+    assert spark.conf.get(SHUFFLE_CLEANUP) == setting
+    assert scored.count() == len(corpus(3))
+
+
 def test_pipeline_equals_its_stages_done_plainly(spark, frame, tmp_path):
     import corpus_pipeline
     from test_repeats import plain_groups

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from titlepulse.llm import katz_lm
 from titlepulse.llm.common import word_hashes
-from titlepulse.sources.shared import fresh_path, stage, staging_root
+from titlepulse.sources.shared import fresh_path, shuffles_dropped, stage, staging_root
 
 BLOCK_TOKENS = 2_000_000
 BUCKET_TOKENS = 2_000_000
@@ -386,11 +386,12 @@ def numbered_blocks(docs: DataFrame, block_tokens: int, bucket_tokens: int, hot_
 
 def score(docs: DataFrame, order: int, block_tokens: int = BLOCK_TOKENS, bucket_tokens: int = BUCKET_TOKENS, hot_tokens: int = HOT_TOKENS) -> DataFrame:
     """The columns of ``katz_lm.score``."""
-    blocks, totals, tasks = numbered_blocks(docs, block_tokens, bucket_tokens, hot_tokens)
     answers = None
-    for k in range(2, order + 1):
-        found = learn(k, blocks, answers, totals, tasks)
-        answers = found if answers is None else answers.unionAll(found)
+    with shuffles_dropped(docs.sparkSession):
+        blocks, totals, tasks = numbered_blocks(docs, block_tokens, bucket_tokens, hot_tokens)
+        for k in range(2, order + 1):
+            found = learn(k, blocks, answers, totals, tasks)
+            answers = found if answers is None else answers.unionAll(found)
     known = docs.sparkSession.sparkContext.broadcast(totals)
 
     def run(rows, answered):
