@@ -27,6 +27,14 @@ def test_titles_of_the_attention_table_are_dealt_to_many_tasks(spark):
     assert re.search(rf"hashpartitioning\(game_id#\d+, {tasks}\), REPARTITION_BY_NUM", plan(attention.attention_index(weekly)))
 
 
+def test_weeks_are_grouped_in_many_tasks_after_one_exchange(spark):
+    text = plan(attention.weekly_engagement(spark.createDataFrame([], schemas.ENGAGEMENT)))
+    tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert text.count("Exchange ") == 1
+    assert re.search(rf"hashpartitioning\(game_id#\d+, week#\d+, {tasks}\), REPARTITION_BY_NUM", text)
+    assert "HashAggregate" not in text[text.index("REPARTITION_BY_NUM") :]
+
+
 @needs_data
 def test_engagement_is_grouped_after_one_exchange_of_bounded_tasks(spark):
     text = plan(Inputs(spark, FOLDER).engagement)

@@ -40,17 +40,18 @@ def _rates() -> dict[str, Column]:
 
 
 def weekly_engagement(engagement: DataFrame) -> DataFrame:
-    """Signals per title and Monday: counts summed, rates averaged; a week without any signal has no row."""
+    """Signals per title and Monday: counts summed, rates averaged; a week without any signal has no row.
+
+    The days move by title and week, to many small tasks that group them in place: groups take memory by their number,
+    and a few packed megabytes hold millions.
+    """
     weekly = {
         s.column: (F.try_sum(s.column) if s.weekly == "sum" else exact_mean_of(F.col(f"_parts_{s.column}"))).alias(s.column)
         for s in SIGNALS
     }
     known = engagement.where(F.col("game_id").isNotNull() & F.col("date").isNotNull() & _any_signal())
-    return (
-        with_exact_parts(known.select("game_id", "date", *[s.column for s in SIGNALS]), _rates())
-        .groupBy("game_id", week_start(F.col("date")).alias("week"))
-        .agg(*weekly.values())
-    )
+    days = known.select("game_id", week_start(F.col("date")).alias("week"), *[s.column for s in SIGNALS])
+    return with_exact_parts(over_cores(days, "game_id", "week"), _rates()).groupBy("game_id", "week").agg(*weekly.values())
 
 
 def _baseline(signal: Signal, baseline_weeks: int) -> Column:
