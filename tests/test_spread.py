@@ -7,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from testbed.bindings import Inputs
+from testbed.queries import QUERIES
 from titlepulse import schemas
+from titlepulse.operators import spread
 from titlepulse.operators.lookup import lookup_join
-from titlepulse.operators.spread import TASKS_PER_CORE, by_rows
+from titlepulse.operators.spread import ROWS, TASKS_PER_CORE, by_rows
 from titlepulse.plans import attention, titles
 from titlepulse.sources.seed import crosswalk
 
@@ -35,6 +37,20 @@ def test_weeks_are_grouped_in_many_tasks_after_one_exchange(spark):
     assert "HashAggregate" not in text[text.index("REPARTITION_BY_NUM") :]
 
 
+def test_tasks_of_the_attention_table_grow_with_its_days(spark):
+    rows = 10 * TASKS_PER_CORE * spark.sparkContext.defaultParallelism * ROWS
+    text = plan(attention.attention_trends(spark.createDataFrame([], schemas.ENGAGEMENT), rows=rows))
+    assert set(re.findall(r"(\d+)\), REPARTITION_BY_NUM", text)) == {str(rows // ROWS)}
+
+
+@needs_data
+def test_a_task_of_the_attention_queries_gets_no_more_rows_than_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(spread, "ROWS", 20)
+    text = plan(QUERIES["g6_attention_trends"](spark, FOLDER))
+    tasks = -(-spark.read.parquet(f"{FOLDER}/lineitem.parquet").count() // 20)
+    assert len(re.findall(rf", {tasks}\), REPARTITION_BY_NUM", text)) == 2
+
+
 @needs_data
 def test_engagement_is_grouped_after_one_exchange_of_bounded_tasks(spark):
     text = plan(Inputs(spark, FOLDER).engagement)

@@ -39,11 +39,11 @@ def _rates() -> dict[str, Column]:
     return {f"_parts_{s.column}": F.col(s.column) for s in SIGNALS if s.weekly == "mean"}
 
 
-def weekly_engagement(engagement: DataFrame) -> DataFrame:
+def weekly_engagement(engagement: DataFrame, rows: int = 0) -> DataFrame:
     """Signals per title and Monday: counts summed, rates averaged; a week without any signal has no row.
 
     The days move by title and week, to many small tasks that group them in place: groups take memory by their number,
-    and a few packed megabytes hold millions.
+    and a few packed megabytes hold millions.  There are at most ``rows`` days, if it is given.
     """
     weekly = {
         s.column: (F.try_sum(s.column) if s.weekly == "sum" else exact_mean_of(F.col(f"_parts_{s.column}"))).alias(s.column)
@@ -51,7 +51,7 @@ def weekly_engagement(engagement: DataFrame) -> DataFrame:
     }
     known = engagement.where(F.col("game_id").isNotNull() & F.col("date").isNotNull() & _any_signal())
     days = known.select("game_id", week_start(F.col("date")).alias("week"), *[s.column for s in SIGNALS])
-    return with_exact_parts(over_cores(days, "game_id", "week"), _rates()).groupBy("game_id", "week").agg(*weekly.values())
+    return with_exact_parts(over_cores(days, "game_id", "week", rows=rows), _rates()).groupBy("game_id", "week").agg(*weekly.values())
 
 
 def _baseline(signal: Signal, baseline_weeks: int) -> Column:
@@ -68,18 +68,19 @@ def _baseline(signal: Signal, baseline_weeks: int) -> Column:
     return whole_mean(value, earlier) if signal.weekly == "sum" else exact_mean_of(F.col(f"_parts_{signal.column}"), earlier)
 
 
-def attention_index(weekly: DataFrame, baseline_weeks: int = BASELINE_WEEKS, carried: DataFrame | None = None) -> DataFrame:
+def attention_index(weekly: DataFrame, baseline_weeks: int = BASELINE_WEEKS, carried: DataFrame | None = None, rows: int = 0) -> DataFrame:
     """Per title and week: an index per signal (100 = the title's normal), their mean, and its change.
 
     All windows lie within a title, which has one row per week of history: the rows move once, to many small tasks, as
     each window holds a sorted copy of its task's rows.  With ``carried`` (rows of
-    the state and a ``start``), weeks before the start come from it, as far as later weeks depend on them.
+    the state and a ``start``), weeks before the start come from it, as far as later weeks depend on them.  ``rows`` is at
+    least the number of weeks, such as that of the days they are made of.
     """
     lead = {"_lead": F.lit(False), "_index": F.lit(None).cast("double")}
-    rows = weekly.withColumns(lead)
+    weeks = weekly.withColumns(lead)
     if carried is not None:
-        rows = rows.unionByName(_lead_rows(carried))
-    by_title = with_exact_parts(over_cores(rows, "game_id"), _rates())
+        weeks = weeks.unionByName(_lead_rows(carried))
+    by_title = with_exact_parts(over_cores(weeks, "game_id", rows=rows), _rates())
     based = by_title.select("*", *[_baseline(s, baseline_weeks).alias(f"_base_{s.index}") for s in SIGNALS])
 
     def percent(signal: Signal) -> Column:
@@ -155,9 +156,9 @@ def as_trends(indexed: DataFrame) -> DataFrame:
     return conform(indexed.withColumn("week", iso_day(F.col("week"))), ATTENTION_TRENDS)
 
 
-def attention_trends(engagement: DataFrame, baseline_weeks: int = BASELINE_WEEKS) -> DataFrame:
-    """The attention table: see :func:`attention_index`."""
-    return as_trends(attention_index(weekly_engagement(engagement), baseline_weeks))
+def attention_trends(engagement: DataFrame, baseline_weeks: int = BASELINE_WEEKS, rows: int = 0) -> DataFrame:
+    """The attention table: see :func:`attention_index`.  ``rows`` is at least the number of days."""
+    return as_trends(attention_index(weekly_engagement(engagement, rows), baseline_weeks, rows=rows))
 
 
 def top_titles(attention: DataFrame, k: int = TOP_TITLES) -> DataFrame:
